@@ -32,7 +32,21 @@ def active_weeks(events: DataFrame, start_ds: str) -> DataFrame:
     return events_since(events, start_ds).groupBy("user_id").agg(F.sort_array(F.collect_set(week)).alias("weeks"))
 
 
-def weeks_of(days: DataFrame) -> DataFrame:
-    """The weekly calendar out of the daily one, without another shuffle."""
+def with_weeks(calendar: DataFrame) -> DataFrame:
+    """A daily calendar turned into a weekly one, row by row."""
     weeks = F.array_distinct(F.transform("days", week_start))
-    return days.select("user_id", weeks.alias("weeks"))
+    return calendar.withColumn("weeks", weeks).drop("days")
+
+
+def segments(users: DataFrame) -> DataFrame:
+    """user_id, acq_source, country: what the metrics need of one users snapshot."""
+    return users.select("user_id", "acq_source", F.col("user_country").alias("country"))
+
+
+def with_segments(calendar: DataFrame, users: DataFrame) -> DataFrame:
+    """Calendars of the users in the snapshot, with their segment.
+
+    No broadcast is asked for: the users grow with the data. Adaptive execution still
+    uses one where the measured size is below the session's threshold.
+    """
+    return calendar.join(segments(users), "user_id")

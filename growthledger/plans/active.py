@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import ds_column, month_start, resolve_as_of, week_start
-from ..operators.activity import active_days
+from ..operators.activity import active_days, with_segments
 from ..sources.schemas import AGG_ACTIVE_USER
-from .users import segments
 
 
 def active_users(
@@ -20,13 +19,11 @@ def active_users(
 
     ``users`` is one snapshot of the user dimension.
     """
-    return active_users_from_days(active_days(events, start_ds), users, as_of)
+    return active_users_from_calendar(with_segments(active_days(events, start_ds), users), as_of)
 
 
-def active_users_from_days(
-    days: DataFrame, users: DataFrame, as_of: str | dt.date | None = None
-) -> DataFrame:
-    """The same, from the per-user daily calendar.
+def active_users_from_calendar(calendar: DataFrame, as_of: str | dt.date | None = None) -> DataFrame:
+    """The same, from the daily calendar with segments.
 
     Every user contributes each period once, because weeks and months are made distinct
     inside the user's own calendar. Counting distinct users is then a plain count, all
@@ -40,8 +37,7 @@ def active_users_from_days(
         _periods("monthly", F.array_distinct(F.transform(day, month_start))),
     )
     return (
-        days.join(segments(users), "user_id")
-        .select("acq_source", "country", F.inline(periods))
+        calendar.select("acq_source", "country", F.inline(periods))
         .groupBy("period_start_date", "period_type", "acq_source", "country")
         .agg(F.count("*").alias("active_user_count"))
         .withColumn("ds", ds_column(resolve_as_of(as_of)))

@@ -22,9 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import cutoff_label, ds_column, resolve_as_of
-from ..operators.activity import active_weeks
+from ..operators.activity import active_weeks, with_segments
 from ..sources.schemas import AGG_USER_LIFECYCLE_WEEKLY
-from .users import segments
 
 LOOKBACK_WEEKS = 4
 
@@ -41,24 +40,22 @@ def lifecycle_weekly(
 
     ``users`` is one snapshot of the user dimension with one row per user.
     """
-    return lifecycle_from_weeks(active_weeks(events, start_ds), users, as_of)
+    return lifecycle_from_calendar(with_segments(active_weeks(events, start_ds), users), as_of)
 
 
-def lifecycle_from_weeks(
-    weeks: DataFrame, users: DataFrame, as_of: str | dt.date | None = None
-) -> DataFrame:
-    """The same, from the per-user weekly calendar.
+def lifecycle_from_calendar(calendar: DataFrame, as_of: str | dt.date | None = None) -> DataFrame:
+    """The same, from the weekly calendar with segments.
 
     Users are reduced to step counts per segment first; from there on the data is bounded
     by segments x weeks^2, however many users there are.
     """
-    steps = activity_steps(weeks, users)
-    calendar = numbered_weeks(steps)
-    counts = running_counts(status_changes(steps, calendar))
-    return _labelled(counts.join(F.broadcast(calendar), counts["number"] == calendar["number"]), as_of)
+    steps = activity_steps(calendar)
+    weeks = numbered_weeks(steps)
+    counts = running_counts(status_changes(steps, weeks))
+    return _labelled(counts.join(F.broadcast(weeks), "number"), as_of)
 
 
-def activity_steps(weeks: DataFrame, users: DataFrame) -> DataFrame:
+def activity_steps(calendar: DataFrame) -> DataFrame:
     """Number of users per segment going from one active week straight to the next.
 
     Every user has one step from BEFORE_FIRST and one to AFTER_LAST.
@@ -67,8 +64,7 @@ def activity_steps(weeks: DataFrame, users: DataFrame) -> DataFrame:
     ends = F.concat(F.col("weeks"), F.array(_date(AFTER_LAST)))
     step = F.inline(F.arrays_zip(starts.alias("from_week"), ends.alias("to_week")))
     return (
-        weeks.join(segments(users), "user_id")
-        .select("acq_source", "country", step)
+        calendar.select("acq_source", "country", step)
         # Never null; stated here because the joins on these columns would add the same
         # filter to one of the two readers of this result and so stop its reuse.
         .where(F.col("from_week").isNotNull() & F.col("to_week").isNotNull())
@@ -88,14 +84,14 @@ def numbered_weeks(steps: DataFrame) -> DataFrame:
     return active.select(F.col("to_week").alias("week"), number.alias("number"))
 
 
-def status_changes(steps: DataFrame, calendar: DataFrame) -> DataFrame:
+def status_changes(steps: DataFrame, weeks: DataFrame) -> DataFrame:
     """segment, user_status, number, change: users entering (+) or leaving (-) a status.
 
     A step from number i to number q gives these stays [lo, hi): the status of the arrival
     at q, dormant on the up to 4 weeks after i, and churned from then until q.
     """
-    begin = F.broadcast(calendar.select(F.col("week").alias("from_week"), F.col("number").alias("i")))
-    end = F.broadcast(calendar.select(F.col("week").alias("to_week"), F.col("number").alias("q")))
+    begin = F.broadcast(weeks.select(F.col("week").alias("from_week"), F.col("number").alias("i")))
+    end = F.broadcast(weeks.select(F.col("week").alias("to_week"), F.col("number").alias("q")))
     i, q = F.col("i"), F.col("q")
     arrival = (
         F.when(i.isNull(), "new").when(q - i <= LOOKBACK_WEEKS, "retained").otherwise("resurrected")
@@ -160,7 +156,7 @@ def user_week_history(
     back, and the last active week before this one. The result itself is users x weeks in
     size; use it to inspect, not on the way to the weekly counts.
     """
-    weeks = active_weeks(events, start_ds).join(segments(users), "user_id")
+    weeks = with_segments(active_weeks(events, start_ds), users)
     everyone = weeks.select(F.explode("weeks").alias("week")).agg(F.sort_array(F.collect_set("week")))
     first = F.col("weeks")[0]
     rows = (

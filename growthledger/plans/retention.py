@@ -14,11 +14,11 @@ from ..sources.schemas import AGG_USER_RETENTION, MAX_WEEK_OFFSET, RATE
 
 def retention(events: DataFrame, start_ds: str, as_of: str | dt.date | None = None) -> DataFrame:
     """Share of each weekly cohort that is active 0 to 16 weeks after its first week."""
-    return retention_from_weeks(active_weeks(events, start_ds), as_of)
+    return retention_from_calendar(active_weeks(events, start_ds), as_of)
 
 
-def retention_from_weeks(weeks: DataFrame, as_of: str | dt.date | None = None) -> DataFrame:
-    """The same, from the per-user weekly calendar.
+def retention_from_calendar(calendar: DataFrame, as_of: str | dt.date | None = None) -> DataFrame:
+    """The same, from the weekly calendar of one row per user.
 
     Cohort and offsets are read off the user's own row, so neither a self-join nor a
     distinct count is needed. The cohort size is its count at offset 0, taken by a window
@@ -27,7 +27,7 @@ def retention_from_weeks(weeks: DataFrame, as_of: str | dt.date | None = None) -
     first = F.col("weeks")[0]
     offsets = F.transform("weeks", lambda week: weeks_between(week, first))
     counts = (
-        weeks.select(first.alias("cohort_week"), F.explode(offsets).alias("week_offset"))
+        calendar.select(first.alias("cohort_week"), F.explode(offsets).alias("week_offset"))
         .where(F.col("week_offset").between(0, MAX_WEEK_OFFSET))
         .groupBy("cohort_week", "week_offset")
         .agg(F.count("*").alias("retained_users"))

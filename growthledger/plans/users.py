@@ -74,7 +74,3 @@ def dim_users(stream: DataFrame, as_of: str | dt.date | None = None) -> DataFram
         .select(*DIM_USERS.names)
     )
 
-
-def segments(users: DataFrame) -> DataFrame:
-    """user_id, acq_source, country: what the metrics need of one users snapshot."""
-    return users.select("user_id", "acq_source", F.col("user_country").alias("country"))

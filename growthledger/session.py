@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +28,13 @@ def build_session(app_name: str = "growthledger", conf: dict[str, str] | None =
     return builder.getOrCreate()
 
 
+def apply_defaults(spark: SparkSession) -> SparkSession:
+    """Put the package defaults on a session built elsewhere."""
+    for key, value in DEFAULTS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def require_ansi(spark: SparkSession) -> None:
     """Refuse to run a load whose bad casts would turn into silent nulls."""
     if spark.conf.get("spark.sql.ansi.enabled", "true").lower() != "true":
@@ -50,6 +57,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return own
 
 
-def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder for one intermediate table."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/growthledger/{label}-{uuid.uuid4().hex}"
+def work_path(spark: SparkSession, owner: str, label: str) -> str:
+    """Path under the shared folder for one intermediate table.
+
+    ``owner`` (the warehouse root or input folder) makes it distinct. The path is the same
+    on every run, so a rerun replaces the table instead of leaving another copy.
+    """
+    tag = hashlib.md5(owner.encode()).hexdigest()[:12]
+    return f"{checkpoint_dir(spark).rstrip('/')}/growthledger/{tag}/{label}"

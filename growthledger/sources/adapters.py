@@ -41,10 +41,10 @@ def orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_staging(stream: DataFrame) -> DataFrame:
     """The stream as it would look in the raw file: text only, six fraction digits."""
-    when = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return stream.withColumn("event_time", when).select(
-        *[F.col(name).cast("string").alias(name) for name in FCT_EVENT_STREAM.names]
-    )
+    texts = stream.select(*[F.col(name).cast("string").alias(name) for name in FCT_EVENT_STREAM.names])
+    when = F.col("event_time")  # the cast drops trailing zeros of the fraction
+    dotted = F.when(when.contains("."), when).otherwise(F.concat(when, F.lit(".")))
+    return texts.withColumn("event_time", F.rpad(dotted, len("YYYY-MM-DD HH:MM:SS.ffffff"), "0"))
 
 
 def _pick(values: list[str], index: Column) -> Column:

@@ -25,19 +25,24 @@ def active_users(
 def active_users_from_calendar(calendar: DataFrame, as_of: str | dt.date | None = None) -> DataFrame:
     """The same, from the daily calendar with segments.
 
-    Every user contributes each period once, because weeks and months are made distinct
-    inside the user's own calendar. Counting distinct users is then a plain count, all
-    three granularities come out of one pass, and the final shuffle carries only partial
-    counts per period and segment.
+    Every user contributes each period once: a week or month is counted on the user's
+    first active day in it, which is where it differs from the previous day's. Counting
+    distinct users is then a plain count, all three granularities come out of one pass,
+    and the final shuffle carries only partial counts per period and segment.
     """
-    day = F.col("days")
-    periods = F.concat(
-        _periods("daily", day),
-        _periods("weekly", F.array_distinct(F.transform(day, week_start))),
-        _periods("monthly", F.array_distinct(F.transform(day, month_start))),
+    previous = F.concat(F.array(F.lit(None).cast("date")), F.col("days"))
+    day_pairs = F.inline(F.arrays_zip(F.col("days").alias("day"), previous.alias("previous_day")))
+    day, before = F.col("day"), F.col("previous_day")
+    periods = F.array(
+        _period("daily", day, F.lit(True)),
+        _period("weekly", week_start(day), ~week_start(day).eqNullSafe(week_start(before))),
+        _period("monthly", month_start(day), ~month_start(day).eqNullSafe(month_start(before))),
     )
     return (
-        calendar.select("acq_source", "country", F.inline(periods))
+        calendar.select("acq_source", "country", day_pairs)
+        .where(day.isNotNull())  # the pair after the last day
+        .select("acq_source", "country", F.inline(periods))
+        .where(F.col("period_start_date").isNotNull())
         .groupBy("period_start_date", "period_type", "acq_source", "country")
         .agg(F.count("*").alias("active_user_count"))
         .withColumn("ds", ds_column(resolve_as_of(as_of)))
@@ -46,7 +51,6 @@ def active_users_from_calendar(calendar: DataFrame, as_of: str | dt.date | None
     )
 
 
-def _periods(period_type: str, starts: Column) -> Column:
-    return F.transform(
-        starts, lambda d: F.struct(F.lit(period_type).alias("period_type"), d.alias("period_start_date"))
-    )
+def _period(period_type: str, start: Column, counts: Column) -> Column:
+    """One period of a day; without a start date when it was counted before."""
+    return F.struct(F.lit(period_type).alias("period_type"), F.when(counts, start).alias("period_start_date"))

@@ -50,9 +50,9 @@ def lifecycle_from_calendar(calendar: DataFrame, as_of: str | dt.date | None = N
     by segments x weeks^2, however many users there are.
     """
     steps = activity_steps(calendar)
-    weeks = numbered_weeks(steps)
-    counts = running_counts(status_changes(steps, weeks))
-    return _labelled(counts.join(F.broadcast(weeks), "number"), as_of)
+    all_weeks = week_list(steps)
+    counts = running_counts(status_changes(steps, all_weeks))
+    return _labelled(counts.withColumn("week", F.element_at(all_weeks, F.col("number"))), as_of)
 
 
 def activity_steps(calendar: DataFrame) -> DataFrame:
@@ -65,65 +65,63 @@ def activity_steps(calendar: DataFrame) -> DataFrame:
     step = F.inline(F.arrays_zip(starts.alias("from_week"), ends.alias("to_week")))
     return (
         calendar.select("acq_source", "country", step)
-        # Never null; stated here because the joins on these columns would add the same
-        # filter to one of the two readers of this result and so stop its reuse.
-        .where(F.col("from_week").isNotNull() & F.col("to_week").isNotNull())
         .groupBy("acq_source", "country", "from_week", "to_week")
         .agg(F.count("*").alias("users"))
     )
 
 
-def numbered_weeks(steps: DataFrame) -> DataFrame:
-    """number, week: all weeks with activity in order, AFTER_LAST being the last.
+def week_list(steps: DataFrame) -> Column:
+    """All weeks with activity in order, then AFTER_LAST, as one array.
 
-    One row per calendar week, so the window without partitions is small, and so is the
-    broadcast: the DATE type has no more than 521,723 weeks (about 6 MB).
+    A scalar subquery with one entry per calendar week: the DATE type has no more than
+    521,723 of them (about 4 MB), however much data there is. Summing the users keeps the
+    aggregate equal to the one the counts are built on, which is then computed only once.
     """
     active = steps.groupBy("to_week").agg(F.sum("users").alias("users")).where(F.col("users") > 0)
-    number = F.row_number().over(Window.orderBy("to_week"))
-    return active.select(F.col("to_week").alias("week"), number.alias("number"))
+    return active.agg(F.sort_array(F.collect_set("to_week"))).scalar()
 
 
-def status_changes(steps: DataFrame, weeks: DataFrame) -> DataFrame:
+def status_changes(steps: DataFrame, all_weeks: Column) -> DataFrame:
     """segment, user_status, number, change: users entering (+) or leaving (-) a status.
 
     A step from number i to number q gives these stays [lo, hi): the status of the arrival
-    at q, dormant on the up to 4 weeks after i, and churned from then until q.
+    at q, dormant on the up to 4 weeks after i, and churned from then until q. Numbers are
+    positions in ``all_weeks``; the position of BEFORE_FIRST is 0.
     """
-    begin = F.broadcast(weeks.select(F.col("week").alias("from_week"), F.col("number").alias("i")))
-    end = F.broadcast(weeks.select(F.col("week").alias("to_week"), F.col("number").alias("q")))
     i, q = F.col("i"), F.col("q")
-    arrival = (
-        F.when(i.isNull(), "new").when(q - i <= LOOKBACK_WEEKS, "retained").otherwise("resurrected")
-    )
+    first, last = i == 0, F.col("to_week") == _date(AFTER_LAST)
+    arrival = F.when(first, "new").when(q - i <= LOOKBACK_WEEKS, "retained").otherwise("resurrected")
     lapse = i + LOOKBACK_WEEKS + 1
-    leaves = F.col("to_week") == _date(AFTER_LAST)
-    stays = F.array(
-        F.when(~leaves, _stay(arrival, q, q + 1)),
-        F.when(i.isNotNull(), _stay(F.lit("dormant"), i + 1, F.least(lapse, q))),
-        F.when(i.isNotNull(), _stay(F.lit("churned"), lapse, q)),
-    )
-    kept = F.filter(stays, lambda s: s["lo"] < s["hi"])
-    edges = F.array(
-        F.struct(F.col("lo").alias("number"), F.col("users").alias("change")),
-        F.struct(F.col("hi").alias("number"), (-F.col("users")).alias("change")),
+    changes = F.array(
+        *_stay(arrival, q, q + 1, ~last),
+        *_stay(F.lit("dormant"), i + 1, F.least(lapse, q), ~first & (i + 1 < q)),
+        *_stay(F.lit("churned"), lapse, q, ~first & (lapse < q)),
     )
     return (
-        steps.join(begin, "from_week", "left")
-        .join(end, "to_week")
-        .select("acq_source", "country", "users", F.inline(kept))
-        .select("acq_source", "country", "user_status", F.inline(edges))
+        steps.withColumns(
+            {
+                "i": F.array_position(all_weeks, F.col("from_week")).cast("int"),
+                "q": F.array_position(all_weeks, F.col("to_week")).cast("int"),
+            }
+        )
+        .select("acq_source", "country", F.inline(changes))
+        .where(F.col("change") != 0)
         .groupBy("acq_source", "country", "user_status", "number")
         .agg(F.sum("change").alias("change"))
     )
 
 
-def _date(text: str) -> Column:
-    return F.lit(text).cast("date")
+def _stay(status: Column, lo: Column, hi: Column, applies: Column) -> list[Column]:
+    """The users of a step enter ``status`` at ``lo`` and leave it at ``hi``."""
+    users = F.when(applies, F.col("users")).otherwise(F.lit(0).cast("long"))
+    return [
+        F.struct(status.alias("user_status"), number.alias("number"), change.alias("change"))
+        for number, change in ((lo, users), (hi, -users))
+    ]
 
 
-def _stay(status: Column, lo: Column, hi: Column) -> Column:
-    return F.struct(status.alias("user_status"), lo.alias("lo"), hi.alias("hi"))
+def _date(text: str) -> Column:
+    return F.lit(text).cast("date")
 
 
 def running_counts(changes: DataFrame) -> DataFrame:

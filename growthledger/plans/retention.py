@@ -25,9 +25,9 @@ def retention_from_calendar(calendar: DataFrame, as_of: str | dt.date | None = N
     over the small (cohort, offset) result.
     """
     first = F.col("weeks")[0]
-    offsets = F.transform("weeks", lambda week: weeks_between(week, first))
     counts = (
-        calendar.select(first.alias("cohort_week"), F.explode(offsets).alias("week_offset"))
+        calendar.select(first.alias("cohort_week"), F.explode("weeks").alias("week"))
+        .select("cohort_week", weeks_between(F.col("week"), F.col("cohort_week")).alias("week_offset"))
         .where(F.col("week_offset").between(0, MAX_WEEK_OFFSET))
         .groupBy("cohort_week", "week_offset")
         .agg(F.count("*").alias("retained_users"))

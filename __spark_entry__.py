@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from growthledger.functions.dates import cutoff_label, month_start, week_start
-from growthledger.functions.jsonmap import has_json_key, json_text
+from growthledger.functions.jsonmap import has_json_key, json_number, json_text
 from growthledger.functions.keys import surrogate_key
 from growthledger.operators.activity import active_days
 from growthledger.plans import reports
@@ -152,7 +152,7 @@ def _json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         json_text(document, "event_type").alias("event_type"),
         json_text(document, "transaction_category").alias("transaction_category"),
-        json_text(document, "miles_amount").cast("decimal(10,2)").alias("miles_amount"),
+        json_number(document, "miles_amount", 10, 2).alias("miles_amount"),
         has_json_key(document, "miles_amount").alias("has_miles_key"),
         has_json_key(document, "platform").alias("has_platform_key"),
     )

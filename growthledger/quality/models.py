@@ -8,9 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.jsonmap import has_json_key, json_text
+from ..functions.jsonmap import has_json_key, json_number, json_text
 from ..sources.schemas import MAX_WEEK_OFFSET, PERIOD_TYPES, USER_STATUSES
 from .checks import (
     Check,
@@ -24,10 +23,6 @@ from .checks import (
     unique_combination,
 )
 
-# Wide enough to read any amount found in the JSON text without rounding it.
-_JSON_NUMBER = T.DecimalType(38, 10)
-
-
 def single_attribute_check() -> GroupCheck:
     """Users of the event stream with several sources or countries."""
     return single_value_per(
@@ -60,7 +55,7 @@ def dim_users_checks() -> list[Check]:
 
 def fct_events_checks() -> list[Check]:
     document = F.col("event_json")
-    miles = json_text(document, "miles_amount").cast(_JSON_NUMBER)
+    miles = json_number(document, "miles_amount")
     keys = [has_json_key(document, k) for k in ("event_type", "transaction_category", "miles_amount")]
     return [
         unique("event_id"),

@@ -1,0 +1,121 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from helpers import GOOD, staging, tuples
+
+from growthledger.plans.ingest import ingest_events, typed_load
+from growthledger.quality.gate import DataQualityError
+from growthledger.sources.csvfiles import NULL_TOKENS, read_raw_csv
+from growthledger.sources.schemas import FCT_EVENT_STREAM, RAW_COLUMNS
+
+HEADER = ",".join(RAW_COLUMNS)
+LINE = ",".join(GOOD.values())
+
+
+def write(path, text):
+    path.write_text(text)
+    return str(path)
+
+
+def test_plain_file(spark, tmp_path):
+    rows = read_raw_csv(spark, write(tmp_path / "a.csv", f"{HEADER}\n{LINE}\n"))
+    assert rows.columns == RAW_COLUMNS
+    assert tuples(rows) == [tuple(GOOD.values())]
+
+
+def test_columns_are_bound_by_name(spark, tmp_path):
+    names = [*reversed(RAW_COLUMNS), "note"]
+    line = ",".join([*reversed(GOOD.values()), "ignored"])
+    rows = read_raw_csv(spark, write(tmp_path / "a.csv", f"{','.join(names)}\n{line}\n"))
+    assert tuples(rows) == [tuple(GOOD.values())]
+
+
+def test_quotes_and_line_breaks(spark, tmp_path):
+    line = LINE.replace("dining", '"fine, ""new""\ndining"')
+    rows = read_raw_csv(spark, write(tmp_path / "a.csv", f"{HEADER}\n{line}\n"))
+    assert rows.first().transaction_category == 'fine, "new"\ndining'
+
+
+def test_null_tokens(spark, tmp_path):
+    lines = [LINE.replace("dining", token) for token in [*NULL_TOKENS, '""', " NA", "na"]]
+    rows = read_raw_csv(spark, write(tmp_path / "a.csv", "\n".join([HEADER, *lines])))
+    assert [r.transaction_category for r in rows.collect()] == [None] * (len(NULL_TOKENS) + 1) + [" NA", "na"]
+
+
+def test_missing_column_fails(spark, tmp_path):
+    path = write(tmp_path / "a.csv", f"{HEADER.replace('country', 'nation')}\n{LINE}\n")
+    with pytest.raises(ValueError, match="country"):
+        read_raw_csv(spark, path)
+
+
+def test_long_record_fails_and_short_one_is_padded(spark, tmp_path):
+    short = write(tmp_path / "a.csv", f"{HEADER}\n{LINE}\n{LINE.rsplit(',', 1)[0]}\n")
+    assert [r.country for r in read_raw_csv(spark, short).collect()] == ["SG", None]
+    long = write(tmp_path / "b.csv", f"{HEADER}\n{LINE}\n{LINE},more\n")
+    with pytest.raises(Exception, match="more than 8 fields"):
+        read_raw_csv(spark, long).count()
+    commas = write(tmp_path / "c.csv", f'{HEADER}\n{LINE.replace("dining", chr(34) + "a,b,c" + chr(34))}\n')
+    assert read_raw_csv(spark, commas).count() == 1
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_files_must_share_one_header(spark, tmp_path, multiline):
+    write(tmp_path / "a.csv", f"{HEADER}\n{LINE}\n")
+    write(tmp_path / "b.csv", f"{','.join(reversed(RAW_COLUMNS))}\n{','.join(reversed(GOOD.values()))}\n")
+    with pytest.raises(Exception, match="header"):
+        read_raw_csv(spark, str(tmp_path), multiline=multiline).collect()
+
+
+def test_typed_load(spark):
+    row = typed_load(staging(spark, {"miles_amount": "12.345", "event_time": "2025-06-02 10:00:00.000001"})).first()
+    assert row.event_time == dt.datetime(2025, 6, 2, 10, 0, 0, 1)
+    assert row.miles_amount == Decimal("12.35")
+    assert typed_load(staging(spark, {})).schema == FCT_EVENT_STREAM
+
+
+@pytest.mark.parametrize(
+    "change, message",
+    [
+        ({"miles_amount": "123456789.00"}, "NUMERIC_VALUE_OUT_OF_RANGE"),
+        ({"miles_amount": "much"}, "CAST_INVALID_INPUT"),
+        ({"event_time": "notatime"}, "CAST_INVALID_INPUT"),
+        ({"user_id": "u" * 51}, "longer than 50"),
+        ({"country": "x" * 11}, "longer than 10"),
+    ],
+)
+def test_bad_values_abort_the_load(spark, change, message):
+    with pytest.raises(Exception, match=message):
+        typed_load(staging(spark, {}, change)).collect()
+
+
+def test_trailing_spaces_beyond_the_limit_are_cut(spark):
+    assert typed_load(staging(spark, {"country": "SG" + " " * 20})).first().country == "SG" + " " * 8
+
+
+def test_load_needs_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            typed_load(staging(spark, {}))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_ingest_stops_at_a_failed_check(spark, tmp_path):
+    path = write(tmp_path / "a.csv", f"{HEADER}\n{LINE}\n{LINE.replace('SG', 'XX')}\n{LINE.replace('ios', '')}\n")
+    stream_path = tmp_path / "stream"
+    with pytest.raises(DataQualityError) as error:
+        ingest_events(spark, path, str(tmp_path / "staging"), str(stream_path))
+    assert error.value.failed == {"accepted_values_country": 1, "not_null_platform": 1}
+    assert not stream_path.exists()
+
+
+def test_ingest_replaces_both_tables(spark, tmp_path):
+    tables = str(tmp_path / "staging"), str(tmp_path / "stream")
+    first = write(tmp_path / "a.csv", f"{HEADER}\n{LINE}\n{LINE.replace('06-02', '06-03')}\n")
+    assert ingest_events(spark, first, *tables).count() == 2
+    second = write(tmp_path / "b.csv", f"{HEADER}\n{LINE}\n")
+    loaded = ingest_events(spark, second, *tables)
+    assert loaded.columns == FCT_EVENT_STREAM.names
+    assert [str(r.event_time) for r in loaded.collect()] == ["2025-06-02 10:00:00"]

@@ -80,19 +80,21 @@ def _dim_users(source: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim_users(_stream(source, spark, sf_dir), ADAPTERS[source][2])
 
 
+def _events_and_users(source: str, spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    stream = _stream(source, spark, sf_dir)
+    return fct_events(stream), dim_users(stream, ADAPTERS[source][2])
+
+
 def _active_users(source: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, start_ds, as_of = ADAPTERS[source]
-    return active_users(_fct_events(source, spark, sf_dir), _dim_users(source, spark, sf_dir), start_ds, as_of)
+    return active_users(*_events_and_users(source, spark, sf_dir), *ADAPTERS[source][1:])
 
 
 def _lifecycle(source: str, spark: SparkSession, sf_dir: str, form=lifecycle_weekly) -> DataFrame:
-    _, start_ds, as_of = ADAPTERS[source]
-    return form(_fct_events(source, spark, sf_dir), _dim_users(source, spark, sf_dir), start_ds, as_of)
+    return form(*_events_and_users(source, spark, sf_dir), *ADAPTERS[source][1:])
 
 
 def _retention(source: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, start_ds, as_of = ADAPTERS[source]
-    return retention(_fct_events(source, spark, sf_dir), start_ds, as_of)
+    return retention(_fct_events(source, spark, sf_dir), *ADAPTERS[source][1:])
 
 
 def _latest_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,7 +210,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_event_per_user": lambda s, d: latest_event_per_user(_stream("orders", s, d)),
         "active_days": _active_days,
         "user_week_history": lambda s, d: user_week_history(
-            _fct_events("orders", s, d), _dim_users("orders", s, d), adapters.ORDERS_START_DS
+            *_events_and_users("orders", s, d), adapters.ORDERS_START_DS
         ),
         "week_labels": _week_labels,
         "surrogate_key": _surrogate_key,

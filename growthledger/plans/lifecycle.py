@@ -74,11 +74,11 @@ def week_list(steps: DataFrame) -> Column:
     """All weeks with activity in order, then AFTER_LAST, as one array.
 
     A scalar subquery with one entry per calendar week: the DATE type has no more than
-    521,723 of them (about 4 MB), however much data there is. Summing the users keeps the
-    aggregate equal to the one the counts are built on, which is then computed only once.
+    521,723 of them (about 4 MB), however much data there is. Looking at the users keeps
+    the steps equal to the ones that are counted, so that they are computed only once.
     """
-    active = steps.groupBy("to_week").agg(F.sum("users").alias("users")).where(F.col("users") > 0)
-    return active.agg(F.sort_array(F.collect_set("to_week"))).scalar()
+    active = F.when(F.col("users") > 0, F.col("to_week"))
+    return steps.agg(F.sort_array(F.collect_set(active))).scalar()
 
 
 def status_changes(steps: DataFrame, all_weeks: Column) -> DataFrame:

@@ -1,15 +1,15 @@
 """Typed event streams derived from general event and order tables.
 
 Both adapters are narrow projections: the source columns are renamed, and the missing
-loyalty columns are filled by fixed rules on the row and user keys.
+loyalty columns are filled by fixed rules on the row key ``k`` and the user key ``u``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schemas import COUNTRIES, FCT_EVENT_STREAM, MILES, PLATFORMS, TRANSACTION_CATEGORIES, UTM_SOURCES
+from .schemas import COUNTRIES, FCT_EVENT_STREAM, PLATFORMS, TRANSACTION_CATEGORIES, UTM_SOURCES
 
 # Build parameters that suit the time range of each source table.
 EVENTS_START_DS, EVENTS_AS_OF = "2024-01-01", "2024-01-31"
@@ -24,18 +24,21 @@ KIND_OF_ORDER = ["miles_earned", "miles_redeemed", "reward_search", "like", "sha
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = spark.read.parquet(f"{sf_dir}/events.parquet")
-    kind = F.lit(None).cast("string")
-    for name, target in KIND_OF_EVENT.items():
-        kind = F.when(F.col("event_type") == name, target).otherwise(kind)
-    return _as_stream(source, F.col("ts"), F.col("user_id"), F.col("event_id"), kind, F.col("value"))
+    kinds = " ".join(f"WHEN '{source}' THEN '{kind}'" for source, kind in KIND_OF_EVENT.items())
+    return _as_stream(
+        spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+            "ts AS event_time", "user_id AS u", "event_id AS k", "value AS amount",
+            f"CASE event_type {kinds} END AS event_type",
+        )
+    )
 
 
 def orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    kind = _pick(KIND_OF_ORDER, F.col("o_orderkey") % 5)
     return _as_stream(
-        source, F.col("o_orderdate"), F.col("o_custkey"), F.col("o_orderkey"), kind, F.col("o_totalprice")
+        spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+            "o_orderdate AS event_time", "o_custkey AS u", "o_orderkey AS k", "o_totalprice AS amount",
+            f"{_pick(KIND_OF_ORDER, 'o_orderkey')} AS event_type",
+        )
     )
 
 
@@ -47,28 +50,22 @@ def as_staging(stream: DataFrame) -> DataFrame:
     return texts.withColumn("event_time", F.rpad(dotted, len("YYYY-MM-DD HH:MM:SS.ffffff"), "0"))
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    """The value at a zero-based index; a plain array lookup that stays in the JVM."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(values: list[str], key: str) -> str:
+    """SQL for the value at position ``key`` modulo the length of the list."""
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), int({key} % {len(values)}) + 1)"
 
 
-def _as_stream(source: DataFrame, when: Column, user: Column, key: Column, kind: Column, amount: Column) -> DataFrame:
-    digits = user.cast("string")
-    padded = F.lpad(digits, 4, "0")  # lpad would cut longer ids
-    user_id = F.concat(F.lit("u_"), F.when(F.length(digits) < 4, padded).otherwise(digits))
-    rows = source.select(
-        when.alias("event_time"), user_id.alias("user_id"), kind.alias("event_type"),
-        user.alias("u"), key.alias("k"), amount.alias("amount"),
-    )
-    event_type = F.col("event_type")
-    return rows.select(
+def _as_stream(source: DataFrame) -> DataFrame:
+    # lpad alone would cut ids of more than four digits.
+    user_id = "'u_' || lpad(string(u), greatest(4, length(string(u))), '0')"
+    return source.selectExpr(
         "event_time",
-        "user_id",
+        f"{user_id} AS user_id",
         "event_type",
-        F.when(~event_type.isin("share", "like"), _pick(TRANSACTION_CATEGORIES, F.col("k") % 8))
-        .alias("transaction_category"),
-        F.when(event_type.isin("miles_earned", "miles_redeemed"), F.col("amount").cast(MILES)).alias("miles_amount"),
-        _pick(PLATFORMS, F.col("k") % 3).alias("platform"),
-        _pick(UTM_SOURCES, F.col("u") % 5).alias("utm_source"),
-        _pick(COUNTRIES, F.floor(F.col("u") / 5) % 5).alias("country"),
+        f"if(event_type NOT IN ('share', 'like'), {_pick(TRANSACTION_CATEGORIES, 'k')}, NULL) AS transaction_category",
+        "if(event_type IN ('miles_earned', 'miles_redeemed'), CAST(amount AS DECIMAL(10, 2)), NULL) AS miles_amount",
+        f"{_pick(PLATFORMS, 'k')} AS platform",
+        f"{_pick(UTM_SOURCES, 'u')} AS utm_source",
+        f"{_pick(COUNTRIES, '(u div 5)')} AS country",
     )

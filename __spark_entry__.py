@@ -196,7 +196,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "active_users_orders": partial(_active_users, "orders"),
         "lifecycle_events": partial(_lifecycle, "events"),
         "lifecycle_orders": partial(_lifecycle, "orders"),
-        "lifecycle_orders_grid": partial(_lifecycle, "orders", form=lifecycle_weekly_from_history),
+        "lifecycle_orders_from_history": partial(_lifecycle, "orders", form=lifecycle_weekly_from_history),
         "retention_events": partial(_retention, "events"),
         "retention_orders": partial(_retention, "orders"),
         # reports
@@ -422,43 +422,62 @@ def _active_sql(source: str) -> str:
     )
 
 
-def _history_ctes() -> list[str]:
-    lags = ", ".join(
-        f"coalesce(lag(is_active_this_week, {n}) OVER w, 0) AS active_{n}_weeks_ago" for n in range(1, 5)
-    )
+def _grid_ctes() -> list[str]:
+    """One row per user and week with activity by anybody, from the user's first week on."""
     return [
         f"weekly AS (SELECT DISTINCT user_id, acq_source, country, {_WEEK.format('event_time')} AS week_start FROM base)",
-        """grid AS (
-  SELECT aw.week_start, au.user_id, au.acq_source, au.country,
-    CASE WHEN w.user_id IS NOT NULL THEN 1 ELSE 0 END AS is_active_this_week
-  FROM (SELECT DISTINCT week_start FROM weekly) aw
-  CROSS JOIN (SELECT DISTINCT user_id, acq_source, country FROM weekly) au
-  LEFT JOIN weekly w ON aw.week_start = w.week_start AND au.user_id = w.user_id)""",
-        f"""history AS (
-  SELECT * FROM (
-    SELECT *,
-      min(CASE WHEN is_active_this_week = 1 THEN week_start END) OVER (PARTITION BY user_id) AS first_ever_week,
-      {lags},
-      max(CASE WHEN is_active_this_week = 1 THEN week_start END) OVER (PARTITION BY user_id ORDER BY week_start
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_active_week_before
-    FROM grid WINDOW w AS (PARTITION BY user_id ORDER BY week_start)) g
-  WHERE week_start >= first_ever_week)""",
+        """calendar AS (SELECT DISTINCT week_start FROM weekly)""",
+        """members AS (SELECT user_id, acq_source, country, min(week_start) AS first_week FROM weekly GROUP BY ALL)""",
+        """history AS (
+  SELECT m.user_id, m.acq_source, m.country, c.week_start, m.first_week,
+    CASE WHEN a.user_id IS NULL THEN 0 ELSE 1 END AS is_active
+  FROM members m JOIN calendar c ON c.week_start >= m.first_week
+  LEFT JOIN weekly a ON a.user_id = m.user_id AND a.week_start = c.week_start)""",
+    ]
+
+
+_LAGS = [f"active_{n}_back" for n in range(1, 5)]
+
+
+def _runs_ctes() -> list[str]:
+    """The grid rows with their history; the fifth and later inactive weeks in a row as one."""
+    lags = ", ".join(f"coalesce(lag(is_active, {n}) OVER w, 0) AS {name}" for n, name in enumerate(_LAGS, 1))
+    quiet = "is_active + " + " + ".join(_LAGS) + " = 0"
+    keys = "user_id, acq_source, country, first_week"
+    return [
+        f"""full_history AS (
+  SELECT h.*, CAST(c.number AS INTEGER) AS number, {lags},
+    max(CASE WHEN is_active = 1 THEN h.week_start END) OVER (PARTITION BY user_id ORDER BY h.week_start
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_active_week
+  FROM history h
+  JOIN (SELECT week_start, row_number() OVER (ORDER BY week_start) AS number FROM calendar) c
+    ON h.week_start = c.week_start
+  WINDOW w AS (PARTITION BY user_id ORDER BY h.week_start))""",
+        f"""runs AS (
+  SELECT {keys}, number, week_start, 1 AS n_weeks, is_active, {', '.join(_LAGS)}, last_active_week
+  FROM full_history WHERE NOT ({quiet})
+  UNION ALL
+  SELECT {keys}, min(number), min(week_start), CAST(count(*) AS INTEGER), 0, 0, 0, 0, 0, last_active_week
+  FROM full_history WHERE {quiet} GROUP BY {keys}, last_active_week)""",
     ]
 
 
 def _lifecycle_sql(source: str) -> str:
-    recent = "(" + " OR ".join(f"active_{n}_weeks_ago = 1" for n in range(1, 5)) + ")"
+    lookback = "OVER (PARTITION BY user_id ORDER BY week_start ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)"
+    earlier = "OVER (PARTITION BY user_id ORDER BY week_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     return f"""
 SELECT {_label("week_start")} AS cutoff_week, acq_source, country, user_status,
   count(user_id) AS user_count, '{ADAPTERS[source][2]}' AS ds
 FROM (
   SELECT *, CASE
-    WHEN is_active_this_week = 1 AND week_start = first_ever_week THEN 'new'
-    WHEN is_active_this_week = 1 AND {recent} THEN 'retained'
-    WHEN is_active_this_week = 1 AND week_start > first_ever_week THEN 'resurrected'
-    WHEN is_active_this_week = 0 AND {recent} THEN 'dormant'
-    WHEN is_active_this_week = 0 AND last_active_week_before < week_start - INTERVAL 28 DAY THEN 'churned'
-  END AS user_status FROM history) s
+    WHEN week_start = first_week THEN 'new'
+    WHEN is_active = 1 THEN CASE WHEN recent = 1 THEN 'retained' ELSE 'resurrected' END
+    WHEN recent = 1 THEN 'dormant'
+    WHEN last_week < week_start - INTERVAL 28 DAY THEN 'churned' END AS user_status
+  FROM (
+    SELECT *, max(is_active) {lookback} AS recent,
+      max(CASE WHEN is_active = 1 THEN week_start END) {earlier} AS last_week
+    FROM history) h) s
 WHERE user_status IS NOT NULL
 GROUP BY 1, 2, 3, 4"""
 
@@ -560,7 +579,7 @@ def oracle_sql() -> dict[str, str]:
     active_key = ["period_start_date", "period_type", "acq_source", "country"]
     lifecycle_key = ["cutoff_week", "acq_source", "country", "user_status"]
     miles = "json_extract_string(event_json, '$.miles_amount')"
-    lifecycle_of = {s: _metrics_with(s, *_history_ctes(), f"lifecycle AS ({_lifecycle_sql(s)})") for s in ADAPTERS}
+    lifecycle_of = {s: _metrics_with(s, *_grid_ctes(), f"lifecycle AS ({_lifecycle_sql(s)})") for s in ADAPTERS}
     active_of = {s: _metrics_with(s, f"active AS ({_active_sql(s)})") for s in ADAPTERS}
     retention_of = {s: _with(s, _FACTS, *_retention_ctes(s)) for s in ADAPTERS}
     facts_of = {s: _with(s, _FACTS) for s in ADAPTERS}
@@ -574,7 +593,7 @@ def oracle_sql() -> dict[str, str]:
         "active_users_orders": active_of["orders"] + f"SELECT {active_columns} FROM active",
         "lifecycle_events": lifecycle_of["events"] + "SELECT * FROM lifecycle",
         "lifecycle_orders": lifecycle_of["orders"] + "SELECT * FROM lifecycle",
-        "lifecycle_orders_grid": lifecycle_of["orders"] + "SELECT * FROM lifecycle",
+        "lifecycle_orders_from_history": lifecycle_of["orders"] + "SELECT * FROM lifecycle",
         "retention_events": retention_of["events"] + f"SELECT {retention_columns} FROM rates",
         "retention_orders": retention_of["orders"] + f"SELECT {retention_columns} FROM rates",
         "report_active_by_segment": active_of["orders"]
@@ -597,11 +616,10 @@ def oracle_sql() -> dict[str, str]:
         "active_days": facts_of["orders"]
         + "SELECT user_id, CAST(count(DISTINCT ds) AS INTEGER) AS n_days, min(ds) AS first_day, max(ds) AS last_day "
         f"FROM facts WHERE ds >= '{ADAPTERS['orders'][1]}' GROUP BY 1",
-        "user_week_history": _metrics_with("orders", *_history_ctes())
-        + "SELECT user_id, acq_source, country, CAST(week_start AS VARCHAR) AS week_start, is_active_this_week, "
-        "CAST(first_ever_week AS VARCHAR) AS first_ever_week, active_1_weeks_ago, active_2_weeks_ago, "
-        "active_3_weeks_ago, active_4_weeks_ago, "
-        "CAST(last_active_week_before AS VARCHAR) AS last_active_week_before FROM history",
+        "user_week_history": _metrics_with("orders", *_grid_ctes(), *_runs_ctes())
+        + "SELECT user_id, acq_source, country, number, CAST(week_start AS VARCHAR) AS week_start, n_weeks, is_active, "
+        f"CAST(first_week AS VARCHAR) AS first_week, {', '.join(_LAGS)}, "
+        "CAST(last_active_week AS VARCHAR) AS last_active_week FROM runs",
         "week_labels": _with("orders")
         + f"SELECT DISTINCT CAST(CAST(event_time AS DATE) AS VARCHAR) AS day, "
         f"CAST({_WEEK.format('event_time')} AS VARCHAR) AS week_start, "

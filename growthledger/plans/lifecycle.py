@@ -1,8 +1,9 @@
 """Weekly user lifecycle: new, retained, resurrected, dormant, churned.
 
-Two forms with the same result. ``lifecycle_weekly`` is the one to use: it never builds
-the users x weeks grid. ``lifecycle_weekly_from_history`` classifies the explicit weekly
-history row by row; it is the readable statement of the rules and the check of the first.
+Two forms with the same result, and neither builds a grid of users x weeks.
+``lifecycle_weekly`` is the one to use: it reduces the users to counts before it looks at
+any status. ``lifecycle_weekly_from_history`` classifies the history of every user row by
+row; it is the readable statement of the rules and the check of the first.
 
 "Weeks" below are the weeks in which anybody was active, numbered 1, 2, 3, ...
 A user is
@@ -98,12 +99,7 @@ def status_changes(steps: DataFrame, all_weeks: Column) -> DataFrame:
         *_stay(F.lit("churned"), lapse, q, ~first & (lapse < q)),
     )
     return (
-        steps.withColumns(
-            {
-                "i": F.array_position(all_weeks, F.col("from_week")).cast("int"),
-                "q": F.array_position(all_weeks, F.col("to_week")).cast("int"),
-            }
-        )
+        steps.withColumns({"i": _position(all_weeks, "from_week"), "q": _position(all_weeks, "to_week")})
         .select("acq_source", "country", F.inline(changes))
         .where(F.col("change") != 0)
         .groupBy("acq_source", "country", "user_status", "number")
@@ -120,6 +116,11 @@ def _stay(status: Column, lo: Column, hi: Column, applies: Column) -> list[Colum
     ]
 
 
+def _position(all_weeks: Column, week: str) -> Column:
+    """Number of a week, from 1; 0 when it is not in the list."""
+    return F.array_position(all_weeks, F.col(week)).cast("int")
+
+
 def _date(text: str) -> Column:
     return F.lit(text).cast("date")
 
@@ -145,40 +146,48 @@ def running_counts(changes: DataFrame) -> DataFrame:
     )
 
 
-def user_week_history(
-    events: DataFrame, users: DataFrame, start_ds: str
-) -> DataFrame:
-    """One row per user and week from the user's first active week on, with its history.
+def user_week_history(events: DataFrame, users: DataFrame, start_ds: str) -> DataFrame:
+    """The weeks of every user from the first active one on, with the user's history.
 
-    Columns: whether the user was active, the first active week, activity 1 to 4 weeks
-    back, and the last active week before this one. The result itself is users x weeks in
-    size; use it to inspect, not on the way to the weekly counts.
+    Columns: number and label of the week, how many weeks the row stands for, whether the
+    user was active, the first active week, activity 1 to 4 weeks back, and the last active
+    week before this one. Nothing but the label changes from the fifth inactive week in a
+    row on, so those weeks are one row; the result therefore grows with the activity and
+    not with users x weeks.
     """
-    weeks = with_segments(active_weeks(events, start_ds), users)
-    everyone = weeks.select(F.explode("weeks").alias("week")).agg(F.sort_array(F.collect_set("week")))
-    first = F.col("weeks")[0]
+    calendar = with_segments(active_weeks(events, start_ds), users)
+    all_weeks = week_list(activity_steps(calendar))
+    following = F.concat(F.slice("weeks", 2, F.size("weeks")), F.array(_date(AFTER_LAST)))
+    stretch = F.inline(F.arrays_zip(F.col("weeks").alias("week"), following.alias("next_week")))
+    lapse = F.col("i") + LOOKBACK_WEEKS + 1
+    number, until = F.col("number"), F.col("q")
     rows = (
-        weeks.withColumn("all_weeks", everyone.scalar())
-        .withColumn("week_start", F.explode(F.filter("all_weeks", lambda week: week >= first)))
+        calendar.select("user_id", "acq_source", "country", stretch)
         .select(
-            "user_id", "acq_source", "country", "week_start",
-            F.array_contains("weeks", F.col("week_start")).cast("int").alias("is_active_this_week"),
+            "user_id", "acq_source", "country",
+            _position(all_weeks, "week").alias("i"), _position(all_weeks, "next_week").alias("q"),
+        )
+        .select("*", F.explode(F.sequence("i", F.least(lapse, until - 1))).alias("number"))
+        .select(
+            "user_id", "acq_source", "country", "number",
+            F.element_at(all_weeks, number).alias("week_start"),
+            F.when(number == lapse, until - number).otherwise(1).alias("n_weeks"),
+            (number == F.col("i")).cast("int").alias("is_active"),
         )
     )
     user = Window.partitionBy("user_id")
-    by_week = user.orderBy("week_start")
-    active = F.col("is_active_this_week")
+    by_week = user.orderBy("number")
+    active = F.col("is_active")
     active_week = F.when(active == 1, F.col("week_start"))
     lags = {
-        f"active_{n}_weeks_ago": F.coalesce(F.lag(active, n).over(by_week), F.lit(0))
-        for n in range(1, LOOKBACK_WEEKS + 1)
+        f"active_{n}_back": F.coalesce(F.lag(active, n).over(by_week), F.lit(0)) for n in range(1, LOOKBACK_WEEKS + 1)
     }
     before = by_week.rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumns(
         {
-            "first_ever_week": F.min(active_week).over(user),
+            "first_week": F.min(active_week).over(user),
             **lags,
-            "last_active_week_before": F.max(active_week).over(before),
+            "last_active_week": F.max(active_week).over(before),
         }
     )
 
@@ -187,26 +196,32 @@ def lifecycle_weekly_from_history(
     events: DataFrame, users: DataFrame, start_ds: str, as_of: str | dt.date | None = None
 ) -> DataFrame:
     """The weekly counts by classifying every row of ``user_week_history``."""
-    active = F.col("is_active_this_week") == 1
+    active = F.col("is_active") == 1
     recently = F.lit(False)
     for n in range(1, LOOKBACK_WEEKS + 1):
-        recently = recently | (F.col(f"active_{n}_weeks_ago") == 1)
-    lapsed = F.col("last_active_week_before") < F.date_sub("week_start", 7 * LOOKBACK_WEEKS)
+        recently = recently | (F.col(f"active_{n}_back") == 1)
+    lapsed = F.col("last_active_week") < F.date_sub("week_start", 7 * LOOKBACK_WEEKS)
     status = (
-        F.when(active & (F.col("week_start") == F.col("first_ever_week")), "new")
+        F.when(active & (F.col("week_start") == F.col("first_week")), "new")
         .when(active & recently, "retained")
         .when(active, "resurrected")
         .when(recently, "dormant")
         .when(lapsed, "churned")
     )
-    counts = (
+    number = F.col("number")
+    edges = F.array(
+        F.struct(number.alias("number"), F.lit(1).cast("long").alias("change")),
+        F.struct((number + F.col("n_weeks")).alias("number"), F.lit(-1).cast("long").alias("change")),
+    )
+    changes = (
         user_week_history(events, users, start_ds)
-        .select("acq_source", "country", F.col("week_start").alias("week"), status.alias("user_status"))
+        .select("acq_source", "country", status.alias("user_status"), F.inline(edges))
         .where(F.col("user_status").isNotNull())
-        .groupBy("week", "acq_source", "country", "user_status")
-        .agg(F.count("*").alias("user_count"))
+        .groupBy("acq_source", "country", "user_status", "number")
+        .agg(F.sum("change").alias("change"))
     )
-    return _labelled(counts, as_of)
+    all_weeks = week_list(activity_steps(with_segments(active_weeks(events, start_ds), users)))
+    return _labelled(running_counts(changes).withColumn("week", F.element_at(all_weeks, number)), as_of)
 
 
 def _labelled(counts: DataFrame, as_of: str | dt.date | None) -> DataFrame:

@@ -65,9 +65,18 @@ def test_lifecycle_skips_weeks_without_anybody(spark, form):
 def test_history_of_the_example(spark):
     events = active_in("u_1234", *weeks(1, 2, 5, 6)) + active_in("u_0002", *weeks(3, 4))
     history = user_week_history(*built(spark, *events), START).where("user_id = 'u_1234'").orderBy("week_start")
-    before = [r.last_active_week_before for r in history.collect()]
+    before = [r.last_active_week for r in history.collect()]
     assert [b and b.isoformat() for b in before] == [None, *weeks(1, 2, 2, 2, 5)]
-    assert {r.first_ever_week.isoformat() for r in history.collect()} == set(weeks(1))
+    assert {r.first_week.isoformat() for r in history.collect()} == set(weeks(1))
+
+
+def test_history_keeps_a_long_absence_as_one_row(spark):
+    events = active_in("u_1234", *weeks(1, 9)) + active_in("u_0002", *weeks(*range(1, 21)))
+    history = user_week_history(*built(spark, *events), START).where("user_id = 'u_1234'").orderBy("number")
+    assert [(r.number, r.n_weeks, r.is_active) for r in history.collect()] == [
+        (1, 1, 1), (2, 1, 0), (3, 1, 0), (4, 1, 0), (5, 1, 0), (6, 3, 0),
+        (9, 1, 1), (10, 1, 0), (11, 1, 0), (12, 1, 0), (13, 1, 0), (14, 7, 0),
+    ]
 
 
 def test_active_users_by_period(spark):

@@ -41,7 +41,19 @@ def lifecycle_weekly(
 
     ``users`` is one snapshot of the user dimension with one row per user.
     """
-    return lifecycle_from_calendar(with_segments(active_weeks(events, start_ds), users), as_of)
+    return lifecycle_from_calendar(_weekly_calendar(events, users, start_ds), as_of)
+
+
+def _weekly_calendar(events: DataFrame, users: DataFrame, start_ds: str) -> DataFrame:
+    """Weekly calendars with segments, planned the same way wherever they are read.
+
+    The calendars are read by the list of weeks and by the counts, which run as separate
+    adaptive queries. Left alone, the two may turn this join into different broadcasts
+    when the users happen to be few, and then nothing after it could be shared. Both sides
+    hold one row per user and the calendars are partitioned already, so a merge join is
+    what large data gets anyway.
+    """
+    return with_segments(active_weeks(events, start_ds), users.hint("merge"))
 
 
 def lifecycle_from_calendar(calendar: DataFrame, as_of: str | dt.date | None = None) -> DataFrame:
@@ -155,7 +167,7 @@ def user_week_history(events: DataFrame, users: DataFrame, start_ds: str) -> Dat
     row on, so those weeks are one row; the result therefore grows with the activity and
     not with users x weeks.
     """
-    calendar = with_segments(active_weeks(events, start_ds), users)
+    calendar = _weekly_calendar(events, users, start_ds)
     all_weeks = week_list(activity_steps(calendar))
     following = F.concat(F.slice("weeks", 2, F.size("weeks")), F.array(_date(AFTER_LAST)))
     stretch = F.inline(F.arrays_zip(F.col("weeks").alias("week"), following.alias("next_week")))
@@ -220,7 +232,7 @@ def lifecycle_weekly_from_history(
         .groupBy("acq_source", "country", "user_status", "number")
         .agg(F.sum("change").alias("change"))
     )
-    all_weeks = week_list(activity_steps(with_segments(active_weeks(events, start_ds), users)))
+    all_weeks = week_list(activity_steps(_weekly_calendar(events, users, start_ds)))
     return _labelled(running_counts(changes).withColumn("week", F.element_at(all_weeks, number)), as_of)
 
 

@@ -60,7 +60,8 @@ def test_active_users_reads_events_once_and_reuses_the_calendar_partitioning(tab
     assert len(calendar_shuffles) == 3
 
 
-def test_lifecycle_has_no_grid_and_runs_the_user_level_once(tables, no_broadcast):
+@pytest.mark.parametrize("attempt", [1, 2, 3])
+def test_lifecycle_has_no_grid_and_runs_the_user_level_once(tables, attempt):
     result = lifecycle_weekly(*tables, *ARGS)
     result.collect()
     plan = physical(result)

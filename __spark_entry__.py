@@ -41,6 +41,13 @@ from growthledger.session import apply_defaults, work_path
 from growthledger.sources import adapters
 from growthledger.sources.tables import latest_snapshot, write_full
 
+try:  # the text operators can be taken out as a whole
+    from growthledger.llm import registry as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("growthledger.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 SMALL = "/root/testdata/sf0.001"
 ADAPTERS = {
     "events": (adapters.events_stream, adapters.EVENTS_START_DS, adapters.EVENTS_AS_OF),
@@ -267,7 +274,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def run(query: Callable, spark: SparkSession, sf_dir: str) -> DataFrame:
         return _plain(query(apply_defaults(spark), sf_dir))
 
-    return {name: partial(run, query) for name, query in registered.items()}
+    found = {name: partial(run, query) for name, query in registered.items()}
+    return found | (llm.QUERIES if llm else {})
 
 
 # --- oracles ---------------------------------------------------------------------------
@@ -558,6 +566,10 @@ def _staging_summary_sql(source: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _own_oracle_sql() | (llm.ORACLE_SQL if llm else {})
+
+
+def _own_oracle_sql() -> dict[str, str]:
     events_users, orders_users = (_users_sql(ADAPTERS[s][2]) for s in ("events", "orders"))
     fact_columns = (
         "event_id, CAST(event_time AS VARCHAR) AS event_time, event_year, event_month, event_day, event_week, "

@@ -37,12 +37,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+
+
 def table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back: cuts the lineage."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def type_of(df: DataFrame, column: str) -> str:

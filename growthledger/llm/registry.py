@@ -7,13 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, ngram_join, token_counts
+from . import byte_bpe, html_blocks, ngram_join, token_counts, warc
+from .common import scratch_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(_documents(spark, sf_dir), n=3, threshold=0.9)
 
@@ -22,14 +27,28 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(_pages(spark, sf_dir))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(_pages(spark, sf_dir), path)
+    return warc.read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_counts": op2_token_counts,
+    "op3_html_blocks": op3_html_blocks,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_warc": op8_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -1,0 +1,93 @@
+"""WARC (8): written, read back in small splits, compared with the pages."""
+
+import base64
+import glob
+import gzip
+import hashlib
+import random
+
+import pytest
+from growthledger.llm import warc
+
+
+def rows():
+    rng = random.Random(8)
+    big = base64.b64encode(rng.randbytes(60_000)).decode()
+    pages = [(i, f"http://x/{i}", "".join(rng.choice("ab <é") for _ in range(rng.randint(0, 4000)))) for i in range(60)]
+    pages += [(i, f"http://copy/{i}", "same page") for i in range(100, 180)]
+    pages += [(-5, None, big), (200, "http://big\r\nX: y", big), (201, "u", None), (202, "u", ""), (203, "u", "one")]
+    return [*pages, (203, "u", "one"), (None, "u", "one"), (None, "u", None)]
+
+
+def expected(pages, least=0):
+    ids = {}
+    for page, _, text in pages:
+        if page is not None:
+            ids.setdefault(text or "", []).append(page)
+    out = []
+    for page, _, text in pages:
+        data = (text or "").encode()
+        first = min(ids.get(text or "", [page or 0]))
+        revisit = page is not None and page > first and len(data) >= least
+        sha1 = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        out.append(str((page, len(data), sha1, "revisit" if revisit else "response", first if revisit else None)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("split, least", [("200", 0), ("64m", 5)])
+def test_pages_come_back(spark, tmp_path, split, least):
+    pages = rows()
+    df = spark.createDataFrame([(*r, 1) for r in pages], "page_id long, url string, html string, size int")
+    path = str(tmp_path / "archive")
+    warc.write_archives(df.repartition(4), path, least)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in kept:
+        spark.conf.set(k, split if "max" in k else "1")
+    try:
+        found = warc.read_archives(spark, path).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    got = [str((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)) for r in found]
+    assert sorted(got) == expected(pages, least)
+    payloads = {r.page_id: bytes(r.payload).decode() for r in found if r.payload is not None and r.page_id is not None}
+    assert all(payloads[p] == (t or "") for p, _, t in pages if p in payloads)
+    for file in glob.glob(f"{path}/part-*"):  # any gzip reader can read the files
+        assert gzip.decompress(open(file, "rb").read()).startswith(b"WARC/1.1\r\n")
+
+
+def test_magic_inside_a_record_and_across_ranges():
+    rng = random.Random(1)
+    payloads = [b"x" * 10, rng.randbytes(90_000) + warc.MAGIC + rng.randbytes(90_000) + warc.MAGIC, b"y"]
+    sha1 = hashlib.sha1(b"").digest()
+    # Incompressible payloads are stored as they are, magic included.
+    data = b"".join(warc.member(i, "u", sha1, len(p), p, None, "2025") for i, p in enumerate(payloads))
+    pieces = data.split(warc.MAGIC)[1:]
+    assert len(pieces) > 3
+    want = [warc._record(d)["payload"] for _, d in warc._members(iter(pieces), True)]
+    assert want == payloads
+    for cut in range(1, len(pieces)):
+        parts = [list(warc._members(iter(p), k == 0)) for k, p in enumerate((pieces[:cut], pieces[cut:]))]
+        raw = [d for part in parts for kind, d in part if kind == "piece"]
+        found = [d for part in parts for kind, d in part if kind == "record"] + [d for _, d in warc._stitched(raw)]
+        assert sorted(warc._record(d)["payload"] for d in found) == sorted(payloads)
+
+
+def test_large_record_ends_in_zero():
+    payload = bytes(17 << 20)
+    made = warc.member(1, "u", hashlib.sha1(payload).digest(), len(payload), payload, None, "2025")
+    assert made[-1] == 0
+    assert [len(warc._record(d)["payload"]) for _, d in warc._members(iter(made.split(warc.MAGIC)[1:]), True)] == [17 << 20]
+
+
+def test_broken_archive_is_an_error():
+    with pytest.raises(ValueError):
+        list(warc._members(iter([b"junk"]), True))
+    with pytest.raises(ValueError):
+        list(warc._stitched([warc.member(1, "u", b"", 1, b"a" * 99, None, "2025")[:-30]]))
+
+
+def test_empty_table(spark, tmp_path):
+    df = spark.createDataFrame([], "page_id long, url string, html string")
+    warc.write_archives(df, str(tmp_path / "none"))
+    assert warc.read_archives(spark, str(tmp_path / "none")).count() == 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, html_blocks, ngram_join, token_counts, warc
+from . import byte_bpe, html_blocks, line_dedup, ngram_join, token_counts, warc
 from .common import scratch_path
 
 
@@ -31,6 +31,10 @@ def op3_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(_pages(spark, sf_dir))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(_documents(spark, sf_dir)).select("doc_id", "text", "n_removed")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -47,8 +51,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_counts": op2_token_counts,
     "op3_html_blocks": op3_html_blocks,
+    "op4_line_dedup": op4_line_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_warc": op8_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.ORACLE}

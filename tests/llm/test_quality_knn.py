@@ -1,0 +1,73 @@
+"""Quality classifier (6): votes against plain numpy, held-out accuracy, odd rows."""
+
+import numpy as np
+import pytest
+from growthledger.llm import quality_knn, registry
+from growthledger.llm.quality_knn import SIZE, Model, describe, fit, leading_axes, score
+
+
+@pytest.fixture(scope="module")
+def result(spark):
+    return registry.QUERIES["op6_quality_knn"](spark, "/root/testdata/sf0.01").toPandas()
+
+
+def test_held_out_accuracy(spark, result):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").toPandas()
+    joined = result.merge(labels, on="doc_id")
+    held = joined[joined["held_out"]]
+    assert len(held) > 60
+    assert (held["predicted"] == held["quality"]).mean() >= 0.95
+    assert (held[held["quality"] == 1]["predicted"] == 1).mean() >= 0.97
+    assert len(result) == 1000 and result["score"].between(0, 1).all()
+    assert ((result["score"] >= 0.7) == (result["predicted"] == 1)).all()
+
+
+def test_axes_equal_the_singular_vectors():
+    rng = np.random.default_rng(3)
+    matrix = (rng.standard_normal((80, 6)) * [9, 7, 5, 3, 0.1, 0.1]) @ rng.standard_normal((6, 50))
+    _, _, want = np.linalg.svd(matrix, full_matrices=False)
+    found = leading_axes(matrix.astype(np.float32), 3)
+    assert np.allclose(np.abs(np.sum(found.T * want[:3], axis=1)), 1, atol=1e-4)
+
+
+def test_votes_weigh_by_similarity():
+    vectors = np.array([[1, 0], [0, 1], [0.6, 0.8]], np.float32)
+    model = Model(np.ones(SIZE), np.eye(SIZE, 2, dtype=np.float32), vectors, np.array([1.0, 0.0, 0.0]), 0.3, 2, 1.0)
+    rows = np.zeros((3, SIZE), np.float32)
+    rows[0, :2] = np.expm1([1, 0])
+    rows[1, :2] = np.expm1([0, 2])
+    assert np.allclose(model.score(rows), [1 / 1.6, 0, 0.3], atol=1e-5)
+
+
+def test_folds_labels_and_odd_rows(spark):
+    texts = [(i, f"A plain sentence number {i}, as it was written." if i % 2 else f"X{i}### Y*** Z$$$ W%%% V&&&") for i in range(60)]
+    docs = [(*t, "clash") for t in texts] + [(None, "no id", "c"), (90, None, "c"), (91, "", "c"), (92, "ab", "c")]
+    docs += [(93, "word " * 60_000, "c"), (3, texts[3][1], "clash")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, score string").repartition(4)
+    labels = [(i, i % 2) for i in range(60)] + [(None, 0), (61, None), (3, 1)]
+    model = fit(df, spark.createDataFrame(labels, "doc_id long, quality int"), dims=8, neighbours=5)
+    assert len(model.labels) == 60 and model.prior == 0.5
+    found = score(df, model)
+    assert found.columns == ["doc_id", "text", "score", "predicted"]
+    rows = {r.doc_id: r for r in found.collect()}
+    assert found.count() == len(docs)
+    assert all(rows[i].predicted == i % 2 for i in range(60))
+    assert rows[90].score == rows[91].score == rows[92].score == 0.5
+    none = fit(df.limit(0), spark.createDataFrame([], "doc_id long, quality int"))
+    assert score(df.limit(0), none).count() == 0
+    assert {r.score for r in score(df, none).collect()} == {0.5}
+
+
+def test_sample_is_bounded_and_labels_of_the_fold_are_unused(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    assert len(fit(docs, labels.select("doc_id", "quality"), sample=20).labels) == 20
+    held = quality_knn.held_out("doc_id")
+    flipped = labels.withColumn("quality", quality_knn.F.when(held, 1 - labels.quality).otherwise(labels.quality))
+    a, b = (quality_knn.quality(docs, x).orderBy("doc_id").toPandas()["score"] for x in (labels, flipped))
+    assert np.array_equal(a, b)
+
+
+def test_describe_counts_every_byte():
+    long = np.frombuffer(b"abc " * 700_000, np.uint8)
+    assert describe(long)[: quality_knn.TRIGRAMS].sum() == len(long) - 2

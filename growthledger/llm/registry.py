@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, html_blocks, line_dedup, ngram_join, quality_knn, token_counts, warc
+from . import byte_bpe, html_blocks, kd_search, line_dedup, ngram_join, quality_knn, token_counts, warc
 from .common import scratch_path
 
 
@@ -53,6 +53,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_counts": op2_token_counts,
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_knn": op6_quality_knn,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_warc": op8_warc,
+    "op9_kd_search": op9_kd_search,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.ORACLE, "op9_kd_search": kd_search.ORACLE}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, html_blocks, kd_search, line_dedup, ngram_join, quality_knn, token_counts, warc
+from . import byte_bpe, html_blocks, kd_search, lattice_lm, line_dedup, ngram_join, quality_knn, token_counts, warc
 from .common import scratch_path
 
 
@@ -35,6 +35,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(_documents(spark, sf_dir)).select("doc_id", "text", "n_removed")
 
 
+def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.lm_scores(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     scored = quality_knn.quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_html_blocks": op3_html_blocks,
     "op4_line_dedup": op4_line_dedup,
+    "op5_lattice_lm": op5_lattice_lm,
     "op6_quality_knn": op6_quality_knn,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_warc": op8_warc,

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, html_blocks, kd_search, lattice_lm, line_dedup, ngram_join, quality_knn, token_counts, warc
+from . import byte_bpe, decontaminate, html_blocks, kd_search, lattice_lm, line_dedup, ngram_join, quality_knn, token_counts, warc
 from .common import scratch_path
 
 
@@ -61,6 +62,12 @@ def op9_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_counts": op2_token_counts,
@@ -71,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_byte_bpe": op7_byte_bpe,
     "op8_warc": op8_warc,
     "op9_kd_search": op9_kd_search,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.ORACLE, "op9_kd_search": kd_search.ORACLE}

@@ -41,7 +41,9 @@ from growthledger.session import apply_defaults, work_path
 from growthledger.sources import adapters
 from growthledger.sources.tables import latest_snapshot, write_full
 
-try:  # the text operators can be taken out as a whole
+try:  # the text operators and their pipeline can be taken out as a whole
+    import corpus_pipeline
+
     from growthledger.llm import registry as llm
 except ModuleNotFoundError as missing:
     if missing.name not in ("growthledger.llm", "corpus_pipeline"):
@@ -275,7 +277,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return _plain(query(apply_defaults(spark), sf_dir))
 
     found = {name: partial(run, query) for name, query in registered.items()}
-    return found | (llm.QUERIES if llm else {})
+    return found | ({**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {})
 
 
 # --- oracles ---------------------------------------------------------------------------

@@ -65,7 +65,7 @@ def lifecycle_from_calendar(calendar: DataFrame, as_of: str | dt.date | None = N
     steps = activity_steps(calendar)
     all_weeks = week_list(steps)
     counts = running_counts(status_changes(steps, all_weeks))
-    return _labelled(counts.withColumn("week", F.element_at(all_weeks, F.col("number"))), as_of)
+    return _labelled(counts.withColumn("week", _week(all_weeks, F.col("number"))), as_of)
 
 
 def activity_steps(calendar: DataFrame) -> DataFrame:
@@ -84,14 +84,27 @@ def activity_steps(calendar: DataFrame) -> DataFrame:
 
 
 def week_list(steps: DataFrame) -> Column:
-    """All weeks with activity in order, then AFTER_LAST, as one array.
+    """weeks: all weeks with activity in order, then AFTER_LAST; ranks: numbers by calendar week.
+
+    ``ranks`` has an entry for every calendar week from the first active one on, so that the number of
+    a week is found by its distance from the first. Quiet weeks hold the number before
+    them and are never asked for.
 
     A scalar subquery with one entry per calendar week: the DATE type has no more than
     521,723 of them (about 4 MB), however much data there is. Looking at the users keeps
     the steps equal to the ones that are counted, so that they are computed only once.
     """
     active = F.when(F.col("users") > 0, F.col("to_week"))
-    return steps.agg(F.sort_array(F.collect_set(active))).scalar()
+    weeks = steps.agg(F.sort_array(F.collect_set(active)).alias("weeks"))
+    known = F.slice("weeks", 1, F.greatest(F.size("weeks") - 1, F.lit(0)))
+    numbered = F.transform(
+        "known",
+        lambda w, k: F.array_repeat(
+            k + 1, F.coalesce((F.datediff(F.get("known", k + 1), w) / 7).cast("int"), F.lit(1))
+        ),
+    )
+    ranks = weeks.withColumn("known", known).select(F.struct("weeks", F.flatten(numbered).alias("ranks")))
+    return ranks.scalar()
 
 
 def status_changes(steps: DataFrame, all_weeks: Column) -> DataFrame:
@@ -99,7 +112,7 @@ def status_changes(steps: DataFrame, all_weeks: Column) -> DataFrame:
 
     A step from number i to number q gives these stays [lo, hi): the status of the arrival
     at q, dormant on the up to 4 weeks after i, and churned from then until q. Numbers are
-    positions in ``all_weeks``; the position of BEFORE_FIRST is 0.
+    positions in the list of weeks; that of BEFORE_FIRST is 0.
     """
     i, q = F.col("i"), F.col("q")
     first, last = i == 0, F.col("to_week") == _date(AFTER_LAST)
@@ -129,8 +142,18 @@ def _stay(status: Column, lo: Column, hi: Column, applies: Column) -> list[Colum
 
 
 def _position(all_weeks: Column, week: str) -> Column:
-    """Number of a week, from 1; 0 when it is not in the list."""
-    return F.array_position(all_weeks, F.col(week)).cast("int")
+    """Number of a week, from 1; 0 for BEFORE_FIRST. Constant time."""
+    weeks, day = all_weeks.getField("weeks"), F.col(week)
+    apart = (F.datediff(day, F.get(weeks, F.lit(0))) / 7).cast("int")
+    return (
+        F.when(day == _date(BEFORE_FIRST), 0)
+        .when(day == _date(AFTER_LAST), F.size(weeks))
+        .otherwise(F.get(all_weeks.getField("ranks"), apart))
+    )
+
+
+def _week(all_weeks: Column, number: Column) -> Column:
+    return F.element_at(all_weeks.getField("weeks"), number)
 
 
 def _date(text: str) -> Column:
@@ -182,7 +205,7 @@ def user_week_history(events: DataFrame, users: DataFrame, start_ds: str) -> Dat
         .select("*", F.explode(F.sequence("i", F.least(lapse, until - 1))).alias("number"))
         .select(
             "user_id", "acq_source", "country", "number",
-            F.element_at(all_weeks, number).alias("week_start"),
+            _week(all_weeks, number).alias("week_start"),
             F.when(number == lapse, until - number).otherwise(1).alias("n_weeks"),
             (number == F.col("i")).cast("int").alias("is_active"),
         )
@@ -233,7 +256,7 @@ def lifecycle_weekly_from_history(
         .agg(F.sum("change").alias("change"))
     )
     all_weeks = week_list(activity_steps(_weekly_calendar(events, users, start_ds)))
-    return _labelled(running_counts(changes).withColumn("week", F.element_at(all_weeks, number)), as_of)
+    return _labelled(running_counts(changes).withColumn("week", _week(all_weeks, number)), as_of)
 
 
 def _labelled(counts: DataFrame, as_of: str | dt.date | None) -> DataFrame:

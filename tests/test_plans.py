@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from growthledger.operators.activity import active_days
 from growthledger.plans.active import active_users
 from growthledger.plans.facts import fct_events
-from growthledger.plans.lifecycle import lifecycle_weekly
+from growthledger.plans.lifecycle import lifecycle_weekly, user_week_history
 from growthledger.plans.retention import retention
 from growthledger.plans.users import dim_users
 from growthledger.sources.adapters import ORDERS_AS_OF, ORDERS_START_DS, orders_stream
@@ -68,6 +68,12 @@ def test_lifecycle_has_no_grid_and_runs_the_user_level_once(tables, attempt):
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     # The list of weeks is read off the shuffled step counts, not computed from events again.
     assert re.search(r"ReusedExchange \[[^\]]*from_week", plan)
+    # The number of a week is looked up, not searched for.
+    assert "array_position" not in plan
+
+
+def test_week_history_looks_numbers_up(tables):
+    assert "array_position" not in physical(user_week_history(*tables, ORDERS_START_DS))
 
 
 def test_users_take_one_scan_and_combine_first(tables):

@@ -12,7 +12,7 @@ from .session import build_session
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="growthledger", description=__doc__)
     steps = [
-        "run", "ingest", "fct_events", "dim_users",
+        "run", "ingest", "fct_events", "dim_users", "metrics",
         "agg_active_user", "agg_user_lifecycle_weekly", "agg_user_retention",
     ]
     parser.add_argument("step", choices=steps)
@@ -21,7 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--as-of", help="build date YYYY-MM-DD (default: today, UTC)")
     parser.add_argument("--start-ds", default=pipeline.DEFAULT_START_DS, help="first event day of the metrics")
     parser.add_argument(
-        "--single-line", action="store_true", help="no line breaks inside quotes: large files can be split"
+        "--multi-line", action="store_true", help="line breaks inside quotes are allowed; each file is one task's work"
     )
     args = parser.parse_args(argv)
     if args.step in ("run", "ingest") and not args.csv:
@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")
     spark = build_session()
     wh = pipeline.Warehouse(spark, args.root)
-    multiline = not args.single_line
+    multiline = args.multi_line
     match args.step:
         case "run":
             pipeline.run_pipeline(spark, args.csv, args.root, args.as_of, args.start_ds, multiline)
@@ -40,6 +40,8 @@ def main(argv: list[str] | None = None) -> None:
             pipeline.build_fct_events(wh)
         case "dim_users":
             pipeline.build_dim_users(wh, args.as_of)
+        case "metrics":  # the three tables below from one pass over the events
+            pipeline.build_metrics(wh, args.start_ds, args.as_of)
         case "agg_active_user":
             pipeline.build_agg_active_user(wh, args.start_ds, args.as_of)
         case "agg_user_lifecycle_weekly":

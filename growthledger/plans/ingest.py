@@ -12,7 +12,7 @@ from ..quality.staging import staging_checks
 from ..session import require_ansi
 from ..sources.csvfiles import read_raw_csv
 from ..sources.schemas import FCT_EVENT_STREAM, STG_EVENT_STREAM, VARCHAR_LIMITS
-from ..sources.tables import cluster_by_ds, read_table, write_full
+from ..sources.tables import cluster_by_ds, read_table, replace_full
 
 
 def typed_load(staging: DataFrame) -> DataFrame:
@@ -35,8 +35,8 @@ def _typed(field: T.StructField) -> Column:
     )
 
 
-def load_staging(spark: SparkSession, csv_path: str | list[str], staging_path: str, multiline: bool = True) -> None:
-    """Replace the staging table with the file's rows, then run the fifteen checks.
+def load_staging(spark: SparkSession, csv_path: str | list[str], staging_path: str, multiline: bool = False) -> None:
+    """Replace the staging table with the file's rows if they pass the fifteen checks.
 
     The checks are observed while the rows are written, so they cost no second scan.
     The write has no shuffle, so no row is observed twice.
@@ -44,9 +44,12 @@ def load_staging(spark: SparkSession, csv_path: str | list[str], staging_path: s
     checks = staging_checks()
     observed = Observation("staging checks")
     rows = read_raw_csv(spark, csv_path, multiline=multiline)
-    write_full(rows.observe(observed, *bad_row_counts(checks)), staging_path)
-    failed = {name: count for name, count in observed.get.items() if count}
-    enforce("stg_event_stream", checks, failed)
+
+    def check(aside: str) -> None:
+        failed = {name: count for name, count in observed.get.items() if count}
+        enforce("stg_event_stream", checks, failed)
+
+    replace_full(rows.observe(observed, *bad_row_counts(checks)), staging_path, check=check)
 
 
 def load_stream(spark: SparkSession, staging_path: str, stream_path: str) -> None:
@@ -56,11 +59,11 @@ def load_stream(spark: SparkSession, staging_path: str, stream_path: str) -> Non
     """
     typed = typed_load(read_table(spark, staging_path, STG_EVENT_STREAM))
     by_day = typed.withColumn("ds", F.to_date("event_time").cast("string"))
-    write_full(cluster_by_ds(by_day), stream_path, partition_by="ds")
+    replace_full(cluster_by_ds(by_day), stream_path, partition_by="ds")
 
 
 def ingest_events(
-    spark: SparkSession, csv_path: str | list[str], staging_path: str, stream_path: str, multiline: bool = True
+    spark: SparkSession, csv_path: str | list[str], staging_path: str, stream_path: str, multiline: bool = False
 ) -> DataFrame:
     """The whole ingest; returns the typed event table. A failed check stops before the load."""
     load_staging(spark, csv_path, staging_path, multiline)

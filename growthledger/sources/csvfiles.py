@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,22 +17,26 @@ NULL_TOKENS = [
 ]
 
 _RECORD = "_malformed_record"
+_OPTIONS = {"escape": '"'}
+# A field that no record holds.
+_MARK = "\x1eend of record\x1e"
 
 
 def read_raw_csv(
     spark: SparkSession,
     path: str | list[str],
     columns: list[str] = RAW_COLUMNS,
-    multiline: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
     """Read CSV files with a header row as text columns, selected by header name.
 
     A missing column fails, an additional one is ignored, a short record is padded with
     nulls and a record with more fields than the header aborts the read. All files must
-    share one header. ``multiline`` allows line breaks inside quotes but makes a file
-    unsplittable: turn it off for large files that have none.
+    share one header. A file is read in splits; then a quote that is still open at the end
+    of a line aborts the read. ``multiline`` allows line breaks inside quotes, but a file
+    is one task's work.
     """
-    reader = spark.read.options(header=True, escape='"', multiLine=multiline)
+    reader = spark.read.options(header=True, multiLine=multiline, **_OPTIONS)
     header = reader.csv(path).columns
     missing = [name for name in columns if name not in header]
     if missing:
@@ -40,21 +46,38 @@ def read_raw_csv(
     # every further file is checked against it.
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, _RECORD]])
     rows = reader.options(enforceSchema=False, columnNameOfCorruptRecord=_RECORD).schema(schema).csv(path)
-    return rows.filter(_not_too_long(header)).select(
+    return rows.filter(_whole(header, multiline)).select(
         *[F.when(~F.col(name).isin(NULL_TOKENS), F.col(name)).alias(name) for name in columns]
     )
 
 
-def _not_too_long(header: list[str]) -> Column:
-    """True, or an error for a record with more fields than the header."""
-    record = F.col(_RECORD)  # only set where the field count differs from the header
-    unquoted = F.regexp_replace(record, '"[^"]*"', "")
-    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
-    # Naming a data column here also lets a bare count() run: the reader refuses queries
-    # that touch nothing but the record text.
+def _whole(header: list[str], multiline: bool) -> Column:
+    """True, or an error for a record with too many fields or an open quote.
+
+    Only records whose field count differs from the header are looked at. Their text is
+    parsed once more by the CSV parser itself, with a mark as one more field at its end and two
+    more columns: the mark stands right after the last field, in the first of them for
+    the longest record that is allowed. An open quote swallows the mark.
+    """
+    record = F.col(_RECORD)
+    names = [f"f{k}" for k in range(len(header) + 1)]
+    fields = F.from_csv(
+        F.concat(record, F.lit("," + _MARK)), ", ".join(f"{n} string" for n in names), {"multiLine": "true", **_OPTIONS}
+    )
+    fits = reduce(Column.__or__, [fields[n] == _MARK for n in names])
+    # Naming all columns here makes the reader look at all fields, also for a bare count().
     message = F.concat(
-        F.lit("CSV record starting with '"), F.coalesce(F.col(header[0]), F.lit("")),
-        F.lit(f"' has more than {len(header)} fields: "), record,
+        F.lit("CSV record with the values '"), F.concat_ws(",", *header),
+        F.lit(
+            f"' has more than {len(header)} fields" + ("" if multiline else " or a quote that the line doesn't close "
+            "(read files with line breaks inside quotes with --multi-line)") + ": "
+        ),
+        F.coalesce(record, F.lit("")),
     )
-    fits = record.isNull() | (fields <= len(header))
-    return F.when(fits, True).otherwise(F.raise_error(message).cast("boolean"))
+    fine = record.isNull() | F.coalesce(fits, F.lit(False))
+    if not multiline:
+        # A quote that is open in the last field doesn't show there: the parser closes it at
+        # the end of the line. It shows in the rest, a short record with an odd quote.
+        quotes = F.length(record) - F.length(F.replace(record, F.lit('"'), F.lit("")))
+        fine = fine & F.coalesce(quotes % 2 == 0, F.lit(True))
+    return F.when(fine, True).otherwise(F.raise_error(message).cast("boolean"))

@@ -33,8 +33,34 @@ def test_columns_are_bound_by_name(spark, tmp_path):
 
 def test_quotes_and_line_breaks(spark, tmp_path):
     line = LINE.replace("dining", '"fine, ""new""\ndining"')
-    rows = read_raw_csv(spark, write(tmp_path / "a.csv", f"{HEADER}\n{line}\n"))
-    assert rows.first().transaction_category == 'fine, "new"\ndining'
+    path = write(tmp_path / "a.csv", f"{HEADER}\n{line}\n")
+    assert read_raw_csv(spark, path, multiline=True).first().transaction_category == 'fine, "new"\ndining'
+    with pytest.raises(Exception, match="--multi-line"):
+        read_raw_csv(spark, path).collect()
+    last = write(tmp_path / "b.csv", f'{HEADER}\n{LINE.removesuffix("SG")}"S\nG"\n')
+    assert read_raw_csv(spark, last, multiline=True).first().country == "S\nG"
+    with pytest.raises(Exception, match="--multi-line"):
+        read_raw_csv(spark, last).collect()
+    quoted = LINE.replace("dining", '"a, ""b"""')
+    one_line = write(tmp_path / "c.csv", f"{HEADER}\n{quoted}\n")
+    assert read_raw_csv(spark, one_line).first().transaction_category == 'a, "b"'
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+@pytest.mark.parametrize("more", ['x"y', "more", "", '""', '"a,b"'])
+def test_a_ninth_field_is_never_dropped(spark, tmp_path, multiline, more):
+    line = f'2025-06-02 10:00:00.000000,u_0002,like,a"b,,ios,google,SG,{more}'
+    path = write(tmp_path / "a.csv", f"{HEADER}\n{LINE}\n{line}\n{LINE}\n")
+    with pytest.raises(Exception, match="more than 8 fields"):
+        read_raw_csv(spark, path, multiline=multiline).collect()
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_stray_quotes_and_short_records_stay(spark, tmp_path, multiline):
+    line = '2025-06-02 10:00:00.000000,u_0002,like,a"b"c,,ios,google'
+    path = write(tmp_path / "a.csv", f"{HEADER}\n{LINE}\n{line},SG\n{line}\n")
+    rows = read_raw_csv(spark, path, multiline=multiline).collect()
+    assert [(r.transaction_category, r.country) for r in rows] == [("dining", "SG"), ('a"b"c', "SG"), ('a"b"c', None)]
 
 
 def test_null_tokens(spark, tmp_path):

@@ -1,30 +1,31 @@
 """The gated build of all tables.
 
-Every step reads published tables only. A table that is expensive to compute is written
-to the shared work folder, checked there, and published when all checks passed, so that
-readers never see data that failed. The user and metric tables keep one partition per
-build date.
+Every step reads published tables only. A table is written once, beside the published one,
+checked there, and takes its place by renaming when all checks passed, so that readers never see data
+that failed and a failed build leaves the old table whole. The user and metric tables keep
+one partition per build date.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import resolve_as_of
 from ..operators.activity import active_days, segments, with_weeks
 from ..quality import models
-from ..quality.checks import Check
+from ..quality.checks import Check, RowCheck, bad_row_counts
 from ..quality.gate import gate
 from ..session import work_path
 from ..sources import schemas
-from ..sources.tables import latest_snapshot, read_table, write_full, write_snapshot
+from ..sources.tables import read_latest, read_table, remove, replace_full, replace_snapshot, write_full
 from .active import active_users, active_users_from_calendar
 from .facts import fct_events
 from .ingest import load_staging, load_stream, read_stream
@@ -74,7 +75,11 @@ class Warehouse:
         return read_table(self.spark, self.path(table), SCHEMAS[table])
 
     def latest_users(self) -> DataFrame:
-        return latest_snapshot(self.read("dim_users"))
+        return self.latest("dim_users")
+
+    def latest(self, table: str) -> DataFrame:
+        """The latest snapshot of a table that keeps one per build date."""
+        return read_latest(self.spark, self.path(table), SCHEMAS[table])
 
     @property
     def audit_path(self) -> str:
@@ -93,48 +98,59 @@ def run_sql(spark: SparkSession, statement: str, message: str = "SQL executed")
     return result
 
 
-def ingest(wh: Warehouse, csv_path: str | list[str], multiline: bool = True) -> None:
+def ingest(wh: Warehouse, csv_path: str | list[str], multiline: bool = False) -> None:
     load_staging(wh.spark, csv_path, wh.path("stg_event_stream"), multiline)
     load_stream(wh.spark, wh.path("stg_event_stream"), wh.path("fct_event_stream"))
 
 
 def build_fct_events(wh: Warehouse) -> None:
-    """Check, then replace the event fact.
+    """Write the event fact beside the published one, check it there, then replace it.
 
-    The fact is a projection of the stored stream, so it is checked before it is written
-    rather than written twice.
+    The row checks are observed while it is written: the write has no shuffle, so no row
+    is observed twice. Only the key's uniqueness takes another pass.
     """
-    events = fct_events(wh.read("fct_event_stream"))
-    gate("fct_events", events, [*models.fct_events_checks(), models.miles_presence_check()], wh.audit_path)
+    checks = [*models.fct_events_checks(), models.miles_presence_check()]
+    observed = Observation("fact checks")
+    row_checks = [c for c in checks if isinstance(c, RowCheck)]
+    events = fct_events(wh.read("fct_event_stream")).observe(observed, *bad_row_counts(row_checks))
+
+    def check(aside: str) -> None:
+        written = read_table(wh.spark, aside, SCHEMAS["fct_events"])
+        gate("fct_events", written, checks, wh.audit_path, observed.get)
+
     # The stream is stored by day, so each task already holds few days: no shuffle.
-    write_full(events, wh.path("fct_events"), partition_by="ds")
+    replace_full(events, wh.path("fct_events"), "ds", check)
 
 
 def build_dim_users(wh: Warehouse, as_of: str | dt.date | None = None) -> None:
     stream = wh.read("fct_event_stream")
     gate("fct_event_stream", stream, [models.single_attribute_check()], wh.audit_path)
-    _publish(wh, "dim_users", dim_users(stream, as_of), models.dim_users_checks())
+    built = resolve_as_of(as_of)
+    _publish(wh, "dim_users", dim_users(stream, built), models.dim_users_checks(), built)
 
 
 def build_agg_active_user(
     wh: Warehouse, start_ds: str = DEFAULT_START_DS, as_of: str | dt.date | None = None
 ) -> None:
-    result = active_users(wh.read("fct_events"), wh.latest_users(), start_ds, as_of)
-    _publish(wh, "agg_active_user", result, models.active_user_checks())
+    built = resolve_as_of(as_of)
+    result = active_users(wh.read("fct_events"), wh.latest_users(), start_ds, built)
+    _publish(wh, "agg_active_user", result, models.active_user_checks(), built)
 
 
 def build_agg_user_lifecycle_weekly(
     wh: Warehouse, start_ds: str = DEFAULT_START_DS, as_of: str | dt.date | None = None
 ) -> None:
-    result = lifecycle_weekly(wh.read("fct_events"), wh.latest_users(), start_ds, as_of)
-    _publish(wh, "agg_user_lifecycle_weekly", result, models.lifecycle_checks())
+    built = resolve_as_of(as_of)
+    result = lifecycle_weekly(wh.read("fct_events"), wh.latest_users(), start_ds, built)
+    _publish(wh, "agg_user_lifecycle_weekly", result, models.lifecycle_checks(), built)
 
 
 def build_agg_user_retention(
     wh: Warehouse, start_ds: str = DEFAULT_START_DS, as_of: str | dt.date | None = None
 ) -> None:
-    result = retention(wh.read("fct_events"), start_ds, as_of)
-    _publish(wh, "agg_user_retention", result, models.retention_checks())
+    built = resolve_as_of(as_of)
+    result = retention(wh.read("fct_events"), start_ds, built)
+    _publish(wh, "agg_user_retention", result, models.retention_checks(), built)
 
 
 def build_metrics(wh: Warehouse, start_ds: str = DEFAULT_START_DS, as_of: str | dt.date | None = None) -> None:
@@ -145,22 +161,26 @@ def build_metrics(wh: Warehouse, start_ds: str = DEFAULT_START_DS, as_of: str |
     """
     known = segments(wh.latest_users()).withColumn("is_known", F.lit(True))
     calendar = active_days(wh.read("fct_events"), start_ds).join(known, "user_id", "left")
-    path = work_path(wh.spark, wh.root, "user_calendar")
+    built = resolve_as_of(as_of)
+    path = work_path(wh.spark, wh.root, f"user_calendar-{built}-{uuid.uuid4().hex}")
     write_full(calendar.select(*_CALENDAR.names), path)
 
     daily = read_table(wh.spark, path, _CALENDAR)
     weekly = with_weeks(daily)
     targets: list[tuple[str, DataFrame, Callable[[], list[Check]]]] = [
-        ("agg_active_user", active_users_from_calendar(daily.where("is_known"), as_of), models.active_user_checks),
+        ("agg_active_user", active_users_from_calendar(daily.where("is_known"), built), models.active_user_checks),
         (
             "agg_user_lifecycle_weekly",
-            lifecycle_from_calendar(weekly.where("is_known"), as_of),
+            lifecycle_from_calendar(weekly.where("is_known"), built),
             models.lifecycle_checks,
         ),
-        ("agg_user_retention", retention_from_calendar(weekly, as_of), models.retention_checks),
+        ("agg_user_retention", retention_from_calendar(weekly, built), models.retention_checks),
     ]
-    for table, result, checks in targets:
-        _publish(wh, table, result, checks())
+    try:
+        for table, result, checks in targets:
+            _publish(wh, table, result, checks(), built)
+    finally:
+        remove(wh.spark, path)
 
 
 def run_pipeline(
@@ -169,7 +189,7 @@ def run_pipeline(
     root: str,
     as_of: str | dt.date | None = None,
     start_ds: str = DEFAULT_START_DS,
-    multiline: bool = True,
+    multiline: bool = False,
 ) -> Warehouse:
     """Everything in order. The first failed check raises and nothing after it runs."""
     wh = Warehouse(spark, root)
@@ -181,10 +201,14 @@ def run_pipeline(
     return wh
 
 
-def _publish(wh: Warehouse, table: str, result: DataFrame, checks: list[Check]) -> None:
-    """Compute once into the work folder, check there, then replace the snapshot."""
-    path = work_path(wh.spark, wh.root, table)
-    write_full(result, path)
-    computed = read_table(wh.spark, path, SCHEMAS[table])
-    gate(table, computed, checks, wh.audit_path)
-    write_snapshot(computed, wh.path(table))
+def _publish(wh: Warehouse, table: str, result: DataFrame, checks: list[Check], built: dt.date) -> None:
+    """Compute once beside the table, check there, then put the snapshot of ``built`` in place."""
+    ds = built.isoformat()
+
+    def check(aside: str) -> None:
+        # The date is the directory's name, which the table beside doesn't have yet.
+        stored = T.StructType([f for f in SCHEMAS[table].fields if f.name != "ds"])
+        computed = read_table(wh.spark, aside, stored).withColumn("ds", F.lit(ds)).select(*SCHEMAS[table].names)
+        gate(table, computed, checks, wh.audit_path)
+
+    replace_snapshot(result, wh.path(table), ds, check)

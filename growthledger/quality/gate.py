@@ -7,6 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
+from ..sources.tables import remove
 from .checks import Check, RowCheck, bad_row_counts
 
 log = logging.getLogger(__name__)
@@ -22,15 +23,17 @@ class DataQualityError(Exception):
         super().__init__(f"{table} failed its checks ({listed})")
 
 
-def failed_checks(df: DataFrame, checks: Iterable[Check]) -> dict[str, int]:
+def failed_checks(df: DataFrame, checks: Iterable[Check], known: dict[str, int] | None = None) -> dict[str, int]:
     """Failed checks with their number of failing rows.
 
     One pass for all row checks together, one for every group check; only counts reach
-    the driver.
+    the driver. ``known``: counts that were observed before, say while ``df`` was written.
     """
     checks = list(checks)
-    row_checks = [c for c in checks if isinstance(c, RowCheck)]
-    counts = df.agg(*bad_row_counts(row_checks)).first().asDict() if row_checks else {}
+    counts = dict(known or {})
+    row_checks = [c for c in checks if isinstance(c, RowCheck) and c.name not in counts]
+    if row_checks:
+        counts |= df.agg(*bad_row_counts(row_checks)).first().asDict()
     for check in checks:
         if check.name not in counts:
             counts[check.name] = check.failing(df).count()
@@ -48,12 +51,24 @@ def enforce(table: str, checks: Iterable[Check], failed: dict[str, int]) -> None
         raise DataQualityError(table, failed)
 
 
-def gate(table: str, df: DataFrame, checks: Iterable[Check], audit_path: str | None = None) -> None:
-    """Run the checks; on failure store the failing rows per check and raise."""
+def gate(
+    table: str,
+    df: DataFrame,
+    checks: Iterable[Check],
+    audit_path: str | None = None,
+    known: dict[str, int] | None = None,
+) -> None:
+    """Run the checks; on failure store the failing rows per check and raise.
+
+    What earlier runs stored for these checks is removed, so that the audit shows this run.
+    """
     checks = list(checks)
-    failed = failed_checks(df, checks)
+    failed = failed_checks(df, checks, known)
     if audit_path:
         for check in checks:
+            path = f"{audit_path}/{table}/{check.name}"
             if check.name in failed:
-                check.failing(df).write.mode("overwrite").parquet(f"{audit_path}/{table}/{check.name}")
+                check.failing(df).write.mode("overwrite").parquet(path)
+            else:
+                remove(df.sparkSession, path)
     enforce(table, checks, failed)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,17 +16,78 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def write_full(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace the whole table."""
+    """Write a table that nobody reads yet, over what is there."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by: str = "ds") -> None:
-    """Replace only the partitions present in ``df``; other snapshots stay as they are."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(partition_by).parquet(path)
+def replace_full(
+    df: DataFrame, path: str, partition_by: str | None = None, check: Callable[[str], None] | None = None
+) -> None:
+    """Replace the whole table, or leave it as it is when the write or ``check`` fails.
+
+    The new table is written once, beside the old one; ``check`` is given its path. Then
+    the two change places by renaming.
+    """
+    _swap_in(df.sparkSession, path, lambda aside: write_full(df, aside, partition_by), check)
+
+
+def replace_snapshot(df: DataFrame, path: str, ds: str, check: Callable[[str], None] | None = None) -> None:
+    """Replace the snapshot of ``ds``, also by an empty one; the others stay as they are.
+
+    Written, checked and renamed like a whole table. ``df`` holds rows of that ``ds`` only.
+    """
+    _swap_in(df.sparkSession, f"{path.rstrip('/')}/ds={ds}", lambda aside: write_full(df.drop("ds"), aside), check)
+
+
+def _swap_in(spark: SparkSession, path: str, write: Callable[[str], None], check: Callable[[str], None] | None) -> None:
+    """Write beside ``path``, check, then rename. Names that begin with _ are no part of a table."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    run = uuid.uuid4().hex
+    aside, before = f"{folder}/_new-{run}-{name}", f"{folder}/_old-{run}-{name}"
+    files, at = _file_system(spark, path)
+    try:
+        write(aside)
+        if check:
+            check(aside)
+        replaced = files.exists(at(path))
+        if replaced and not files.rename(at(path), at(before)):
+            raise OSError(f"can't move {path} away")
+        if not files.rename(at(aside), at(path)):
+            if replaced:
+                files.rename(at(before), at(path))
+            raise OSError(f"can't move the new table to {path}")
+        if replaced:
+            files.delete(at(before), True)
+    finally:
+        files.delete(at(aside), True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and its path constructor."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table if it is there."""
+    files, at = _file_system(spark, path)
+    files.delete(at(path), True)
+
+
+def latest_ds(spark: SparkSession, path: str) -> str | None:
+    """The greatest ``ds`` among a table's directories, from one listing; no data is read."""
+    files, at = _file_system(spark, path)
+    names = [status.getPath().getName() for status in files.listStatus(at(path)) if status.isDirectory()]
+    return max((name.removeprefix("ds=") for name in names if name.startswith("ds=")), default=None)
+
+
+def read_latest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The latest snapshot of a stored table: a scan of one partition."""
+    newest = latest_ds(spark, path)
+    return read_table(spark, path, schema).where(F.col("ds") == (newest or ""))
 
 
 def cluster_by_ds(df: DataFrame) -> DataFrame:
@@ -38,7 +102,7 @@ def cluster_by_ds(df: DataFrame) -> DataFrame:
 def latest_snapshot(df: DataFrame) -> DataFrame:
     """Rows of the greatest ``ds``.
 
-    The maximum is a scalar subquery, so on a ``ds``-partitioned table it prunes to the
-    one partition at run time and nothing is collected.
+    For a computed table. Of a stored one take ``read_latest``: the scalar subquery here
+    passes over all snapshots to find the last.
     """
     return df.where(F.col("ds") == df.select(F.max("ds")).scalar())

@@ -4,13 +4,17 @@ import pytest
 from conftest import TESTDATA
 from helpers import GOOD, staging
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from growthledger.__main__ import main
-from growthledger.plans import pipeline
+from growthledger.plans import pipeline, reports
 from growthledger.plans.active import active_users
 from growthledger.plans.lifecycle import lifecycle_weekly
 from growthledger.plans.pipeline import Warehouse, run_pipeline, run_sql
 from growthledger.plans.retention import retention
 from growthledger.quality.gate import DataQualityError
+from growthledger.sources.tables import latest_ds, read_latest, replace_snapshot
 from growthledger.sources.adapters import EVENTS_AS_OF, EVENTS_START_DS, as_staging, events_stream
 
 
@@ -126,3 +130,90 @@ def test_failed_rebuild_leaves_the_published_snapshot(spark, wh, monkeypatch, tm
     with pytest.raises(DataQualityError):
         pipeline.build_agg_user_retention(built, "2025-01-01", "2025-06-03")
     assert built.read("agg_user_retention").collect() == before
+
+
+def files(path):
+    return sorted(os.path.join(d, f) for d, _, names in os.walk(path) for f in names)
+
+
+def test_a_failed_load_leaves_all_tables_whole(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    built = run_pipeline(spark, write_csv(staging(spark, {}, {"user_id": "u_0002"}), tmp_path / "good"), root, "2025-06-03")
+    before = files(root)
+    header, line = ",".join(GOOD), ",".join(GOOD.values())
+    long = tmp_path / "long.csv"
+    long.write_text(f"{header}\n{line}\n{line},more\n")
+    with pytest.raises(Exception, match="more than 8 fields"):
+        pipeline.ingest(built, str(long))
+    with pytest.raises(DataQualityError):
+        pipeline.ingest(built, write_csv(staging(spark, {"platform": "tv"}), tmp_path / "tv"))
+    assert files(root) == before
+    # A cast that fails after the checks have passed: staging is new, the stream is the old one.
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        pipeline.ingest(built, write_csv(staging(spark, {"miles_amount": "123456789.00"}), tmp_path / "cast"))
+    stream = f"{root}/fct_event_stream"
+    assert files(stream) == [f for f in before if f.startswith(stream)]
+
+
+def test_a_failed_fact_write_leaves_the_fact(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "wh")
+    built = run_pipeline(spark, write_csv(staging(spark, {}), tmp_path / "csv"), root, "2025-06-03")
+    before = files(root)
+
+    def broken(stream):
+        return pipeline_fact(stream).withColumn("event_type", F.raise_error(F.lit("broken")).cast("string"))
+
+    pipeline_fact = pipeline.fct_events
+    monkeypatch.setattr(pipeline, "fct_events", broken)
+    with pytest.raises(Exception, match="broken"):
+        pipeline.build_fct_events(built)
+    assert files(root) == before
+
+
+def test_an_empty_rebuild_empties_its_snapshot_only(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    built = run_pipeline(spark, write_csv(staging(spark, {}), tmp_path / "csv"), root, "2025-06-03")
+    pipeline.build_agg_active_user(built, as_of="2025-06-04")
+    pipeline.build_agg_active_user(built, "2026-01-01", "2025-06-03")
+    assert {r.ds for r in built.read("agg_active_user").collect()} == {"2025-06-04"}
+    pipeline.build_agg_active_user(built, "2026-01-01", "2025-06-04")
+    assert built.latest("agg_active_user").count() == 0 == built.read("agg_active_user").count()
+
+
+def test_reports_look_at_one_snapshot(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    rows = staging(spark, {}, {"user_id": "u_0002"}, {"event_time": "2025-06-09 10:00:00.000000"})
+    built = run_pipeline(spark, write_csv(rows, tmp_path / "csv"), root, "2025-06-10")
+    pipeline.build_dim_users(built, "2025-06-11")
+    pipeline.build_metrics(built, as_of="2025-06-11")
+    for read in (built.latest, built.read):
+        weekly = reports.active_by_segment(read("agg_active_user"), "weekly").collect()
+        assert [r.active_user_count for r in weekly] == [2, 1]
+        assert [r.new for r in reports.lifecycle_by_week(read("agg_user_lifecycle_weekly")).collect()] == [2, 0]
+        triangle = reports.retention_triangle(read("agg_user_retention")).collect()
+        assert [(r.cohort_size, float(r.w1)) for r in triangle] == [(2, 50.0)]
+    one = reports.active_by_segment(built.read("agg_active_user"), "weekly", ds="2025-06-10").collect()
+    assert [r.active_user_count for r in one] == [2, 1]
+
+
+def test_latest_snapshot_reads_one_partition(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    users = spark.range(3).selectExpr("CAST(id AS STRING) AS user_id")
+    schema = "user_id string, ds string"
+    for ds in ("2025-06-01", "2025-06-03", "2025-06-02"):
+        replace_snapshot(users.selectExpr("user_id", f"'{ds}' AS ds"), wh.path("dim_users"), ds)
+    assert latest_ds(spark, wh.path("dim_users")) == "2025-06-03"
+    found = read_latest(spark, wh.path("dim_users"), T._parse_datatype_string(schema))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "max(" not in plan and "ds#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert len(found.inputFiles()) > 0 and {r.ds for r in found.collect()} == {"2025-06-03"}
+
+
+def test_a_good_run_clears_the_audit(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    with pytest.raises(DataQualityError):
+        run_pipeline(spark, write_csv(staging(spark, {}, {}), tmp_path / "bad"), root, "2025-06-03")
+    assert os.path.exists(f"{root}/audit/fct_events/unique_event_id")
+    run_pipeline(spark, write_csv(staging(spark, {}), tmp_path / "good"), root, "2025-06-03")
+    assert not os.path.exists(f"{root}/audit/fct_events/unique_event_id")
+    assert not [f for f in files(root) if "/_new-" in f or "/_old-" in f]

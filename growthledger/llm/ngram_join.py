@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,8 +153,22 @@ def _filtered(pairs: DataFrame, sizes: DataFrame, t: Fraction) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(passed, "a long, b long, m long, n long")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold, each looked at once."""
+def _linked(pairs: DataFrame, docs: DataFrame, n: int, t: Fraction) -> DataFrame:
+    """The pairs (a, b) whose sets reach the threshold, each looked at once.
+
+    Only texts that are in a pair are shingled again.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [h.tobytes() for h in _sets(batch.column(1), n)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "hashes"])
+
+    sets = docs.join(ids, "doc_id", "leftsemi").mapInArrow(hashed, "doc_id long, hashes binary")
+    sets = table(sets, "sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y"))
 
@@ -174,41 +187,69 @@ def _linked(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
 def _across(rows: DataFrame, t: Fraction) -> DataFrame:
     """Pairs of a prefix group whose sets are in different components and pass all filters.
 
-    ``rows``: (token, rep, n_shingles, place, component, parts). A group of many rows is
-    dealt into blocks and each pair of blocks is a task's group, so its size is bounded.
+    ``rows``: (token, rep, n_shingles, place, component, parts). Groups of two have been
+    compared in the first step. A group of many rows is dealt into blocks, and each pair of blocks is
+    compared by itself, so what has to be held at once is bounded.
     """
     groups = rows.groupBy("token").agg(
         F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    mixed = groups.where("low <> high").select("token", F.ceil(F.col("rows") / BLOCK_ROWS).alias("n_blocks"))
+    mixed = groups.where("low <> high AND rows > 2")
+    mixed = mixed.select("token", F.ceil(F.col("rows") / BLOCK_ROWS).alias("n_blocks"))
     own = F.pmod(F.xxhash64("rep"), F.col("n_blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))
     dealt = rows.join(mixed, "token").withColumn("own", own).withColumn("other", other)
     dealt = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    key = ["token", "low", "high"]
+    dealt = dealt.select(*key, "rep", "n_shingles", "place", "component", "own", "parts")
+    dealt = dealt.repartition(*key).sortWithinPartitions(*key, "rep")
 
-    def pairs(group: pd.DataFrame) -> pd.DataFrame:
-        split = group["low"].iat[0] != group["high"].iat[0]
-        group = group.sort_values("rep", ignore_index=True)
-        rep, size, place, component, own = (
-            group[c].to_numpy(np.int64) for c in ("rep", "n_shingles", "place", "component", "own")
-        )
-        parts = np.frombuffer(b"".join(group["parts"]), np.uint16).reshape(-1, PARTS).astype(np.int32)
-        found = []
-        for k in range(len(rep) - 1):
-            m, n = size[k], size[k + 1 :]
-            need = -(-(m + n) * t.numerator // (t.numerator + t.denominator))
-            reach = np.minimum(place[k], place[k + 1 :]) + 1
-            reach = reach + np.minimum(m - place[k] - 1, n - place[k + 1 :] - 1)
-            ok = (component[k + 1 :] != component[k]) & (reach >= need)
-            ok &= (m * t.denominator >= n * t.numerator) & (n * t.denominator >= m * t.numerator)
-            if split:
-                ok &= own[k + 1 :] != own[k]
-            at = np.flatnonzero(ok)
-            at = at[np.abs(parts[k + 1 + at] - parts[k]).sum(axis=1) <= m + n[at] - 2 * need[at]]
-            found.append(pd.DataFrame({"a": rep[k], "b": rep[k + 1 + at]}))
-        return pd.concat(found) if found else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-
-    return dealt.groupBy("token", "low", "high").applyInPandas(pairs, "a long, b long").distinct()
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            held = part if held is None else pa.concat_tables([held, part])
+            group = _group_numbers(held)
+            last = int(np.searchsorted(group, group[-1]))  # it may go on in the next batch
+            yield from _pairs_of(held[:last], group[:last], t)
+            held = held[last:].combine_chunks()
+        if held is not None:
+            yield from _pairs_of(held, _group_numbers(held), t)
+
+    return dealt.mapInArrow(pairs, "a long, b long").distinct()
+
+
+def _group_numbers(rows: pa.Table) -> np.ndarray:
+    """0, 1, ... for the runs of equal (token, low, high)."""
+    key = np.stack([rows.column(k).to_numpy() for k in ("token", "low", "high")])
+    return np.concatenate([[0], np.cumsum((key[:, 1:] != key[:, :-1]).any(axis=0))])
+
+
+def _pairs_of(rows: pa.Table, group: np.ndarray, t: Fraction) -> Iterator[pa.RecordBatch]:
+    """Filtered pairs of whole groups: each row with the next of its group, the next but one, and so on."""
+    if not len(group):
+        return
+    rep, size, place, component, own, low, high = (
+        rows.column(c).to_numpy().astype(np.int64)
+        for c in ("rep", "n_shingles", "place", "component", "own", "low", "high")
+    )
+    parts = np.frombuffer(b"".join(rows.column("parts").to_pylist()), np.uint16).reshape(-1, PARTS).astype(np.int32)
+    left = np.arange(len(group))
+    for step in range(1, len(group)):
+        left = left[left + step < len(group)]
+        left = left[group[left] == group[left + step]]
+        if not len(left):
+            return
+        a, b = left, left + step
+        m, n = size[a], size[b]
+        need = -(-(m + n) * t.numerator // (t.numerator + t.denominator))
+        reach = np.minimum(place[a], place[b]) + 1 + np.minimum(m - place[a] - 1, n - place[b] - 1)
+        ok = (component[a] != component[b]) & (reach >= need) & ((low[a] == high[a]) | (own[a] != own[b]))
+        ok &= (m * t.denominator >= n * t.numerator) & (n * t.denominator >= m * t.numerator)
+        a, b, room = a[ok], b[ok], (m + n - 2 * need)[ok]
+        keep = np.abs(parts[a] - parts[b]).sum(axis=1) <= room
+        if keep.any():
+            yield pa.RecordBatch.from_arrays([pa.array(rep[a[keep]]), pa.array(rep[b[keep]])], ["a", "b"])
 
 
 def ngram_jaccard_join(
@@ -241,42 +282,32 @@ def ngram_jaccard_join(
 
     # Prefix groups of at least two sets.
     tokens = sizes.select("rep", "n_shingles", F.posexplode("prefix").alias("place", "token"))
-    pivot = F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "n_shingles", "place")).alias("pivot")
-    groups = tokens.groupBy("token").agg(F.count("*").alias("rows"), pivot).where("rows > 1").drop("rows")
+    groups = tokens.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").select("token")
     rows = table(tokens.join(groups, "token"), "prefixes")
     named = table(
         sizes.join(rows.select("rep").distinct(), "rep", "leftsemi").select("rep", "n_shingles", "parts"), "parts"
     )
 
     # First step: every set against one of its group.
-    first = rows.alias("r").where("pivot.rep <> rep").where(_may_link("r", "pivot", t))
+    pivot = F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "n_shingles", "place")).alias("pivot")
+    first = rows.join(rows.groupBy("token").agg(pivot), "token").alias("r")
+    first = first.where("pivot.rep <> rep").where(_may_link("r", "pivot", t))
     first = first.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b")).distinct()
     first = table(_filtered(first, named, t), "pairs")
 
-    ids = named.select(F.col("rep").alias("doc_id"))
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    wanted = docs.join(ids, "doc_id", "leftsemi")
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [h.tobytes() for h in _sets(batch.column(1), n)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "hashes"])
-
-    sets = table(wanted.mapInArrow(hashed, "doc_id long, hashes binary").distinct(), "sets")
     texts = filled.select("doc_id", *key).distinct()
     several = texts.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1").select("doc_id")
     same_id = texts.join(several, "doc_id", "leftsemi").join(classes, key)
-    links = _linked(first, sets, t).unionByName(same_id.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    links = _linked(first, docs, n, t).unionByName(same_id.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     links = table(links, "linked")
     reached = components(links)
 
     # Second step: what is left between components.
     state = reached.select(F.col("node").alias("rep"), "component")
-    left = rows.drop("pivot").join(state, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    left = rows.join(state, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     left = left.join(named.select("rep", "parts"), "rep")
     second = _across(left, t).join(first.select("a", "b"), ["a", "b"], "leftanti")
-    more = table(_linked(second, sets, t), "linked")
+    more = table(_linked(table(second, "pairs"), docs, n, t), "linked")
     reached = components(links.unionByName(more)).withColumnRenamed("node", "rep")
 
     named_classes = classes.join(reached, "rep", "left").select(

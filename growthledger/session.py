@@ -17,6 +17,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+}
+# Can only be set when the session is built.
+STATIC_DEFAULTS = {
     # No Python call sites on columns: they cost a round trip each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -25,7 +28,7 @@ DEFAULTS = {
 def build_session(app_name: str = "growthledger", conf: dict[str, str] | None = None) -> SparkSession:
     """Get or create a session with the package defaults, then ``conf`` on top."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**DEFAULTS, **(conf or {})}.items():
+    for key, value in {**DEFAULTS, **STATIC_DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -18,11 +18,12 @@ from growthledger.functions.dates import cutoff_label, month_start, week_start
 from growthledger.functions.jsonmap import has_json_key, json_number, json_text
 from growthledger.functions.keys import surrogate_key
 from growthledger.operators.activity import active_days
-from growthledger.plans import reports
+from growthledger.plans import pipeline, reports
 from growthledger.plans.active import active_users
 from growthledger.plans.facts import fct_events
 from growthledger.plans.ingest import ingest_events, typed_load
 from growthledger.plans.lifecycle import lifecycle_weekly, lifecycle_weekly_from_history, user_week_history
+from growthledger.plans.pipeline import Warehouse
 from growthledger.plans.retention import retention
 from growthledger.plans.users import dim_users, latest_event_per_user
 from growthledger.quality import models
@@ -36,10 +37,11 @@ from growthledger.quality.checks import (
     unique,
     unique_combination,
 )
+from growthledger.quality.gate import DataQualityError
 from growthledger.quality.staging import USER_ID_PATTERN, staging_checks
 from growthledger.session import apply_defaults, work_path
 from growthledger.sources import adapters
-from growthledger.sources.tables import latest_snapshot, write_full
+from growthledger.sources.tables import cluster_by_ds, remove, replace_full, replace_snapshot
 
 try:  # the text operators and their pipeline can be taken out as a whole
     import corpus_pipeline
@@ -55,7 +57,7 @@ ADAPTERS = {
     "events": (adapters.events_stream, adapters.EVENTS_START_DS, adapters.EVENTS_AS_OF),
     "orders": (adapters.orders_stream, adapters.ORDERS_START_DS, adapters.ORDERS_AS_OF),
 }
-EARLIER_AS_OF = "2024-01-15"
+EARLIER_AS_OF, EARLIER_ORDERS = "2024-01-15", "2001-07-26"
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -106,11 +108,83 @@ def _retention(source: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return retention(_fct_events(source, spark, sf_dir), *ADAPTERS[source][1:])
 
 
+def _two_snapshots(label: str, build: Callable[[str], DataFrame], table: str, spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse in which ``table`` is stored for two build dates, the later one being the source's."""
+    wh = Warehouse(spark, work_path(spark, sf_dir, label))
+    remove(spark, wh.root)
+    dates = (EARLIER_AS_OF, adapters.EVENTS_AS_OF) if table == "dim_users" else (EARLIER_ORDERS, adapters.ORDERS_AS_OF)
+    for as_of in dates:
+        replace_snapshot(build(as_of), wh.path(table), as_of)
+    return wh
+
+
 def _latest_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The later of two snapshots stored under one table."""
+    """The later of two stored snapshots."""
     stream = _stream("events", spark, sf_dir)
-    history = dim_users(stream, EARLIER_AS_OF).unionByName(dim_users(stream, adapters.EVENTS_AS_OF))
-    return latest_snapshot(history).select("user_id", "acq_source", "user_country", "miles_balance", "ds")
+    wh = _two_snapshots("latest_users", partial(dim_users, stream), "dim_users", spark, sf_dir)
+    return wh.latest_users().select("user_id", "acq_source", "user_country", "miles_balance", "ds")
+
+
+def _stored_report(table: str, report: Callable[[DataFrame], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report over a stored table that holds two build dates."""
+    events, users = _events_and_users("orders", spark, sf_dir)
+    start = adapters.ORDERS_START_DS
+    build = {
+        "agg_active_user": lambda as_of: active_users(events, users, start, as_of),
+        "agg_user_lifecycle_weekly": lambda as_of: lifecycle_weekly(events, users, start, as_of),
+        "agg_user_retention": lambda as_of: retention(events, start, as_of),
+    }[table]
+    return report(_two_snapshots(f"stored_{table}", build, table, spark, sf_dir).read(table))
+
+
+def _gated(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV to stored metric table through all gates, read back."""
+    wh = Warehouse(spark, work_path(spark, sf_dir, f"gated_{table}"))
+    remove(spark, wh.root)
+    raw = f"{wh.root}/raw"
+    adapters.as_staging(_stream("events", spark, sf_dir)).write.options(header=True, escape='"').csv(raw)
+    _, start, as_of = ADAPTERS["events"]
+    pipeline.ingest(wh, raw)
+    pipeline.build_dim_users(wh, as_of)
+    pipeline.build_fct_events(wh)
+    if table == "agg_user_retention":
+        pipeline.build_agg_user_retention(wh, start, as_of)
+    elif table == "agg_active_user":
+        pipeline.build_agg_active_user(wh, start, as_of)
+    else:
+        pipeline.build_agg_user_lifecycle_weekly(wh, start, as_of)
+    return wh.latest(table)
+
+
+def _last_two(column: str = "user_id"):
+    return F.right(column, F.lit(2))
+
+
+def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of some users lose their miles; the gate stops the fact and stores the failing rows."""
+    wh = Warehouse(spark, work_path(spark, sf_dir, "audit"))
+    remove(spark, wh.root)
+    miles = F.when(_last_two() != "07", F.col("miles_amount"))
+    broken = _stream("events", spark, sf_dir).withColumn("miles_amount", miles)
+    by_day = broken.withColumn("ds", F.to_date("event_time").cast("string"))
+    replace_full(cluster_by_ds(by_day), wh.path("fct_event_stream"), "ds")
+    try:
+        pipeline.build_fct_events(wh)
+    except DataQualityError as error:
+        if "miles_presence" not in error.failed:
+            raise
+    return spark.read.parquet(f"{wh.audit_path}/fct_events/miles_presence").select("event_id", "event_type")
+
+
+def _broken_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows with a null and a bad text in every column, for users whose id ends in 00 to 07 and 10 to 17."""
+    staging = adapters.as_staging(_stream("events", spark, sf_dir))
+    return staging.select(
+        *[
+            F.when(_last_two() == f"0{k}", None).when(_last_two() == f"1{k}", "bad").otherwise(F.col(c)).alias(c)
+            for k, c in enumerate(staging.columns)
+        ]
+    )
 
 
 def _typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,10 +243,12 @@ def _json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _active_report(active: DataFrame, ds: str | None = None) -> DataFrame:
+    return reports.active_by_segment(active, "weekly", acq_source="google", country=["TH", "SG"], ds=ds)
+
+
 def _report_active(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.active_by_segment(
-        _active_users("orders", spark, sf_dir), "weekly", acq_source="google", country=["TH", "SG"]
-    )
+    return _active_report(_active_users("orders", spark, sf_dir), adapters.ORDERS_AS_OF)
 
 
 def _dq_staging_summary(source: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,8 +286,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "retention_orders": partial(_retention, "orders"),
         # reports
         "report_active_by_segment": _report_active,
-        "report_lifecycle_by_week": lambda s, d: reports.lifecycle_by_week(_lifecycle("orders", s, d)),
-        "retention_triangle": lambda s, d: reports.retention_triangle(_retention("orders", s, d)),
+        "report_lifecycle_by_week": lambda s, d: reports.lifecycle_by_week(
+            _lifecycle("orders", s, d), ds=adapters.ORDERS_AS_OF
+        ),
+        "retention_triangle": lambda s, d: reports.retention_triangle(
+            _retention("orders", s, d), ds=adapters.ORDERS_AS_OF
+        ),
+        "report_active_stored": partial(_stored_report, "agg_active_user", _active_report),
+        "report_lifecycle_stored": partial(_stored_report, "agg_user_lifecycle_weekly", reports.lifecycle_by_week),
+        "retention_triangle_stored": partial(_stored_report, "agg_user_retention", reports.retention_triangle),
+        # the gated pipeline
+        "pipeline_active": partial(_gated, "agg_active_user"),
+        "pipeline_lifecycle": partial(_gated, "agg_user_lifecycle_weekly"),
+        "pipeline_retention": partial(_gated, "agg_user_retention"),
+        "pipeline_audit": _audit,
         # steps
         "latest_users": _latest_users,
         "typed_load": _typed_load,
@@ -227,6 +315,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # quality
         "dq_staging_summary": partial(_dq_staging_summary, "orders"),
         "dq_staging_summary_events": partial(_dq_staging_summary, "events"),
+        "dq_staging_summary_broken": lambda s, d: summary(_broken_staging(s, d), staging_checks()),
         "dq_fct_events_summary": _dq_fct_events_summary,
         "dq_dim_users_summary": lambda s, d: summary(users_of["events"](s, d), models.dim_users_checks()),
         "dq_active_users_summary": lambda s, d: summary(_active_users("events", s, d), models.active_user_checks()),
@@ -242,7 +331,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda: matches("user_id", USER_ID_PATTERN), stream_of["orders"], ["user_id", "event_time"]
         ),
         "dq_accepted_values": _failing(
-            lambda: accepted_values("platform", ["ios", "android"]), stream_of["events"], ["user_id", "platform"]
+            lambda: accepted_values("platform", ["ios", "android"]), stream_of["events"], ["platform", "n_records"]
         ),
         "dq_not_null": _failing(
             lambda: not_null("transaction_category"), stream_of["events"], ["event_time", "user_id", "event_type"]
@@ -538,7 +627,7 @@ staging AS (
 )"""
 
 
-def _staging_summary_sql(source: str) -> str:
+def _staging_summary_sql(source: str, broken: bool = False) -> str:
     wants_category = "event_type NOT IN ('share', 'like')"
     wants_miles = "event_type NOT IN ('share', 'like', 'reward_search')"
     lists = {
@@ -564,7 +653,16 @@ def _staging_summary_sql(source: str) -> str:
         "not_null_miles_amount": wants_miles,
     }.items():
         checks[name] = f"{only} AND {checks[name]}"
-    return _with(source, _STAGING) + _summary_sql("staging", checks)
+    if not broken:
+        return _with(source, _STAGING) + _summary_sql("staging", checks)
+    columns = [
+        "event_time", "user_id", "event_type", "transaction_category", "miles_amount", "platform", "utm_source", "country",
+    ]
+    cases = ", ".join(
+        f"CASE right(user_id, 2) WHEN '0{k}' THEN NULL WHEN '1{k}' THEN 'bad' ELSE {c} END AS {c}"
+        for k, c in enumerate(columns)
+    )
+    return _with(source, _STAGING, f"broken AS (SELECT {cases} FROM staging)") + _summary_sql("broken", checks)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -598,7 +696,7 @@ def _own_oracle_sql() -> dict[str, str]:
     retention_of = {s: _with(s, _FACTS, *_retention_ctes(s)) for s in ADAPTERS}
     facts_of = {s: _with(s, _FACTS) for s in ADAPTERS}
 
-    return {
+    found = {
         "fct_events": facts_of["events"] + f"SELECT {fact_columns} FROM facts",
         "fct_events_orders": facts_of["orders"] + f"SELECT {fact_columns} FROM facts",
         "dim_users": _with("events", _LATEST, events_users) + f"SELECT {_USER_COLUMNS} FROM users",
@@ -651,6 +749,10 @@ def _own_oracle_sql() -> dict[str, str]:
         "list_contains(json_keys(event_json), 'platform') AS has_platform_key FROM facts",
         "dq_staging_summary": _staging_summary_sql("orders"),
         "dq_staging_summary_events": _staging_summary_sql("events"),
+        "dq_staging_summary_broken": _staging_summary_sql("events", broken=True),
+        "pipeline_audit": facts_of["events"]
+        + "SELECT event_id, event_type FROM facts "
+        "WHERE event_type IN ('miles_earned', 'miles_redeemed') AND right(user_id, 2) = '07'",
         "dq_fct_events_summary": facts_of["orders"]
         + _summary_sql(
             "facts",
@@ -715,7 +817,7 @@ def _own_oracle_sql() -> dict[str, str]:
         + "SELECT user_id, CAST(event_time AS VARCHAR) AS event_time FROM stream "
         r"WHERE NOT regexp_full_match(user_id, 'u_\d{4}')",
         "dq_accepted_values": _with("events")
-        + "SELECT user_id, platform FROM stream WHERE platform NOT IN ('ios', 'android')",
+        + "SELECT platform, count(*) AS n_records FROM stream WHERE platform NOT IN ('ios', 'android') GROUP BY 1",
         "dq_not_null": _with("events")
         + "SELECT CAST(event_time AS VARCHAR) AS event_time, user_id, event_type FROM stream "
         "WHERE transaction_category IS NULL",
@@ -737,3 +839,12 @@ def _own_oracle_sql() -> dict[str, str]:
         "dq_json_keys": facts_of["events"]
         + "SELECT event_id FROM facts WHERE NOT json_exists(event_json, '$.platform')",
     }
+    # The same rows by way of stored tables.
+    return found | {
+        "report_active_stored": found["report_active_by_segment"],
+        "report_lifecycle_stored": found["report_lifecycle_by_week"],
+        "retention_triangle_stored": found["retention_triangle"],
+        "pipeline_active": found["active_users_events"],
+        "pipeline_lifecycle": found["lifecycle_events"],
+        "pipeline_retention": found["retention_events"],
+    }

@@ -21,6 +21,16 @@ class RowCheck:
         return df.where(self.bad)
 
 
+@dataclass(frozen=True)
+class ValueCheck(RowCheck):
+    """A predicate on the values of one column; it fails with each bad value once."""
+
+    column: str
+
+    def failing(self, df: DataFrame) -> DataFrame:
+        return df.where(self.bad).groupBy(self.column).agg(F.count("*").alias("n_records"))
+
+
 @dataclass(frozen=True)
 class GroupCheck:
     """A check that has to look at several rows together."""
@@ -39,8 +49,9 @@ def not_null(column: str) -> RowCheck:
     return RowCheck(f"not_null_{column}", F.col(column).isNull())
 
 
-def accepted_values(column: str, values: list) -> RowCheck:
-    return RowCheck(f"accepted_values_{column}", ~F.col(column).isin(values))
+def accepted_values(column: str, values: list) -> ValueCheck:
+    """Other values than these, each with its number of records; counted in rows."""
+    return ValueCheck(f"accepted_values_{column}", ~F.col(column).isin(values), column)
 
 
 def matches(column: str, pattern: str) -> RowCheck:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..sources.schemas import COUNTRIES, EVENT_TYPES, PLATFORMS, TRANSACTION_CATEGORIES, UTM_SOURCES
@@ -39,7 +41,7 @@ def staging_checks() -> list[RowCheck]:
         "not_null_miles_amount": has_miles,
     }
     return [
-        RowCheck(c.name, only_for[c.name] & c.bad if c.name in only_for else c.bad)
+        replace(c, bad=only_for[c.name] & c.bad) if c.name in only_for else c
         for c in [*accepted, *required, *formats]
     ]
 

@@ -220,8 +220,9 @@ def test_gate_stores_failing_rows_and_names_every_failed_check(spark, tmp_path):
         gate("stg", rows, staging_checks(), str(tmp_path))
     assert error.value.failed == {"accepted_values_country": 1, "not_null_platform": 1}
     stored = spark.read.parquet(f"{tmp_path}/stg/accepted_values_country")
-    assert [r.user_id for r in stored.collect()] == ["u_9999"]
-    assert stored.columns == list(GOOD)
+    assert [tuple(r) for r in stored.collect()] == [("XX", 1)]  # the bad value and its number of records
+    assert stored.columns == ["country", "n_records"]
+    assert spark.read.parquet(f"{tmp_path}/stg/not_null_platform").columns == list(GOOD)
 
 
 def test_row_checks_share_one_scan(spark, tmp_path):

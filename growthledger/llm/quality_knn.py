@@ -73,6 +73,17 @@ def _described(column: pa.Array) -> Iterator[np.ndarray]:
         yield np.stack(rows)
 
 
+def _packed(row: np.ndarray) -> bytes:
+    """Places and values of what isn't zero."""
+    used = np.flatnonzero(row)
+    return used.astype(np.uint16).tobytes() + row[used].tobytes()
+
+
+def _unpack(data: bytes, into: np.ndarray) -> None:
+    n = len(data) // 6
+    into[np.frombuffer(data, np.uint16, n)] = np.frombuffer(data[2 * n :], np.float32)
+
+
 @dataclass(frozen=True)
 class Model:
     """Everything a task needs; its size depends on the parameters only."""
@@ -153,7 +164,7 @@ def fit(
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [r.tobytes() for part in _described(batch.column("text")) for r in part]
+            rows = [_packed(r) for part in _described(batch.column("text")) for r in part]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("label"), pa.array(rows, pa.binary())], ["id", "label", "row"]
             )
@@ -167,8 +178,12 @@ def fit(
     if not found:
         empty = np.zeros((0, 1), np.float32)
         return Model(rarity, np.zeros((SIZE, 1), np.float32), empty, np.zeros(0), 0.5, neighbours, power)
-    matrix = np.stack([np.frombuffer(r.row, np.float32) for r in found])
-    matrix = np.log1p(matrix) * rarity
+    # One matrix of sample x SIZE, changed in place: the driver holds no copy of it.
+    matrix = np.zeros((len(found), SIZE), np.float32)
+    for line, r in zip(matrix, found, strict=True):
+        _unpack(r.row, line)
+    np.log1p(matrix, out=matrix)
+    matrix *= rarity
     matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
     axes = leading_axes(matrix, min(dims, *matrix.shape))
     vectors = matrix @ axes

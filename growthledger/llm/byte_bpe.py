@@ -26,7 +26,7 @@ from .common import prepare, texts_of, type_of
 from .token_counts import byte_characters
 
 #: Entries in each of the two generations of the per-process memory of pieces.
-MEMORY = 300_000
+MEMORY = 150_000
 
 
 class ByteBpe:

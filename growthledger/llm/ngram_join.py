@@ -17,8 +17,8 @@ cells instead of shingles bounds the table that every task needs.
 Texts with equal sets are one class, told by size and two independent sums of the hashes, and
 only class representatives (the smallest id) are joined. Components are built in two steps, so that a
 group of n near copies doesn't cost n * n checks: first each set is compared with one set
-of its prefix group; then all pairs of a group whose sets are still in different
-components are compared, in blocks of bounded size.
+of each of its prefix groups, in rounds; then all pairs of a group whose sets are still
+in different components are compared, in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -184,21 +184,40 @@ def _linked(pairs: DataFrame, docs: DataFrame, n: int, t: Fraction) -> DataFrame
     return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(checked, "a long, b long")
 
 
-def _across(rows: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs of a prefix group whose sets are in different components and pass all filters.
+def _to_pivot(rows: DataFrame, salt: Column, t: Fraction) -> DataFrame:
+    """Distinct pairs (a, b) of a set and its prefix group's pivot, the least by a salted hash.
 
-    ``rows``: (token, rep, n_shingles, place, component, parts). Groups of two have been
-    compared in the first step. A group of many rows is dealt into blocks, and each pair of blocks is
-    compared by itself, so what has to be held at once is bounded.
+    At most one pair per row of ``rows`` (token, rep, n_shingles, place, perhaps component);
+    sets that are known to be connected are not paired.
     """
+    if "component" not in rows.columns:
+        rows = rows.withColumn("component", F.col("rep"))
+    least = F.min(F.struct(F.xxhash64("rep", salt).alias("h"), "rep", "n_shingles", "place", "component"))
+    paired = rows.join(rows.groupBy("token").agg(least.alias("pivot")), "token").alias("r")
+    paired = paired.where("pivot.component <> component").where(_may_link("r", "pivot", t))
+    return paired.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b")).distinct()
+
+
+def _mixed(rows: DataFrame, least_rows: int = 2) -> DataFrame:
+    """The rows of prefix groups with several components, with their number as ``group_rows``."""
     groups = rows.groupBy("token").agg(
-        F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")
+        F.count("*").alias("group_rows"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    mixed = groups.where("low <> high AND rows > 2")
-    mixed = mixed.select("token", F.ceil(F.col("rows") / BLOCK_ROWS).alias("n_blocks"))
+    mixed = groups.where("low <> high").where(F.col("group_rows") >= least_rows).select("token", "group_rows")
+    return rows.drop("group_rows").join(mixed, "token")
+
+
+def _across(rows: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs of a prefix group whose sets are in different components and pass all filters.
+
+    ``rows``: (token, rep, n_shingles, place, component, group_rows, parts). Groups of two have
+    been compared in the first step. A group of many rows is dealt into blocks, and each pair of
+    blocks is compared by itself, so what has to be held at once is bounded.
+    """
+    rows = rows.withColumn("n_blocks", F.ceil(F.col("group_rows") / BLOCK_ROWS))
     own = F.pmod(F.xxhash64("rep"), F.col("n_blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))
-    dealt = rows.join(mixed, "token").withColumn("own", own).withColumn("other", other)
+    dealt = rows.withColumn("own", own).withColumn("other", other)
     dealt = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
     key = ["token", "low", "high"]
     dealt = dealt.select(*key, "rep", "n_shingles", "place", "component", "own", "parts")
@@ -288,27 +307,31 @@ def ngram_jaccard_join(
         sizes.join(rows.select("rep").distinct(), "rep", "leftsemi").select("rep", "n_shingles", "parts"), "parts"
     )
 
-    # First step: every set against one of its group.
-    pivot = F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "n_shingles", "place")).alias("pivot")
-    first = rows.join(rows.groupBy("token").agg(pivot), "token").alias("r")
-    first = first.where("pivot.rep <> rep").where(_may_link("r", "pivot", t))
-    first = first.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b")).distinct()
-    first = table(_filtered(first, named, t), "pairs")
-
+    # First step: every set against one of its group, first the same one wherever it is a member,
+    # then one of each group's own, so that a set of a large family meets many of them.
     texts = filled.select("doc_id", *key).distinct()
     several = texts.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1").select("doc_id")
     same_id = texts.join(several, "doc_id", "leftsemi").join(classes, key)
-    links = _linked(first, docs, n, t).unionByName(same_id.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    links = table(links, "linked")
-    reached = components(links)
+    links = same_id.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    state, checked = None, None
+    for salt in (F.lit(0), F.col("token"), F.col("token") + 1):
+        found = rows if state is None else _mixed(rows.join(state, "rep"))
+        pairs = _to_pivot(found, salt, t)
+        if checked is not None:
+            pairs = pairs.join(checked, ["a", "b"], "leftanti")
+        pairs = table(_filtered(pairs, named, t), "pairs").select("a", "b")
+        checked = pairs if checked is None else checked.unionByName(pairs)
+        links = table(links.unionByName(_linked(pairs, docs, n, t)), "linked")
+        reached = components(links)
+        labels = reached.select(F.col("node").alias("rep"), "component")
+        state = named.select("rep").join(labels, "rep", "left")
+        state = table(state.select("rep", F.coalesce("component", "rep").alias("component")), "state")
 
     # Second step: what is left between components.
-    state = reached.select(F.col("node").alias("rep"), "component")
-    left = rows.join(state, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    left = left.join(named.select("rep", "parts"), "rep")
-    second = _across(left, t).join(first.select("a", "b"), ["a", "b"], "leftanti")
-    more = table(_linked(table(second, "pairs"), docs, n, t), "linked")
-    reached = components(links.unionByName(more)).withColumnRenamed("node", "rep")
+    left = _mixed(rows.join(state, "rep"), least_rows=3).join(named.select("rep", "parts"), "rep")
+    second = table(_across(left, t).join(checked, ["a", "b"], "leftanti"), "pairs")
+    reached = components(table(links.unionByName(_linked(second, docs, n, t)), "linked"))
+    reached = reached.withColumnRenamed("node", "rep")
 
     named_classes = classes.join(reached, "rep", "left").select(
         *key, F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")

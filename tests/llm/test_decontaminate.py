@@ -119,3 +119,34 @@ def test_empty_tables(spark, corpus):
     df = spark.createDataFrame(docs[:5], "doc_id long, text string")
     assert find_leaks(df.limit(0), benchmark).count() == 0
     assert decontaminate(df, benchmark.limit(0)).count() == 5
+
+
+def test_every_verbatim_copy_of_thousands_of_items_is_found(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    weights = [1 / (k + 1) for k in range(3000)]
+    items = [rng.choices(vocabulary, weights, k=rng.choice([5, 6, 8, 11, 14, 15, 24, 40, 59, 90])) for _ in range(2500)]
+    docs = []
+    for k, item in enumerate(items):
+        around = rng.choices(vocabulary, weights, k=60)
+        cut = rng.randint(0, 60)
+        docs.append((k, " ".join(around[:cut] + item + around[cut:])))
+    docs += [(10_000 + k, " ".join(rng.choices(vocabulary, weights, k=80))) for k in range(500)]
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    found = {r.doc_id: {x.item_id for x in r.leaks} for r in find_leaks(df, benchmark).collect()}
+    assert [k for k in range(len(items)) if k not in found[k]] == []
+
+
+def test_edited_copies_of_a_thousand_items_are_found(spark):
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(20_000)]
+    items = [rng.choices(vocabulary, k=rng.randint(40, 59)) for _ in range(1000)]
+    docs = []
+    for k, item in enumerate(items):
+        copy = [w for j, w in enumerate(item) if j % 20 != k % 20]  # a word in twenty is gone
+        docs.append((k, " ".join(rng.choices(vocabulary, k=30) + copy + rng.choices(vocabulary, k=30))))
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    found = {r.doc_id: [x.item_id for x in r.leaks] for r in find_leaks(df, benchmark).collect()}
+    assert found == {k: [k] for k in range(1000)}

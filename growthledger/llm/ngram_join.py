@@ -271,10 +271,57 @@ def _pairs_of(rows: pa.Table, group: np.ndarray, t: Fraction) -> Iterator[pa.Rec
             yield pa.RecordBatch.from_arrays([pa.array(rep[a[keep]]), pa.array(rep[b[keep]])], ["a", "b"])
 
 
-def ngram_jaccard_join(
+def _classes_and_pairs(docs: DataFrame, n: int, t: Fraction, frequencies: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """Classes (n_shingles, sum1, sum2, rep, class_id, n_docs) and all similar pairs (a, b) of their reps.
+
+    ``docs``: (doc_id, text). A rep is a hash of id and text, so that an id with several texts names none of them.
+    No pair is skipped for being connected already.
+    """
+    of_text = F.xxhash64("doc_id", "text")
+    docs = docs.where("doc_id IS NOT NULL")
+    ids = docs.select(of_text.alias("rep"), F.col("doc_id").alias("id")).distinct()
+    docs = docs.select(of_text.alias("doc_id"), "text")
+    described = table(describe(docs, n, t, frequencies).where("n_shingles > 0"), "shingled").withColumnRenamed("doc_id", "rep")
+    key = ["n_shingles", "sum1", "sum2"]
+    classes = described.select("rep", *key).distinct().join(ids, "rep").groupBy(*key).agg(
+        F.min("rep").alias("rep"), F.min("id").alias("class_id"), F.count_distinct("id").alias("n_docs")
+    )
+    classes = table(classes, "classes")
+    sizes = described.join(classes.select("rep"), "rep", "leftsemi").where(F.size("prefix") > 0).dropDuplicates(["rep"])
+    rows = sizes.select("rep", "n_shingles", F.posexplode("prefix").alias("place", "token"))
+    rows = _mixed(rows.withColumn("component", F.col("rep"))).join(sizes.select("rep", "parts"), "rep")
+    return classes, table(_linked(table(_across(rows, t), "pairs"), docs, n, t).distinct(), "linked")
+
+
+def similar_pairs(
     docs: DataFrame, n: int = 3, threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, n_shingles, component_id, class_id) per row of ``docs``.
+    """(a, b, a_docs, b_docs) per pair of similar classes of different sets: their class ids and numbers of ids.
+
+    With ``class_id`` of ``ngram_jaccard_join`` as membership these are all links.
+    """
+    prepare(docs.sparkSession)
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    classes, pairs = _classes_and_pairs(docs, n, Fraction(str(threshold)), cell_frequencies(docs, n))
+    a, b = (classes.select(F.col("rep").alias(s), F.col("class_id").alias(f"{s}_id"), F.col("n_docs").alias(f"{s}_docs")) for s in "ab")
+    named = pairs.join(a, "a").join(b, "b")
+    return named.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "a_docs", "b_docs")
+
+
+def _link_counts(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(n_shingles, sum1, sum2, n_links): the other ids with the same or a similar set."""
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.join(classes.select(F.col("rep").alias("b"), "n_docs"), "b").groupBy(F.col("a").alias("rep"))
+    counted = classes.join(near.agg(F.sum("n_docs").alias("near")), "rep", "left")
+    n_links = F.col("n_docs") - 1 + F.coalesce("near", F.lit(0))
+    return counted.select("n_shingles", "sum1", "sum2", n_links.alias("n_links"))
+
+
+def ngram_jaccard_join(
+    docs: DataFrame, n: int = 3, threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text",
+    count_links: bool = False,
+) -> DataFrame:
+    """(id, n_shingles, component_id, class_id) per row of ``docs``; with ``count_links`` also n_links.
 
     Words are runs of characters other than space and 0x09 to 0x0D, with A-Z lower-cased; a
     text with fewer than ``n`` words is one shingle. ``class_id``: the smallest id with the
@@ -284,11 +331,15 @@ def ngram_jaccard_join(
     without id is linked with nothing and has null ids. Repeated rows come back as often as
     they came; an id with several texts is linked when one of them is. Ids must be
     integers; other columns are not looked at.
+
+    ``n_links``: the other ids with the same or a similar set; an id with several texts counts once for each
+    of its sets. All similar pairs are verified for it, n * n in a group of n near copies.
     """
     t = Fraction(str(threshold))
     prepare(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    described = table(describe(docs, n, t, cell_frequencies(docs, n)), "shingled")
+    frequencies = cell_frequencies(docs, n)
+    described = table(describe(docs, n, t, frequencies), "shingled")
 
     # Equal sets: one representative.
     key = ["n_shingles", "sum1", "sum2"]
@@ -337,9 +388,15 @@ def ngram_jaccard_join(
         *key, F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")
     )
     result = described.select("doc_id", *key).join(named_classes, key, "left")
+    counts = []
+    if count_links:
+        result = result.join(_link_counts(*_classes_and_pairs(docs, n, t, frequencies)), key, "left")
+        n_links = F.when(F.col("doc_id").isNotNull(), F.col("n_links"))
+        counts = [F.coalesce(n_links, F.lit(0)).alias("n_links")]
     return result.select(
         F.col("doc_id").alias(id_col),
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
+        *counts,
     )

@@ -21,7 +21,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.ngram_jaccard_join(_documents(spark, sf_dir), n=3, threshold=0.9)
+    return ngram_join.ngram_jaccard_join(_documents(spark, sf_dir), n=3, threshold=0.9, count_links=True)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,3 +92,27 @@ def test_components_of_a_chain_and_a_hub(spark):
     found = components(spark.createDataFrame(chain + hub, "a long, b long")).collect()
     assert {(r.node, r.component) for r in found} == {(i, 100) for i in range(100, 141)} | {(i, 7) for i in range(7, 61)}
     assert len(found) == 41 + 54
+
+
+def test_link_counts_and_pairs_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 5)
+    rows = list(enumerate(near_copies(random.Random(6))))
+    base = [f"b{k}" for k in range(200)]
+    rows += [(1000 + k, " ".join(w if j != k else "x" for j, w in enumerate(base))) for k in range(12)]  # all alike
+    rows += [(2000, rows[-1][1]), (2001, rows[-1][1].upper())]
+    sets = {}
+    for i, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        width = min(3, len(words))
+        sets[i] = frozenset(tuple(words[k : k + width]) for k in range(len(words) - width + 1)) if words else frozenset()
+    linked = {(i, j) for i in sets for j in sets if i != j and sets[i] and sets[j] and 10 * len(sets[i] & sets[j]) >= 9 * len(sets[i] | sets[j])}
+    again = [*rows, rows[3], (None, rows[3][1])]
+    docs = spark.createDataFrame(again, "doc_id long, text string").repartition(4)
+    found = ngram_join.ngram_jaccard_join(docs, count_links=True).collect()
+    assert len(found) == len(again)
+    assert {r.doc_id: r.n_links for r in found} == {i: sum(a == i for a, _ in linked) for i in sets} | {None: 0}
+    low = {i: min(j for j in sets if sets[j] == sets[i]) for i in sets}
+    pairs = ngram_join.similar_pairs(docs).collect()
+    want = {frozenset((low[a], low[b])) for a, b in linked if sets[a] != sets[b]}
+    assert len(pairs) == len(want) and {frozenset((r.a, r.b)) for r in pairs} == want
+    assert all(r.a_docs == sum(low[i] == r.a for i in low if sets[i]) for r in pairs)

@@ -26,7 +26,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that many sites share, beyond each line's first; texts of which nothing is left go."""
-    shorter = line_dedup.line_dedup(docs)
+    shorter = line_dedup.line_dedup(docs, min_words=1)  # the spread alone decides, not the length
     left = (F.col("n_removed") == 0) | (F.trim("text") != "")
     columns = [F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
     return shorter.where(left).select(*columns)

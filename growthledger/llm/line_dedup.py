@@ -28,7 +28,8 @@ def _occurrences(docs: DataFrame, min_words: int) -> DataFrame:
     """(line, site, id, key, place) of every line that is long enough."""
     lines = docs.select("site", "id", "key", F.posexplode(_lines(F.col("text"))).alias("place", "text"))
     trimmed = F.trim("text")
-    long_enough = F.size(F.split(trimmed, r"\s+")) >= min_words
+    # Blank lines are no lines, though splitting them gives a part or two.
+    long_enough = trimmed.rlike(r"\S") & (F.size(F.split(trimmed, r"\s+")) >= min_words)
     return lines.where(long_enough).select(F.xxhash64(trimmed).alias("line"), "site", "id", "key", "place")
 
 
@@ -52,7 +53,7 @@ def line_dedup(
 ) -> DataFrame:
     """``docs`` without repeated lines of at least ``min_sites`` sites, and n_removed (int).
 
-    Lines are compared without spaces at their ends; lines under ``min_words`` words
+    Lines are compared without spaces at their ends; blank lines and lines under ``min_words`` words
     stay. The first occurrence by (id, position) stays, in every row that repeats that
     document. Null texts stay null and rows without id count after all others; a null site
     is a site. A text whose lines all go becomes empty. A column of ``docs`` that is

@@ -82,3 +82,10 @@ def test_odd_rows_pass_through_every_stage(spark, stages):
         for _, stage in corpus_pipeline.STAGES:
             frame = table(stage(spark, frame, SF_DIR), "odd")
         frame.count()
+
+
+def test_short_shared_lines_go_and_blank_lines_stay(spark):
+    rows = [(i, f"Share\n\n \t \nMenu here\nonly in {i}", "en", f"s{i}", 1) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = texts(corpus_pipeline.drop_shared_lines(spark, docs, SF_DIR))
+    assert found == {0: rows[0][1]} | {i: f"\n \t \nonly in {i}" for i in range(1, 12)}

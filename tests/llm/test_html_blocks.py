@@ -4,8 +4,11 @@ import html
 import re
 
 import pytest
+from helpers import TESTDATA
+
 from growthledger.llm.html_blocks import LABELLED, _keeps, extract, features, labelled_tree, main_text, text_blocks
 
+SF_SMALL = f"{TESTDATA}/sf0.001"
 TREE = labelled_tree()
 
 
@@ -31,8 +34,8 @@ def test_hand_pages(page, text):
     assert main_text(page, TREE) == text
 
 
-def test_given_pages(spark, sf_small):
-    pages = spark.read.parquet(f"{sf_small}/pages.parquet")
+def test_given_pages(spark):
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     found = {r.page_id: r for r in extract(pages).collect()}
     for row in pages.collect():
         article = row.html[row.html.index("<article>") + 9 : row.html.index("</article>")]

@@ -6,10 +6,13 @@ from collections import defaultdict
 import pytest
 from growthledger.llm import line_dedup as module
 from growthledger.llm.line_dedup import line_dedup
+from helpers import TESTDATA
 from oracle import compare, connect
 
 from growthledger.llm import registry
 
+SF_SMALL = f"{TESTDATA}/sf0.001"
+
 
 def brute(rows, min_sites, min_words=3):
     """rows: (id, text, site)."""
@@ -80,7 +83,7 @@ def test_native_plan_and_empty_table(spark):
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
 
 
-def test_query_equals_its_sql(spark, sf_small):
+def test_query_equals_its_sql(spark):
     name = "op4_line_dedup"
-    ours, theirs = compare(spark, connect(sf_small), registry.QUERIES[name], registry.ORACLE_SQL[name], sf_small)
+    ours, theirs = compare(spark, connect(SF_SMALL), registry.QUERIES[name], registry.ORACLE_SQL[name], SF_SMALL)
     assert ours == theirs

@@ -1,10 +1,13 @@
-"""Small event tables for the tests."""
+"""Test tables: where the given ones lie, and small event tables made here."""
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 from growthledger.sources.schemas import FCT_EVENT_STREAM, RAW_COLUMNS
 
+TESTDATA = os.environ.get("TESTDATA", "/root/testdata")
+
 GOOD = {
     "event_time": "2025-06-02 10:00:00.000000",
     "user_id": "u_0001",

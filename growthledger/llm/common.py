@@ -154,6 +154,6 @@ def shingle_set(words: np.ndarray, n: int = 3) -> np.ndarray:
     width = min(n, len(words))
     total = np.full(len(words) - width + 1, np.uint64(width), np.uint64)
     for k in range(width):
-        place = _PLACES[k % 3] * np.uint64((k // 3 * 2 + 1) & _MASK)
+        place = np.uint64(int(_PLACES[k % 3]) * (k // 3 * 2 + 1) & _MASK)
         total = total + words[k : len(words) - width + 1 + k] * place
     return np.unique(mix(total))

@@ -8,8 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, html_blocks, kd_search, lattice_lm, line_dedup, ngram_join, quality_knn, token_counts, warc
+from . import (
+    byte_bpe,
+    decontaminate,
+    html_blocks,
+    kd_search,
+    lattice_lm,
+    line_dedup,
+    minhash_dedup,
+    ngram_join,
+    phrases,
+    quality_knn,
+    token_counts,
+    variants,
+    warc,
+)
 from .common import scratch_path
+from .similar_sql import similar_sql
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +83,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
+def op11_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(_documents(spark, sf_dir))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_documents(spark, sf_dir))
+
+
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.minhash_dedup(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_counts": op2_token_counts,
@@ -79,6 +106,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_kd_search": op9_kd_search,
     "op10_decontaminate": op10_decontaminate,
+    "op11_phrase_graph": op11_phrase_graph,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.ORACLE, "op9_kd_search": kd_search.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_jaccard_join": similar_sql(3, 90, "coalesce(o.n, 0) AS n_links"),
+    "op4_line_dedup": line_dedup.ORACLE,
+    "op9_kd_search": kd_search.ORACLE,
+    "op11_phrase_graph": phrases.ORACLE,
+    "op13_minhash_dedup": similar_sql(4, 80, "d.doc_id = c.component_id AS kept"),
+}

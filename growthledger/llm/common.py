@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir
+from ..sources.tables import remove
 
 #: Arrow batches sent to Python end at this size, so that memory follows it and not the
 #: length of the texts (a single longer text is a batch of its own).
@@ -46,7 +47,15 @@ def table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back: cuts the lineage."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.scratch = path
+    return stored
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``table`` that no later step reads, whoever's executors are lost."""
+    for stored in tables:
+        remove(stored.sparkSession, stored.scratch)
 
 
 def type_of(df: DataFrame, column: str) -> str:

@@ -22,19 +22,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_table, mix, prepare, shingle_set, space_table, table, words_by_text
+from .common import mix, prepare, release, table
 from .components import components
+from .shingle_sets import SET_KEY, full_sets, sets_of, sums
 
 BANDS, ROWS = 30, 5
 #: Sets that are checked against one copy of a hub's set.
 STAR_ROWS = 512
 #: Sets and shingles of one block when what is left of a group is compared.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 20
-#: Up to this many ids are broadcast to pick texts; beyond, they are joined.
-BROADCAST_IDS = 1_000_000
-
-_KEY = ["n_shingles", "sum1", "sum2"]
-
 
 def bin_orders(bins: int) -> np.ndarray:
     """Row e: the rank of each bin in the order in which bin e borrows."""
@@ -66,18 +62,6 @@ def band_hashes(values: np.ndarray, bands: int) -> np.ndarray:
     return total.view(np.int64)
 
 
-def _sums(hashes: np.ndarray) -> tuple[np.int64, np.int64]:
-    return (
-        hashes.sum(dtype=np.uint64).astype(np.int64),
-        mix(hashes ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64),
-    )
-
-
-def _sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
-    for _, words in words_by_text(column, lower_table(), space_table()):
-        yield shingle_set(words, n)
-
-
 def signed(docs: DataFrame, n: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, sum1, sum2, bands) per text; equal sums stand for equal sets."""
 
@@ -85,8 +69,8 @@ def signed(docs: DataFrame, n: int, bands: int = BANDS, rows: int = ROWS) -> Dat
         orders = bin_orders(bands * rows)
         for batch in batches:
             size, sum1, sum2, found = [], [], [], []
-            for hashes in _sets(batch.column(1), n):
-                a, b = _sums(hashes)
+            for hashes in sets_of(batch.column(1), n):
+                a, b = sums(hashes)
                 size.append(len(hashes))
                 sum1.append(a)
                 sum2.append(b)
@@ -98,41 +82,12 @@ def signed(docs: DataFrame, n: int, bands: int = BANDS, rows: int = ROWS) -> Dat
                     batch.column(0), pa.array(size, pa.int64()), pa.array(np.array(sum1, np.int64)),
                     pa.array(np.array(sum2, np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 ],
-                ["doc_id", *_KEY, "bands"],
+                ["doc_id", *SET_KEY, "bands"],
             )
 
     return docs.mapInArrow(described, "doc_id long, n_shingles long, sum1 long, sum2 long, bands array<long>")
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(rep, hashes) of the texts ``wanted`` (rep, doc_id)."""
-    few = wanted.count() <= BROADCAST_IDS
-    pick = F.broadcast if few else (lambda df: df)
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, sum1, sum2, packed = [], [], [], []
-            for hashes in _sets(batch.column(1), n):
-                a, b = _sums(hashes)
-                size.append(len(hashes))
-                sum1.append(a)
-                sum2.append(b)
-                packed.append(hashes.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(size, pa.int64()), pa.array(np.array(sum1, np.int64)),
-                    pa.array(np.array(sum2, np.int64)), pa.array(packed, pa.binary()),
-                ],
-                [*_KEY, "hashes"],
-            )
-
-    texts = docs.join(pick(wanted.select("doc_id").distinct()), "doc_id", "leftsemi")
-    sets = texts.mapInArrow(hashed, "n_shingles long, sum1 long, sum2 long, hashes binary")
-    # An id may have other texts too.
-    sets = sets.select(F.xxhash64(*_KEY).alias("rep"), "hashes")
-    return sets.join(pick(wanted.select("rep")), "rep", "leftsemi")
-
-
 def _similar(both: np.ndarray, m: np.ndarray, n: np.ndarray, t: Fraction) -> np.ndarray:
     return both * t.denominator >= (m + n - both) * t.numerator
 
@@ -269,7 +224,7 @@ def minhash_dedup(
     t = Fraction(str(threshold))
     prepare(docs.sparkSession)
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    described = table(signed(docs, n), "signed").withColumn("rep", F.when(F.col("n_shingles") > 0, F.xxhash64(*_KEY)))
+    described = table(signed(docs, n), "signed").withColumn("rep", F.when(F.col("n_shingles") > 0, F.xxhash64(*SET_KEY)))
     filled = described.where("rep IS NOT NULL AND doc_id IS NOT NULL")
     classes = table(filled.groupBy("rep").agg(F.min("doc_id").alias("class_id")), "classes")
 
@@ -278,8 +233,10 @@ def minhash_dedup(
     named = filled.select("rep", "doc_id", "n_shingles", "bands").join(one_each, ["rep", "doc_id"], "leftsemi")
     rows = named.select("rep", "n_shingles", F.explode("bands").alias("bucket")).distinct()
     shared = rows.groupBy("bucket").agg(F.count("*").alias("sets")).where("sets > 1").select("bucket")
-    rows = table(rows.join(shared, "bucket", "leftsemi"), "buckets").withColumn("component", F.col("rep"))
-    sets = table(_full_sets(docs, rows.select("rep").distinct().join(one_each, "rep"), n), "sets")
+    rows = table(rows.join(shared, "bucket", "leftsemi"), "buckets")
+    buckets = rows
+    rows = rows.withColumn("component", F.col("rep"))
+    sets = table(full_sets(docs, rows.select("rep").distinct().join(one_each, "rep"), n), "sets")
 
     # The texts of an id are linked; so are sets that two rounds of stars find similar.
     several = filled.select("doc_id", "rep").distinct()
@@ -299,6 +256,7 @@ def minhash_dedup(
     named = classes.join(reached, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     lowest = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
     named = table(named.join(lowest, "component").select("rep", "class_id", "component_id"), "named")
+    release(buckets, sets, links, classes)
     # Rows without a set or an id are not looked for.
     ided = F.col("doc_id").isNotNull()
     looked = described.select("doc_id", "n_shingles", F.when(ided, F.col("rep")).alias("rep")).join(named, "rep", "left")

@@ -15,10 +15,11 @@ all documents, then by hash. Any order that all sets share finds every pair; cou
 cells instead of shingles bounds the table that every task needs.
 
 Texts with equal sets are one class, told by size and two independent sums of the hashes, and
-only class representatives (the smallest id) are joined. Components are built in two steps, so that a
-group of n near copies doesn't cost n * n checks: first each set is compared with one set
-of each of its prefix groups, in rounds; then all pairs of a group whose sets are still
-in different components are compared, in blocks of bounded size.
+only class representatives are joined. Sets that share a prefix shingle are compared in blocks of
+bounded size, by size, up to the length limit. What passes the filters is checked once per pair on the full sets: the
+pairs of a connected group are dealt into tiles, and a tile gets each set once, however many of its pairs the set is in.
+A tile returns sums of links and a spanning forest, not pairs, so that a group of n near copies
+costs n * n checks (it has as many links) but no n * n rows after the check.
 """
 
 from __future__ import annotations
@@ -28,36 +29,34 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_table, mix, prepare, shingle_set, space_table, table, words_by_text
-from .components import components
+from .common import mix, prepare, release, table
+from .components import components, lowest_reachable
+from .shingle_sets import SET_KEY, full_sets, sets_of, sums
 
 CELLS = 1 << 18
 PARTS = 64
 #: Rows of one block when a large prefix group is compared pair by pair.
 BLOCK_ROWS = 2048
-#: Up to this many ids are broadcast to pick the texts to check; beyond, they are joined.
-BROADCAST_IDS = 1_000_000
+#: Pairs that a task collects before it drops repeated ones.
+BUFFER = 1 << 19
+#: Sets and shingles of one side of a tile.
+TILE_SETS, TILE_SHINGLES = 1024, 1 << 20
 
 
 def _cells(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - 18)).astype(np.int64)
 
 
-def _sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
-    for _, words in words_by_text(column, lower_table(), space_table()):
-        yield shingle_set(words, n)
-
-
 def cell_frequencies(docs: DataFrame, n: int) -> np.ndarray:
     """Number of (text, shingle) pairs in each cell, over all texts."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.int64)
         for batch in batches:
-            for hashes in _sets(batch.column(0), n):
+            for hashes in sets_of(batch.column(0), n):
                 np.add.at(total, _cells(hashes), 1)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["cell", "n"])
@@ -77,19 +76,20 @@ def describe(docs: DataFrame, n: int, threshold: Fraction, frequencies: np.ndarr
     """(doc_id, n_shingles, sum1, sum2, prefix, parts) per text.
 
     ``prefix``: the rarest shingles in order, none where only an equal set could be
-    similar. ``parts``: shingles in each part of the hash space, 16 bits each (at most
-    65535, which keeps the filter a lower bound).
+    similar. ``parts``: shingles in each part of the hash space, a byte each (at most
+    255, which keeps the filter a lower bound).
     """
     # Below this size no other size is within the threshold.
     least = int(threshold / (1 - threshold))
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, sums, prefixes, parts = [], ([], []), [], []
-            for hashes in _sets(batch.column(1), n):
+            size, sum1, sum2, prefixes, parts = [], [], [], [], []
+            for hashes in sets_of(batch.column(1), n):
                 size.append(len(hashes))
-                sums[0].append(hashes.sum(dtype=np.uint64).astype(np.int64))
-                sums[1].append(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64))
+                a, b = sums(hashes)
+                sum1.append(a)
+                sum2.append(b)
                 if len(hashes) < least:
                     prefixes.append(np.zeros(0, np.int64))
                     parts.append(b"")
@@ -97,13 +97,13 @@ def describe(docs: DataFrame, n: int, threshold: Fraction, frequencies: np.ndarr
                 order = np.argsort(frequencies[_cells(hashes)], kind="stable")  # hashes are sorted
                 prefixes.append(hashes[order[: prefix_length(len(hashes), threshold)]].view(np.int64))
                 spread = np.bincount((mix(hashes) >> np.uint64(58)).astype(np.int64), minlength=PARTS)
-                parts.append(np.minimum(spread, 65535).astype(np.uint16).tobytes())
+                parts.append(np.minimum(spread, 255).astype(np.uint8).tobytes())
             ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(size, pa.int64()),
-                    pa.array(np.array(sums[0], np.int64)), pa.array(np.array(sums[1], np.int64)),
+                    pa.array(np.array(sum1, np.int64)), pa.array(np.array(sum2, np.int64)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(parts, pa.binary()),
                 ],
                 ["doc_id", "n_shingles", "sum1", "sum2", "prefix", "parts"],
@@ -113,127 +113,54 @@ def describe(docs: DataFrame, n: int, threshold: Fraction, frequencies: np.ndarr
     return docs.mapInArrow(described, schema)
 
 
-def _overlap(m: Column, n: Column, t: Fraction) -> Column:
-    """The least overlap with which sizes m and n are similar."""
-    up, down = t.numerator, t.numerator + t.denominator
-    return F.floor(((m + n) * up + (down - 1)) / F.lit(down))
-
-
-def _may_link(a: str, b: str, t: Fraction) -> Column:
-    """Length and positional filter for two rows with a shared shingle."""
-    m, n = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
-    i, j = F.col(f"{a}.place"), F.col(f"{b}.place")
-    reach = F.least(i, j) + 1 + F.least(m - i - 1, n - j - 1)
-    return (
-        (m * t.denominator >= n * t.numerator)
-        & (n * t.denominator >= m * t.numerator)
-        & (reach >= _overlap(m, n, t))
-    )
-
-
-def _parts_allow(a: pa.Array, b: pa.Array, m: np.ndarray, n: np.ndarray, t: Fraction) -> np.ndarray:
-    """Suffix filter: do the stored part counts leave room for a similar pair?"""
-    x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint16).reshape(-1, PARTS).astype(np.int64) for v in (a, b))
-    apart = np.abs(x - y).sum(axis=1)
-    need = -(-(m + n) * t.numerator // (t.numerator + t.denominator))
-    return apart <= m + n - 2 * need
-
+def _candidates(rows: DataFrame, t: Fraction) -> DataFrame:
+    """Distinct pairs (a, b), a < b, that share a prefix shingle and pass all filters.
 
-def _filtered(pairs: DataFrame, sizes: DataFrame, t: Fraction) -> DataFrame:
-    """Distinct pairs (a, b) that pass the suffix filter, with their sizes."""
-    left = sizes.select(F.col("rep").alias("a"), F.col("n_shingles").alias("m"), F.col("parts").alias("x"))
-    right = sizes.select(F.col("rep").alias("b"), F.col("n_shingles").alias("n"), F.col("parts").alias("y"))
-
-    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            m, n = (batch.column(k).to_numpy() for k in ("m", "n"))
-            keep = _parts_allow(batch.column("x"), batch.column("y"), m, n, t)
-            yield batch.select(["a", "b", "m", "n"]).filter(pa.array(keep))
-
-    return pairs.join(left, "a").join(right, "b").mapInArrow(passed, "a long, b long, m long, n long")
-
-
-def _linked(pairs: DataFrame, docs: DataFrame, n: int, t: Fraction) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold, each looked at once.
-
-    Only texts that are in a pair are shingled again.
+    ``rows``: (token, rep, n_shingles, place, group_rows, parts). A group of many rows is dealt into blocks,
+    and each pair of blocks is compared by itself, so what has to be held at once is bounded. The 64 bytes of parts
+    travel with the rows: in a large group, pairs would need them far more often.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [h.tobytes() for h in _sets(batch.column(1), n)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "hashes"])
-
-    sets = docs.join(ids, "doc_id", "leftsemi").mapInArrow(hashed, "doc_id long, hashes binary")
-    sets = table(sets, "sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y"))
-
-    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both * t.denominator >= (len(x) + len(y) - both) * t.numerator)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(checked, "a long, b long")
-
-
-def _to_pivot(rows: DataFrame, salt: Column, t: Fraction) -> DataFrame:
-    """Distinct pairs (a, b) of a set and its prefix group's pivot, the least by a salted hash.
-
-    At most one pair per row of ``rows`` (token, rep, n_shingles, place, perhaps component);
-    sets that are known to be connected are not paired.
-    """
-    if "component" not in rows.columns:
-        rows = rows.withColumn("component", F.col("rep"))
-    least = F.min(F.struct(F.xxhash64("rep", salt).alias("h"), "rep", "n_shingles", "place", "component"))
-    paired = rows.join(rows.groupBy("token").agg(least.alias("pivot")), "token").alias("r")
-    paired = paired.where("pivot.component <> component").where(_may_link("r", "pivot", t))
-    return paired.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b")).distinct()
-
-
-def _mixed(rows: DataFrame, least_rows: int = 2) -> DataFrame:
-    """The rows of prefix groups with several components, with their number as ``group_rows``."""
-    groups = rows.groupBy("token").agg(
-        F.count("*").alias("group_rows"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    mixed = groups.where("low <> high").where(F.col("group_rows") >= least_rows).select("token", "group_rows")
-    return rows.drop("group_rows").join(mixed, "token")
-
-
-def _across(rows: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs of a prefix group whose sets are in different components and pass all filters.
-
-    ``rows``: (token, rep, n_shingles, place, component, group_rows, parts). Groups of two have
-    been compared in the first step. A group of many rows is dealt into blocks, and each pair of
-    blocks is compared by itself, so what has to be held at once is bounded.
-    """
-    rows = rows.withColumn("n_blocks", F.ceil(F.col("group_rows") / BLOCK_ROWS))
-    own = F.pmod(F.xxhash64("rep"), F.col("n_blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))
+    n_blocks = F.ceil(F.col("group_rows") / BLOCK_ROWS)
+    own, other = F.pmod(F.xxhash64("rep"), n_blocks), F.explode(F.sequence(F.lit(0).cast("long"), n_blocks - 1))
     dealt = rows.withColumn("own", own).withColumn("other", other)
     dealt = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
     key = ["token", "low", "high"]
-    dealt = dealt.select(*key, "rep", "n_shingles", "place", "component", "own", "parts")
-    dealt = dealt.repartition(*key).sortWithinPartitions(*key, "rep")
+    dealt = dealt.select(*key, "rep", "n_shingles", "place", "own", "parts")
+    dealt = dealt.repartition(*key).sortWithinPartitions(*key, "n_shingles")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
-        for batch in batches:
-            part = pa.Table.from_batches([batch])
-            held = part if held is None else pa.concat_tables([held, part])
-            group = _group_numbers(held)
-            last = int(np.searchsorted(group, group[-1]))  # it may go on in the next batch
-            yield from _pairs_of(held[:last], group[:last], t)
-            held = held[last:].combine_chunks()
-        if held is not None:
-            yield from _pairs_of(held, _group_numbers(held), t)
+        found: list[np.ndarray] = []
+
+        def once() -> pa.RecordBatch:
+            both = np.concatenate(found, axis=1)
+            order = np.lexsort((both[1], both[0]))
+            both = both[:, order]
+            both = both[:, np.concatenate([[True], (both[:, 1:] != both[:, :-1]).any(axis=0)])]
+            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+
+        def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+            nonlocal held
+            for batch in batches:
+                part = pa.Table.from_batches([batch])
+                held = part if held is None else pa.concat_tables([held, part])
+                group = _group_numbers(held)
+                last = int(np.searchsorted(group, group[-1]))  # it may go on in the next batch
+                yield held[:last], group[:last]
+                held = held[last:].combine_chunks()
+            if held is not None:
+                yield held, _group_numbers(held)
+
+        size = 0
+        for rows, group in parts_of(batches):
+            for both in _pairs_of(rows, group, t):
+                found.append(both)
+                size += both.shape[1]
+                if size >= BUFFER:
+                    yield once()
+                    found, size = [], 0
+        if found:
+            yield once()
 
     return dealt.mapInArrow(pairs, "a long, b long").distinct()
 
@@ -244,53 +171,141 @@ def _group_numbers(rows: pa.Table) -> np.ndarray:
     return np.concatenate([[0], np.cumsum((key[:, 1:] != key[:, :-1]).any(axis=0))])
 
 
-def _pairs_of(rows: pa.Table, group: np.ndarray, t: Fraction) -> Iterator[pa.RecordBatch]:
-    """Filtered pairs of whole groups: each row with the next of its group, the next but one, and so on."""
+def _pairs_of(rows: pa.Table, group: np.ndarray, t: Fraction) -> Iterator[np.ndarray]:
+    """Filtered pairs of whole groups in order of size: each row with the next of its group, the next but one, and so on."""
     if not len(group):
         return
-    rep, size, place, component, own, low, high = (
-        rows.column(c).to_numpy().astype(np.int64)
-        for c in ("rep", "n_shingles", "place", "component", "own", "low", "high")
+    rep, size, place, own, low, high = (
+        rows.column(c).to_numpy().astype(np.int64) for c in ("rep", "n_shingles", "place", "own", "low", "high")
     )
-    parts = np.frombuffer(b"".join(rows.column("parts").to_pylist()), np.uint16).reshape(-1, PARTS).astype(np.int32)
+    parts = np.frombuffer(b"".join(rows.column("parts").to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16)
     left = np.arange(len(group))
     for step in range(1, len(group)):
         left = left[left + step < len(group)]
-        left = left[group[left] == group[left + step]]
+        # Later rows are no smaller: beyond the length limit there is nothing more for a row.
+        left = left[(group[left] == group[left + step]) & (size[left] * t.denominator >= size[left + step] * t.numerator)]
         if not len(left):
             return
         a, b = left, left + step
         m, n = size[a], size[b]
         need = -(-(m + n) * t.numerator // (t.numerator + t.denominator))
         reach = np.minimum(place[a], place[b]) + 1 + np.minimum(m - place[a] - 1, n - place[b] - 1)
-        ok = (component[a] != component[b]) & (reach >= need) & ((low[a] == high[a]) | (own[a] != own[b]))
-        ok &= (m * t.denominator >= n * t.numerator) & (n * t.denominator >= m * t.numerator)
+        ok = (reach >= need) & ((low[a] == high[a]) | (own[a] != own[b])) & (rep[a] != rep[b])
         a, b, room = a[ok], b[ok], (m + n - 2 * need)[ok]
         keep = np.abs(parts[a] - parts[b]).sum(axis=1) <= room
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(rep[a[keep]]), pa.array(rep[b[keep]])], ["a", "b"])
+            x, y = rep[a[keep]], rep[b[keep]]
+            yield np.stack([np.minimum(x, y), np.maximum(x, y)])
+
+
+def _tiles(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs and the sets they need, dealt by tile: (group, low, high, is_pair, a, b, weight, hashes).
+
+    ``pairs``: (a, b); ``sets``: (rep, hashes); ``sizes``: (rep, n_shingles, n_docs). Groups are what the pairs connect, cut
+    into blocks; a tile is a pair of blocks. Sets come first, and only those with a pair in the tile.
+    """
+    groups = components(pairs).select(F.col("node").alias("rep"), F.col("component").alias("group")).join(sizes, "rep")
+    blocks = F.greatest(F.ceil(F.count("*") / TILE_SETS), F.ceil(F.sum("n_shingles") / TILE_SHINGLES)).alias("n_blocks")
+    placed = groups.join(groups.groupBy("group").agg(blocks), "group")
+    placed = table(placed.select("rep", "group", "n_docs", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).alias("block")), "blocks")
+    x, y = (placed.select(F.col("rep").alias(s), "group", F.col("block").alias(f"{s}_block")) for s in "ab")
+    dealt = pairs.join(x, "a").join(y.drop("group"), "b")
+    tile = ["group", F.least("a_block", "b_block").alias("low"), F.greatest("a_block", "b_block").alias("high")]
+    dealt = table(dealt.select(*tile, "a", "b"), "tiles")
+    needed = dealt.select("group", "low", "high", F.explode(F.array("a", "b")).alias("rep")).distinct()
+    needed = needed.join(placed.select("rep", "n_docs"), "rep").join(sets, "rep")
+    rows = needed.select(
+        "group", "low", "high", F.lit(0).alias("is_pair"), F.col("rep").alias("a"), F.col("rep").alias("b"),
+        F.col("n_docs").alias("weight"), "hashes",
+    )
+    none = F.lit(None)
+    rows = rows.unionByName(
+        dealt.select(
+            "group", "low", "high", F.lit(1).alias("is_pair"), "a", "b",
+            none.cast("long").alias("weight"), none.cast("binary").alias("hashes"),
+        )
+    )
+    return rows.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high", "is_pair")
+
+
+def _verified(tiles: DataFrame, t: Fraction, as_pairs: bool) -> DataFrame:
+    """(a, b, near): the similar pairs (a, b, null), or what follows from them.
+
+    That is, per tile, links (a, b, null) that connect the same sets, and (a, null, near): the ids of all sets
+    similar to a.
+    """
+
+    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, weights, linked = None, {}, {}, []
+        for batch in batches:
+            columns = (batch.column(k).to_pylist() for k in ("group", "low", "high", "is_pair", "a", "b", "weight"))
+            for group, low, high, is_pair, a, b, weight, packed in zip(*columns, batch.column("hashes"), strict=True):
+                if (group, low, high) != now:
+                    yield from _summed(linked, weights, as_pairs)
+                    now, held, weights, linked = (group, low, high), {}, {}, []
+                if not is_pair:
+                    held[a] = np.frombuffer(packed.as_py(), np.uint64)
+                    weights[a] = weight
+                    continue
+                x, y = held[a], held[b]
+                x, y = (x, y) if len(x) <= len(y) else (y, x)
+                both = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
+                if both * t.denominator >= (len(x) + len(y) - both) * t.numerator:
+                    linked.append((a, b))
+        yield from _summed(linked, weights, as_pairs)
 
+    return tiles.mapInArrow(checked, "a long, b long, near long")
 
-def _classes_and_pairs(docs: DataFrame, n: int, t: Fraction, frequencies: np.ndarray) -> tuple[DataFrame, DataFrame]:
-    """Classes (n_shingles, sum1, sum2, rep, class_id, n_docs) and all similar pairs (a, b) of their reps.
 
-    ``docs``: (doc_id, text). A rep is a hash of id and text, so that an id with several texts names none of them.
-    No pair is skipped for being connected already.
+def _summed(linked: list[tuple[int, int]], weights: dict[int, int], as_pairs: bool) -> Iterator[pa.RecordBatch]:
+    if not linked:
+        return
+    a, b = (np.array(side, np.int64) for side in zip(*linked, strict=True))
+    if as_pairs:
+        out = a, b, pa.nulls(len(a), pa.int64())
+    else:
+        ends, others = np.concatenate([a, b]), np.concatenate([b, a])
+        node, at = np.unique(ends, return_inverse=True)
+        near = np.zeros(len(node), np.int64)
+        np.add.at(near, at, np.array([weights[k] for k in others.tolist()], np.int64))
+        forest, low = lowest_reachable(a, b)
+        tied = forest != low
+        out = (
+            np.concatenate([forest[tied], node]),
+            pa.array([*low[tied].tolist(), *[None] * len(node)], pa.int64()),
+            pa.array([*[None] * int(tied.sum()), *near.tolist()], pa.int64()),
+        )
+    yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in out], ["a", "b", "near"])
+
+
+def _joined(docs: DataFrame, n: int, t: Fraction, as_pairs: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Texts (doc_id, n_shingles, rep), classes (rep, class_id, n_docs), and what ``_verified`` found.
+
+    ``docs``: (doc_id, text). ``rep`` is a hash of the set's key, null without shingles.
     """
-    of_text = F.xxhash64("doc_id", "text")
-    docs = docs.where("doc_id IS NOT NULL")
-    ids = docs.select(of_text.alias("rep"), F.col("doc_id").alias("id")).distinct()
-    docs = docs.select(of_text.alias("doc_id"), "text")
-    described = table(describe(docs, n, t, frequencies).where("n_shingles > 0"), "shingled").withColumnRenamed("doc_id", "rep")
-    key = ["n_shingles", "sum1", "sum2"]
-    classes = described.select("rep", *key).distinct().join(ids, "rep").groupBy(*key).agg(
-        F.min("rep").alias("rep"), F.min("id").alias("class_id"), F.count_distinct("id").alias("n_docs")
+    described = table(describe(docs, n, t, cell_frequencies(docs, n)), "shingled")
+    described = described.withColumn("rep", F.when(F.col("n_shingles") > 0, F.xxhash64(*SET_KEY)))
+    filled = described.where("rep IS NOT NULL AND doc_id IS NOT NULL")
+    ids = filled.groupBy("rep", "doc_id").agg(F.min("n_shingles").alias("n_shingles"))
+    classes = ids.groupBy("rep").agg(
+        F.min("doc_id").alias("class_id"), F.count("*").alias("n_docs"), F.min("n_shingles").alias("n_shingles")
     )
     classes = table(classes, "classes")
-    sizes = described.join(classes.select("rep"), "rep", "leftsemi").where(F.size("prefix") > 0).dropDuplicates(["rep"])
-    rows = sizes.select("rep", "n_shingles", F.posexplode("prefix").alias("place", "token"))
-    rows = _mixed(rows.withColumn("component", F.col("rep"))).join(sizes.select("rep", "parts"), "rep")
-    return classes, table(_linked(table(_across(rows, t), "pairs"), docs, n, t).distinct(), "linked")
+
+    # Prefix groups of at least two sets. A row that is repeated joins more than once, which does no harm.
+    one_each = classes.select("rep", F.col("class_id").alias("doc_id"))
+    reps = filled.where(F.size("prefix") > 0).join(one_each, ["rep", "doc_id"], "leftsemi")
+    tokens = reps.select("rep", "n_shingles", F.posexplode("prefix").alias("place", "token"))
+    groups = tokens.groupBy("token").agg(F.count("*").alias("group_rows")).where("group_rows > 1")
+    rows = table(tokens.join(groups, "token"), "prefixes")
+    parts = reps.select("rep", "parts").dropDuplicates(["rep"])
+    pairs = table(_candidates(rows.join(parts, "rep"), t), "pairs")
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(one_each, "rep")
+    sets = table(full_sets(docs, wanted, n), "sets")
+    found = table(_verified(_tiles(pairs, sets, classes.select("rep", "n_shingles", "n_docs")), t, as_pairs), "linked")
+    release(rows, pairs, sets)
+    return described.select("doc_id", "n_shingles", "rep"), classes, found
 
 
 def similar_pairs(
@@ -301,102 +316,52 @@ def similar_pairs(
     With ``class_id`` of ``ngram_jaccard_join`` as membership these are all links.
     """
     prepare(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    classes, pairs = _classes_and_pairs(docs, n, Fraction(str(threshold)), cell_frequencies(docs, n))
+    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    _, classes, pairs = _joined(docs, n, Fraction(str(threshold)), as_pairs=True)
     a, b = (classes.select(F.col("rep").alias(s), F.col("class_id").alias(f"{s}_id"), F.col("n_docs").alias(f"{s}_docs")) for s in "ab")
-    named = pairs.join(a, "a").join(b, "b")
+    named = pairs.select("a", "b").join(a, "a").join(b, "b")
     return named.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "a_docs", "b_docs")
 
 
-def _link_counts(classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(n_shingles, sum1, sum2, n_links): the other ids with the same or a similar set."""
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = both.join(classes.select(F.col("rep").alias("b"), "n_docs"), "b").groupBy(F.col("a").alias("rep"))
-    counted = classes.join(near.agg(F.sum("n_docs").alias("near")), "rep", "left")
-    n_links = F.col("n_docs") - 1 + F.coalesce("near", F.lit(0))
-    return counted.select("n_shingles", "sum1", "sum2", n_links.alias("n_links"))
-
-
 def ngram_jaccard_join(
-    docs: DataFrame, n: int = 3, threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text",
-    count_links: bool = False,
+    docs: DataFrame, n: int = 3, threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, n_shingles, component_id, class_id) per row of ``docs``; with ``count_links`` also n_links.
+    """(id, n_shingles, component_id, class_id, n_links) per row of ``docs``.
 
     Words are runs of characters other than space and 0x09 to 0x0D, with A-Z lower-cased; a
     text with fewer than ``n`` words is one shingle. ``class_id``: the smallest id with the
-    same set; ``component_id``: the smallest id reachable over links, itself included.
+    same set; ``component_id``: the smallest id reachable over links, itself included; ``n_links``: the other ids
+    with the same or a similar set.
 
     Null, empty and blank texts have no shingles and are linked with nothing. A row
     without id is linked with nothing and has null ids. Repeated rows come back as often as
-    they came; an id with several texts is linked when one of them is. Ids must be
-    integers; other columns are not looked at.
-
-    ``n_links``: the other ids with the same or a similar set; an id with several texts counts once for each
-    of its sets. All similar pairs are verified for it, n * n in a group of n near copies.
+    they came; an id with several texts is linked when one of them is, and counts once for each of its sets.
+    An empty table gives no row. Ids must be integers; other columns are not looked at, whatever their names.
     """
-    t = Fraction(str(threshold))
     prepare(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    frequencies = cell_frequencies(docs, n)
-    described = table(describe(docs, n, t, frequencies), "shingled")
-
-    # Equal sets: one representative.
-    key = ["n_shingles", "sum1", "sum2"]
-    filled = described.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = filled.groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    reps = described.alias("d").join(
-        classes.where("n_shingles > 0").select(F.col("rep").alias("doc_id"), *key), ["doc_id", *key], "leftsemi"
-    ).dropDuplicates(["doc_id", *key])
-    sizes = reps.where(F.size("prefix") > 0).select(F.col("doc_id").alias("rep"), "n_shingles", "prefix", "parts")
-
-    # Prefix groups of at least two sets.
-    tokens = sizes.select("rep", "n_shingles", F.posexplode("prefix").alias("place", "token"))
-    groups = tokens.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").select("token")
-    rows = table(tokens.join(groups, "token"), "prefixes")
-    named = table(
-        sizes.join(rows.select("rep").distinct(), "rep", "leftsemi").select("rep", "n_shingles", "parts"), "parts"
-    )
-
-    # First step: every set against one of its group, first the same one wherever it is a member,
-    # then one of each group's own, so that a set of a large family meets many of them.
-    texts = filled.select("doc_id", *key).distinct()
-    several = texts.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1").select("doc_id")
-    same_id = texts.join(several, "doc_id", "leftsemi").join(classes, key)
-    links = same_id.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    state, checked = None, None
-    for salt in (F.lit(0), F.col("token"), F.col("token") + 1):
-        found = rows if state is None else _mixed(rows.join(state, "rep"))
-        pairs = _to_pivot(found, salt, t)
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "leftanti")
-        pairs = table(_filtered(pairs, named, t), "pairs").select("a", "b")
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        links = table(links.unionByName(_linked(pairs, docs, n, t)), "linked")
-        reached = components(links)
-        labels = reached.select(F.col("node").alias("rep"), "component")
-        state = named.select("rep").join(labels, "rep", "left")
-        state = table(state.select("rep", F.coalesce("component", "rep").alias("component")), "state")
-
-    # Second step: what is left between components.
-    left = _mixed(rows.join(state, "rep"), least_rows=3).join(named.select("rep", "parts"), "rep")
-    second = table(_across(left, t).join(checked, ["a", "b"], "leftanti"), "pairs")
-    reached = components(table(links.unionByName(_linked(second, docs, n, t)), "linked"))
-    reached = reached.withColumnRenamed("node", "rep")
-
-    named_classes = classes.join(reached, "rep", "left").select(
-        *key, F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")
-    )
-    result = described.select("doc_id", *key).join(named_classes, key, "left")
-    counts = []
-    if count_links:
-        result = result.join(_link_counts(*_classes_and_pairs(docs, n, t, frequencies)), key, "left")
-        n_links = F.when(F.col("doc_id").isNotNull(), F.col("n_links"))
-        counts = [F.coalesce(n_links, F.lit(0)).alias("n_links")]
-    return result.select(
+    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    described, classes, found = _joined(docs, n, Fraction(str(threshold)), as_pairs=False)
+
+    several = described.where("rep IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "rep").distinct()
+    texts = several.groupBy("doc_id").agg(F.count("*").alias("texts"), F.min("rep").alias("b")).where("texts > 1")
+    same_id = several.join(texts, "doc_id").select(F.col("rep").alias("a"), "b")
+    links = found.where("b IS NOT NULL").select("a", "b").unionByName(same_id)
+    reached = components(links).select(F.col("node").alias("rep"), "component")
+    near = found.where("near IS NOT NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("near").alias("near"))
+    named = classes.join(reached, "rep", "left").join(near, "rep", "left")
+    named = named.withColumn("component", F.coalesce("component", "rep"))
+    lowest = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    n_links = (F.col("n_docs") - 1 + F.coalesce("near", F.lit(0))).alias("n_links")
+    named = table(named.join(lowest, "component").select("rep", "class_id", "component_id", n_links), "named")
+    release(classes, found)
+
+    # Rows without a set or an id are not looked for.
+    ided = F.col("doc_id").isNotNull()
+    looked = described.withColumn("rep", F.when(ided, F.col("rep"))).join(named, "rep", "left")
+    return looked.select(
         F.col("doc_id").alias(id_col),
         "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
-        *counts,
+        F.when(ided, F.coalesce("component_id", "doc_id")).alias("component_id"),
+        F.when(ided, F.coalesce("class_id", "doc_id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )

@@ -9,7 +9,7 @@ from oracle import compare, connect
 from test_ngram_join import brute, near_copies
 
 from growthledger.llm import minhash_dedup as module
-from growthledger.llm import registry
+from growthledger.llm import registry, shingle_sets
 from growthledger.llm.minhash_dedup import BANDS, ROWS, band_hashes, bin_orders, minhash_dedup, signature
 
 SF_SMALL = f"{TESTDATA}/sf0.001"
@@ -41,7 +41,7 @@ def chained(rng, n):
 def test_large_group_around_the_threshold_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(module, "BLOCK_SETS", 16)
     monkeypatch.setattr(module, "STAR_ROWS", 8)
-    monkeypatch.setattr(module, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(shingle_sets, "BROADCAST_IDS", 0)
     rows = chained(random.Random(3), 150)
     assert got(spark, rows) == brute(rows, 4, 80)
 

@@ -4,7 +4,7 @@ import random
 import re
 
 import pytest
-from growthledger.llm import ngram_join
+from growthledger.llm import ngram_join, shingle_sets
 from growthledger.llm.components import components
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -57,6 +57,7 @@ def near_copies(rng):
 @pytest.mark.parametrize("seed, block", [(1, 2048), (2, 3)])
 def test_equals_all_pairs(spark, monkeypatch, seed, block):
     monkeypatch.setattr(ngram_join, "BLOCK_ROWS", block)
+    monkeypatch.setattr(ngram_join, "TILE_SETS", block)
     rng = random.Random(seed)
     rows = list(enumerate(near_copies(rng)))
     rng.shuffle(rows)
@@ -68,7 +69,7 @@ def test_equals_all_pairs(spark, monkeypatch, seed, block):
 
 
 def test_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(shingle_sets, "BROADCAST_IDS", 0)
     rows = list(enumerate(near_copies(random.Random(3))))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(str(tuple(r)[:3]) for r in ngram_join.ngram_jaccard_join(docs).collect()) == brute(rows)
@@ -86,7 +87,9 @@ def test_empty_table(spark):
     assert ngram_join.ngram_jaccard_join(docs).count() == 0
 
 
-def test_components_of_a_chain_and_a_hub(spark):
+@pytest.mark.parametrize("task_links", [1 << 18, 7])
+def test_components_of_a_chain_and_a_hub(spark, monkeypatch, task_links):
+    monkeypatch.setattr("growthledger.llm.components.TASK_LINKS", task_links)
     chain = [(i, i + 1) for i in range(100, 140)]
     hub = [(7, i) for i in range(8, 60)] + [(9, 9), (None, 3), (8, 7), (60, 59)]
     found = components(spark.createDataFrame(chain + hub, "a long, b long")).collect()
@@ -108,7 +111,7 @@ def test_link_counts_and_pairs_equal_all_pairs(spark, monkeypatch):
     linked = {(i, j) for i in sets for j in sets if i != j and sets[i] and sets[j] and 10 * len(sets[i] & sets[j]) >= 9 * len(sets[i] | sets[j])}
     again = [*rows, rows[3], (None, rows[3][1])]
     docs = spark.createDataFrame(again, "doc_id long, text string").repartition(4)
-    found = ngram_join.ngram_jaccard_join(docs, count_links=True).collect()
+    found = ngram_join.ngram_jaccard_join(docs).collect()
     assert len(found) == len(again)
     assert {r.doc_id: r.n_links for r in found} == {i: sum(a == i for a, _ in linked) for i in sets} | {None: 0}
     low = {i: min(j for j in sets if sets[j] == sets[i]) for i in sets}

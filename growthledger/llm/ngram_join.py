@@ -16,10 +16,11 @@ cells instead of shingles bounds the table that every task needs.
 
 Texts with equal sets are one class, told by size and two independent sums of the hashes, and
 only class representatives are joined. Sets that share a prefix shingle are compared in blocks of
-bounded size, by size, up to the length limit. What passes the filters is checked once per pair on the full sets: the
-pairs of a connected group are dealt into tiles, and a tile gets each set once, however many of its pairs the set is in.
-A tile returns sums of links and a spanning forest, not pairs, so that a group of n near copies
-costs n * n checks (it has as many links) but no n * n rows after the check.
+bounded size, by size, up to the length limit; what passes the filters ties sets to groups, and a task reports a spanning forest of its
+ties, not the pairs. A group is dealt into tiles, pairs of blocks of its sets. A tile joins its sets on their prefixes
+again, in memory, and checks each pair that passes the filters once, on the full sets. It
+returns sums of links and a spanning forest, so a group of n near copies costs n * n checks (it has as many
+links) but never n * n rows.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ CELLS = 1 << 18
 PARTS = 64
 #: Rows of one block when a large prefix group is compared pair by pair.
 BLOCK_ROWS = 2048
-#: Pairs that a task collects before it drops repeated ones.
+#: Pairs that a task collects before it contracts them.
 BUFFER = 1 << 19
 #: Sets and shingles of one side of a tile.
 TILE_SETS, TILE_SHINGLES = 1024, 1 << 20
@@ -113,8 +114,8 @@ def describe(docs: DataFrame, n: int, threshold: Fraction, frequencies: np.ndarr
     return docs.mapInArrow(described, schema)
 
 
-def _candidates(rows: DataFrame, t: Fraction) -> DataFrame:
-    """Distinct pairs (a, b), a < b, that share a prefix shingle and pass all filters.
+def _ties(rows: DataFrame, t: Fraction) -> DataFrame:
+    """Links (a, b) that connect the same sets as all the pairs that share a prefix shingle and pass all filters.
 
     ``rows``: (token, rep, n_shingles, place, group_rows, parts). A group of many rows is dealt into blocks,
     and each pair of blocks is compared by itself, so what has to be held at once is bounded. The 64 bytes of parts
@@ -128,41 +129,42 @@ def _candidates(rows: DataFrame, t: Fraction) -> DataFrame:
     dealt = dealt.select(*key, "rep", "n_shingles", "place", "own", "parts")
     dealt = dealt.repartition(*key).sortWithinPartitions(*key, "n_shingles")
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
         held: pa.Table | None = None
-        found: list[np.ndarray] = []
-
-        def once() -> pa.RecordBatch:
-            both = np.concatenate(found, axis=1)
-            order = np.lexsort((both[1], both[0]))
-            both = both[:, order]
-            both = both[:, np.concatenate([[True], (both[:, 1:] != both[:, :-1]).any(axis=0)])]
-            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
-
-        def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
-            nonlocal held
-            for batch in batches:
-                part = pa.Table.from_batches([batch])
-                held = part if held is None else pa.concat_tables([held, part])
-                group = _group_numbers(held)
-                last = int(np.searchsorted(group, group[-1]))  # it may go on in the next batch
-                yield held[:last], group[:last]
-                held = held[last:].combine_chunks()
-            if held is not None:
-                yield held, _group_numbers(held)
-
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            held = part if held is None else pa.concat_tables([held, part])
+            group = _group_numbers(held)
+            last = int(np.searchsorted(group, group[-1]))  # it may go on in the next batch
+            yield held[:last], group[:last]
+            held = held[last:].combine_chunks()
+        if held is not None:
+            yield held, _group_numbers(held)
+
+    def tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
         size = 0
-        for rows, group in parts_of(batches):
-            for both in _pairs_of(rows, group, t):
-                found.append(both)
-                size += both.shape[1]
-                if size >= BUFFER:
-                    yield once()
-                    found, size = [], 0
-        if found:
-            yield once()
+        for rows, group in whole_groups(batches):
+            if not len(group):
+                continue
+            rep, n, place, own, low, high = (
+                rows.column(c).to_numpy().astype(np.int64) for c in ("rep", "n_shingles", "place", "own", "low", "high")
+            )
+            parts = _parts(rows.column("parts").to_pylist())
+            for x, y in _pairs_of(group, n, place, np.where(low == high, -1, own), parts, t):
+                a, b = np.concatenate([a, rep[x]]), np.concatenate([b, rep[y]])
+                if len(a) >= size + BUFFER:
+                    a, b = lowest_reachable(a, b)
+                    size = len(a)
+        if len(a):
+            a, b = lowest_reachable(a, b)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return dealt.mapInArrow(tied, "a long, b long").distinct()
 
-    return dealt.mapInArrow(pairs, "a long, b long").distinct()
+
+def _parts(column: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, PARTS).astype(np.int16)
 
 
 def _group_numbers(rows: pa.Table) -> np.ndarray:
@@ -171,14 +173,13 @@ def _group_numbers(rows: pa.Table) -> np.ndarray:
     return np.concatenate([[0], np.cumsum((key[:, 1:] != key[:, :-1]).any(axis=0))])
 
 
-def _pairs_of(rows: pa.Table, group: np.ndarray, t: Fraction) -> Iterator[np.ndarray]:
-    """Filtered pairs of whole groups in order of size: each row with the next of its group, the next but one, and so on."""
-    if not len(group):
-        return
-    rep, size, place, own, low, high = (
-        rows.column(c).to_numpy().astype(np.int64) for c in ("rep", "n_shingles", "place", "own", "low", "high")
-    )
-    parts = np.frombuffer(b"".join(rows.column("parts").to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16)
+def _pairs_of(
+    group: np.ndarray, size: np.ndarray, place: np.ndarray, side: np.ndarray, parts: np.ndarray, t: Fraction
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Filtered pairs of rows of whole groups in order of size: each row with the next of its group, the next but one, and so on.
+
+    Rows of the same ``side`` are not paired, unless it is -1.
+    """
     left = np.arange(len(group))
     for step in range(1, len(group)):
         left = left[left + step < len(group)]
@@ -190,42 +191,26 @@ def _pairs_of(rows: pa.Table, group: np.ndarray, t: Fraction) -> Iterator[np.nda
         m, n = size[a], size[b]
         need = -(-(m + n) * t.numerator // (t.numerator + t.denominator))
         reach = np.minimum(place[a], place[b]) + 1 + np.minimum(m - place[a] - 1, n - place[b] - 1)
-        ok = (reach >= need) & ((low[a] == high[a]) | (own[a] != own[b])) & (rep[a] != rep[b])
+        ok = (reach >= need) & ((side[a] < 0) | (side[a] != side[b]))
         a, b, room = a[ok], b[ok], (m + n - 2 * need)[ok]
         keep = np.abs(parts[a] - parts[b]).sum(axis=1) <= room
         if keep.any():
-            x, y = rep[a[keep]], rep[b[keep]]
-            yield np.stack([np.minimum(x, y), np.maximum(x, y)])
+            yield a[keep], b[keep]
 
 
-def _tiles(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs and the sets they need, dealt by tile: (group, low, high, is_pair, a, b, weight, hashes).
+def _tiles(ties: DataFrame, classes: DataFrame, prefixes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(group, low, high, own, rep, n_shingles, n_docs, prefix, parts, hashes) per set and tile.
 
-    ``pairs``: (a, b); ``sets``: (rep, hashes); ``sizes``: (rep, n_shingles, n_docs). Groups are what the pairs connect, cut
-    into blocks; a tile is a pair of blocks. Sets come first, and only those with a pair in the tile.
+    ``ties``: (a, b); ``classes``: (rep, n_shingles, n_docs); ``prefixes``: (rep, prefix, parts); ``sets``: (rep, hashes).
+    What the ties connect is a group, cut into blocks of bounded size; a tile is a pair of blocks.
     """
-    groups = components(pairs).select(F.col("node").alias("rep"), F.col("component").alias("group")).join(sizes, "rep")
+    groups = components(ties).select(F.col("node").alias("rep"), F.col("component").alias("group")).join(classes, "rep")
     blocks = F.greatest(F.ceil(F.count("*") / TILE_SETS), F.ceil(F.sum("n_shingles") / TILE_SHINGLES)).alias("n_blocks")
-    placed = groups.join(groups.groupBy("group").agg(blocks), "group")
-    placed = table(placed.select("rep", "group", "n_docs", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).alias("block")), "blocks")
-    x, y = (placed.select(F.col("rep").alias(s), "group", F.col("block").alias(f"{s}_block")) for s in "ab")
-    dealt = pairs.join(x, "a").join(y.drop("group"), "b")
-    tile = ["group", F.least("a_block", "b_block").alias("low"), F.greatest("a_block", "b_block").alias("high")]
-    dealt = table(dealt.select(*tile, "a", "b"), "tiles")
-    needed = dealt.select("group", "low", "high", F.explode(F.array("a", "b")).alias("rep")).distinct()
-    needed = needed.join(placed.select("rep", "n_docs"), "rep").join(sets, "rep")
-    rows = needed.select(
-        "group", "low", "high", F.lit(0).alias("is_pair"), F.col("rep").alias("a"), F.col("rep").alias("b"),
-        F.col("n_docs").alias("weight"), "hashes",
-    )
-    none = F.lit(None)
-    rows = rows.unionByName(
-        dealt.select(
-            "group", "low", "high", F.lit(1).alias("is_pair"), "a", "b",
-            none.cast("long").alias("weight"), none.cast("binary").alias("hashes"),
-        )
-    )
-    return rows.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high", "is_pair")
+    dealt = groups.join(groups.groupBy("group").agg(blocks), "group").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n_blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
+    tile = ["group", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")]
+    dealt = dealt.select(*tile, "own", "rep", "n_shingles", "n_docs").join(prefixes, "rep").join(sets, "rep")
+    return dealt.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high", "n_shingles", "rep")
 
 
 def _verified(tiles: DataFrame, t: Fraction, as_pairs: bool) -> DataFrame:
@@ -236,44 +221,63 @@ def _verified(tiles: DataFrame, t: Fraction, as_pairs: bool) -> DataFrame:
     """
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, weights, linked = None, {}, {}, []
+        now, held = None, []
         for batch in batches:
-            columns = (batch.column(k).to_pylist() for k in ("group", "low", "high", "is_pair", "a", "b", "weight"))
-            for group, low, high, is_pair, a, b, weight, packed in zip(*columns, batch.column("hashes"), strict=True):
-                if (group, low, high) != now:
-                    yield from _summed(linked, weights, as_pairs)
-                    now, held, weights, linked = (group, low, high), {}, {}, []
-                if not is_pair:
-                    held[a] = np.frombuffer(packed.as_py(), np.uint64)
-                    weights[a] = weight
-                    continue
-                x, y = held[a], held[b]
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                both = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
-                if both * t.denominator >= (len(x) + len(y) - both) * t.numerator:
-                    linked.append((a, b))
-        yield from _summed(linked, weights, as_pairs)
+            for row in range(batch.num_rows):
+                one = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
+                tile = (one["group"], one["low"], one["high"])
+                if tile != now:
+                    yield from _checked_tile(held, t, as_pairs)
+                    now, held = tile, []
+                if not held or held[-1]["rep"] != one["rep"]:  # a repeated row of a text
+                    held.append(one)
+        yield from _checked_tile(held, t, as_pairs)
 
     return tiles.mapInArrow(checked, "a long, b long, near long")
 
 
-def _summed(linked: list[tuple[int, int]], weights: dict[int, int], as_pairs: bool) -> Iterator[pa.RecordBatch]:
+def _checked_tile(tile: list[dict], t: Fraction, as_pairs: bool) -> Iterator[pa.RecordBatch]:
+    """Join the tile's sets on their prefixes, check every pair that passes the filters once, and sum up."""
+    if not tile:
+        return
+    sets = [np.frombuffer(s["hashes"], np.uint64) for s in tile]
+    size = np.array([s["n_shingles"] for s in tile], np.int64)
+    within = tile[0]["low"] == tile[0]["high"]
+    side = np.array([-1 if within else s["own"] for s in tile], np.int64)
+    length = [len(s["prefix"]) for s in tile]
+    token = np.concatenate([np.array(s["prefix"], np.int64) for s in tile])
+    owner = np.repeat(np.arange(len(tile)), length)
+    place = np.concatenate([np.arange(k) for k in length])
+    order = np.lexsort((size[owner], token))
+    token, owner, place = token[order], owner[order], place[order]
+    group = np.concatenate([[0], np.cumsum(token[1:] != token[:-1])])
+    met = np.zeros((len(tile), len(tile)), bool)
+    parts = _parts([s["parts"] for s in tile])
+    for a, b in _pairs_of(group, size[owner], place, side[owner], parts[owner], t):
+        met[np.minimum(owner[a], owner[b]), np.maximum(owner[a], owner[b])] = True
+    linked = []
+    for a, b in zip(*(side.tolist() for side in np.nonzero(met)), strict=True):
+        x, y = (sets[a], sets[b]) if size[a] <= size[b] else (sets[b], sets[a])
+        both = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
+        if both * t.denominator >= (len(x) + len(y) - both) * t.numerator:
+            linked.append((a, b))
     if not linked:
         return
-    a, b = (np.array(side, np.int64) for side in zip(*linked, strict=True))
+    rep, weight = (np.array([s[c] for s in tile], np.int64) for c in ("rep", "n_docs"))
+    a, b = np.array(linked).T
     if as_pairs:
-        out = a, b, pa.nulls(len(a), pa.int64())
+        out = rep[a], rep[b], pa.nulls(len(a), pa.int64())
     else:
-        ends, others = np.concatenate([a, b]), np.concatenate([b, a])
-        node, at = np.unique(ends, return_inverse=True)
-        near = np.zeros(len(node), np.int64)
-        np.add.at(near, at, np.array([weights[k] for k in others.tolist()], np.int64))
-        forest, low = lowest_reachable(a, b)
-        tied = forest != low
+        near = np.zeros(len(tile), np.int64)
+        np.add.at(near, a, weight[b])
+        np.add.at(near, b, weight[a])
+        some = np.flatnonzero(near)
+        node, low = lowest_reachable(rep[a], rep[b])
+        tied = np.flatnonzero(node != low)
         out = (
-            np.concatenate([forest[tied], node]),
-            pa.array([*low[tied].tolist(), *[None] * len(node)], pa.int64()),
-            pa.array([*[None] * int(tied.sum()), *near.tolist()], pa.int64()),
+            np.concatenate([node[tied], rep[some]]),
+            pa.array([*low[tied].tolist(), *[None] * len(some)], pa.int64()),
+            pa.array([*[None] * len(tied), *near[some].tolist()], pa.int64()),
         )
     yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in out], ["a", "b", "near"])
 
@@ -299,12 +303,13 @@ def _joined(docs: DataFrame, n: int, t: Fraction, as_pairs: bool) -> tuple[DataF
     groups = tokens.groupBy("token").agg(F.count("*").alias("group_rows")).where("group_rows > 1")
     rows = table(tokens.join(groups, "token"), "prefixes")
     parts = reps.select("rep", "parts").dropDuplicates(["rep"])
-    pairs = table(_candidates(rows.join(parts, "rep"), t), "pairs")
+    ties = table(_ties(rows.join(parts, "rep"), t), "ties")
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(one_each, "rep")
+    wanted = ties.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(one_each, "rep")
     sets = table(full_sets(docs, wanted, n), "sets")
-    found = table(_verified(_tiles(pairs, sets, classes.select("rep", "n_shingles", "n_docs")), t, as_pairs), "linked")
-    release(rows, pairs, sets)
+    prefixes = reps.select("rep", "prefix", "parts").join(wanted.select("rep"), "rep", "leftsemi")
+    found = table(_verified(_tiles(ties, classes.select("rep", "n_shingles", "n_docs"), prefixes, sets), t, as_pairs), "linked")
+    release(rows, ties, sets)
     return described.select("doc_id", "n_shingles", "rep"), classes, found
 
 

@@ -18,35 +18,54 @@ from growthledger.llm.common import prepare, table
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 
 
+#: The columns that stages look at; all others only pass through.
+KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _aside(docs: DataFrame) -> DataFrame:
+    """``docs`` with its other columns under names that clash with nothing."""
+    return docs.toDF(*[c if c in KNOWN else f"other_{i}" for i, c in enumerate(docs.columns)])
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
-    scored = quality_knn.quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.where("predicted = 1").select(*docs.columns)
+    """Documents that the quality classifier accepts.
+
+    Null and empty texts are judged by the share of good labels; repeated rows are judged alike, each by itself.
+    """
+    aside = _aside(docs)
+    scored = quality_knn.quality(aside, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.where("predicted = 1").select(*aside.columns).toDF(*docs.columns)
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that many sites share, beyond each line's first; texts of which nothing is left go."""
-    shorter = line_dedup.line_dedup(docs, min_words=1)  # the spread alone decides, not the length
+    aside = _aside(docs)
+    shorter = line_dedup.line_dedup(aside)
     left = (F.col("n_removed") == 0) | (F.trim("text") != "")
-    columns = [F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return shorter.where(left).select(*columns)
+    columns = [F.length("text").cast(aside.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in aside.columns]
+    return shorter.where(left).select(*columns).toDF(*docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; repeated rows once; rows without id as they are."""
+    """The document with the smallest id of each group; rows without id as they are.
+
+    Rows that repeat id and text stay once, in any of them; an id that stays and has several texts keeps all of them.
+    """
     groups = ngram_join.ngram_jaccard_join(docs, SHINGLE_WORDS, SIMILARITY)
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "leftsemi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    named = docs.join(kept, "doc_id", "leftsemi").dropDuplicates(["doc_id", "text"])
+    return named.union(docs.where("doc_id IS NULL"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
-    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
+    """Documents in which no benchmark item is found; null and empty texts stay, repeated rows are judged alike."""
+    aside = _aside(docs)
+    kept = decontaminate.decontaminate(aside, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return kept.select(*aside.columns).toDF(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token count of each text, and digests of its ids and of what they decode to."""
+    """Token count of each text, and digests of its ids and of what they decode to; null texts count as empty."""
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 

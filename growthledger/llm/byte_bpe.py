@@ -27,6 +27,8 @@ from .token_counts import byte_characters
 
 #: Entries in each of the two generations of the per-process memory of pieces.
 MEMORY = 150_000
+#: Characters of the pieces in one generation.
+MEMORY_CHARS = 4 << 20
 
 
 class ByteBpe:
@@ -55,6 +57,7 @@ class ByteBpe:
         )
         self.pieces: dict[str, bytes | None] = {}
         self.older: dict[str, bytes | None] = {}
+        self.held = 0
 
         # The way back: from a token's characters to its bytes, laid out end to end.
         byte_of = {letter: b for b, letter in enumerate(letters)}
@@ -72,6 +75,7 @@ class ByteBpe:
     def _learn(self, pieces: set[str]) -> None:
         """Remember the ids of pieces, each with the space before it."""
         new = []
+        self.held += sum(map(len, pieces))
         for piece in pieces:
             if not piece or piece[0].isspace() or piece[-1].isspace():
                 self.pieces[piece] = None  # the text has to be cut as a whole
@@ -87,9 +91,9 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, special strings being ordinary text."""
-        if len(self.pieces) > MEMORY:
+        if len(self.pieces) > MEMORY or self.held > MEMORY_CHARS:
             # What was used since the last time stays one round longer.
-            self.older, self.pieces = self.pieces, {}
+            self.older, self.pieces, self.held = self.pieces, {}, 0
         split = [t.split(" ") for t in texts]
         self._learn(set(chain.from_iterable(rest for _, *rest in split)) - self.pieces.keys())
         known, out = self.pieces.__getitem__, []
@@ -182,9 +186,25 @@ def decode(rows: DataFrame, rank_path: str, id_col: str = "doc_id", ids_col: str
 
 def round_trip(docs: DataFrame, rank_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): texts encoded, then decoded from the ids."""
-    both = decode(encode(docs, rank_path, id_col=id_col, text_col=text_col), rank_path, id_col)
+    prepare(docs.sparkSession)
+
+    def both_ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One worker for both, and nothing remembered beyond the task: an executor holds one tokenizer per core.
+        bpe = _bpe(rank_path)
+        try:
+            for batch in batches:
+                ids = bpe.encode(texts_of(batch.column(1)))
+                texts = pa.array([bpe.decode(np.asarray(i, np.int32)) for i in ids], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids), texts], ["id", "ids", "decoded"])
+        finally:
+            bpe.pieces.clear()
+            bpe.older.clear()
+
+    id_name = f"`{id_col}`"
+    rows = docs.select(F.col(id_name).alias("id"), F.col(f"`{text_col}`").alias("text"))
+    both = rows.mapInArrow(both_ways, f"id {type_of(rows, 'id')}, ids array<int>, decoded binary")
     return both.select(
-        id_col,
+        F.col("id").alias(id_col),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

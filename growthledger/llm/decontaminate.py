@@ -179,8 +179,11 @@ def groups_of(spark: SparkSession, passages: list[Passage], rarity: np.ndarray)
     found: list[Group] = []
     for k in range(0, len(groups), SPACES_AT_ONCE):
         some = groups[k : k + SPACES_AT_ONCE]
-        rows = [(g, bytearray(p.words.tobytes())) for g, group in enumerate(some) for p in group]
-        spaces = group_axes(spark.createDataFrame(rows, "group long, words binary"), rarity)
+        rows = [(g, p.words.tobytes()) for g, group in enumerate(some) for p in group]
+        group, words = zip(*rows, strict=True)
+        # An Arrow table needs no Python workers on its way in.
+        given = pa.table({"group": pa.array(group, pa.int64()), "words": pa.array(words, pa.binary())})
+        spaces = group_axes(spark.createDataFrame(given), rarity)
         found += [(group, *spaces[g]) for g, group in enumerate(some)]
     return found
 
@@ -388,7 +391,10 @@ def find_leaks(
     column called leaks is replaced.
     """
     spark = prepare(docs.sparkSession)
-    docs = docs.drop("leaks", LOWERED)
+    docs = docs.drop("leaks")
+    lowered = LOWERED
+    while lowered in docs.columns:  # a column of the user's stays
+        lowered += "_"
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL")
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).distinct()
     rarity = rarities(docs.select(F.lower(text_col).alias("text")))
@@ -407,7 +413,7 @@ def find_leaks(
             searchers += [Searcher(group, rarity, *space, near, most, much) for group, *space in groups]
             kind = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("overlap", pa.float64())]))
             for batch in batches:
-                texts = _words(batch.column(names.index(LOWERED)))
+                texts = _words(batch.column(names.index(lowered)))
                 found = [leaks for chunk in _chunks(texts) for leaks in _leaks(chunk, searchers)]
                 found = [a + b for a, b in zip(batch.column(names.index("leaks")).to_pylist(), found, strict=True)]
                 columns = [pa.array(found, kind) if n == "leaks" else c for n, c in zip(names, batch.columns, strict=True)]
@@ -418,10 +424,10 @@ def find_leaks(
 
     size = F.octet_length("text") / F.lit(2) / PASSAGE + 1  # at least the number of an item's passages
     parts = max(1, int((items.agg(F.coalesce(F.sum(size), F.lit(0.0))).first()[0]) // PASSAGES_AT_ONCE) + 1)
-    found = docs.withColumns({LOWERED: F.lower(text_col), "leaks": F.expr(f"CAST(array() AS {LEAKS})")})
+    found = docs.withColumns({lowered: F.lower(text_col), "leaks": F.expr(f"CAST(array() AS {LEAKS})")})
     for k in range(parts):
         found = looked_through(found, items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k))
-    return found.drop(LOWERED)
+    return found.drop(lowered)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -115,7 +115,6 @@ def _search_shard(k: int):
     def searched(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int, int]] = []
         if len(vectors) and len(queries):
-            vectors = vectors.drop_duplicates("vec_id")
             largest = [max((abs(x) for v in t for x in v), default=0) for t in (vectors["vector"], queries["query"])]
             exact = largest[0] * largest[1] * max(1, len(vectors["vector"].iat[0])) < 1 << 53
             tree = build(_matrix(vectors["vector"], exact), vectors["vec_id"].to_numpy(np.int64))
@@ -148,7 +147,7 @@ def top_k(
 
     Scores are inner products of the vectors floor(scale * x), ties go to the smaller id.
     Vectors that are null or hold a null or non-finite component, and rows without id, take no part. Rows that
-    repeat an id count once. Vectors of another length than the query's are no
+    repeat an id are candidates each, and queries each; the queries of an id share its ranks. Vectors of another length than the query's are no
     candidates; fewer candidates than ``k`` are all returned, none gives no rows.
     """
     prepare(df.sparkSession)
@@ -160,7 +159,7 @@ def top_k(
     key = ["length", "shard", "part"]
     dealt = vectors.select("vec_id", "vector", F.size("vector").alias("length"), _shard(F.col("vec_id"), shards).alias("shard"))
     dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    queries = vectors.where(of_queries).dropDuplicates(["vec_id"]).select(
+    queries = vectors.where(of_queries).select(
         F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.size("vector").alias("length"),
         _shard(F.col("vec_id"), shards).alias("home"),
         F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(parts)).cast("int").alias("part"),

@@ -48,7 +48,7 @@ def spread_lines(occurrences: DataFrame, min_sites: int) -> DataFrame:
 
 
 def line_dedup(
-    docs: DataFrame, min_sites: int = 10, min_words: int = 3,
+    docs: DataFrame, min_sites: int = 10, min_words: int = 1,
     id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
 ) -> DataFrame:
     """``docs`` without repeated lines of at least ``min_sites`` sites, and n_removed (int).
@@ -60,10 +60,10 @@ def line_dedup(
     called n_removed is replaced.
     """
     keyed = docs.drop("n_removed").select(
-        F.struct(*[F.col(c) for c in docs.columns if c != "n_removed"]).alias("row"),
-        F.col(id_col).alias("id"),
-        F.col(text_col).alias("text"),
-        F.coalesce(F.col(site_col).cast("string"), F.lit("")).alias("site"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "n_removed"]).alias("row"),
+        F.col(f"`{id_col}`").alias("id"),
+        F.col(f"`{text_col}`").alias("text"),
+        F.coalesce(F.col(f"`{site_col}`").cast("string"), F.lit("")).alias("site"),
     ).withColumn("key", F.xxhash64("site", "text"))
     occurrences = table(_occurrences(keyed, min_words), "lines")
 
@@ -90,7 +90,7 @@ WITH lines AS (
   SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
          generate_subscripts(string_split(text, chr(10)), 1) AS place
   FROM documents),
-long AS (SELECT *, trim(line) AS t FROM lines WHERE len(regexp_split_to_array(trim(line), '\\s+')) >= 3),
+long AS (SELECT *, trim(line) AS t FROM lines WHERE regexp_matches(trim(line), '\\S')),
 spread AS (
   SELECT t, min(struct_pack(d := doc_id, p := place)) AS first
   FROM long GROUP BY t HAVING count(DISTINCT source) >= 10),

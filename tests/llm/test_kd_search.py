@@ -11,18 +11,17 @@ from oracle import compare, connect
 
 
 def brute(rows, k, every):
-    vectors = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            vectors[i] = [math.floor(1024 * x) for x in v]
-    out = []
-    for q, a in vectors.items():
+    vectors = [
+        (i, [math.floor(1024 * x) for x in v]) for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    scored = {}
+    for q, a in vectors:
         if q % every == 0:
-            scored = [
-                (-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in vectors.items() if i != q and len(a) == len(b)
-            ]
-            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k])]
-    return sorted(out)
+            scored.setdefault(q, []).extend(
+                (-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in vectors if i != q and len(a) == len(b)
+            )
+    return sorted((q, r + 1, i, -s) for q, hits in scored.items() for r, (s, i) in enumerate(sorted(hits)[:k]))
 
 
 def vectors(seed, dims=6):
@@ -31,7 +30,8 @@ def vectors(seed, dims=6):
     rows += [(i, [0.5] * dims) for i in range(600, 900)]  # one very common vector
     rows += [(1000, None), (1001, [None] * dims), (1002, [float("nan")] * dims), (1003, [float("inf")] + [0.0] * (dims - 1))]
     rows += [(1010, [1.0, 2.0]), (1020, [1.0, -2.0]), (1030, []), (None, [0.5] * dims), (-10, [0.25] * dims)]
-    return rows + [rows[5], rows[10], rows[10]]
+    # Ids that come back, with the same vector and with others.
+    return rows + [rows[5], rows[10], rows[10], (20, [9.0] * dims), (21, [9.0] * dims), (21, [-8.0] * dims), (-10, [2.0] * dims)]
 
 
 @pytest.mark.parametrize("sizes", [(8192, 8192, 128), (100, 20, 4)])

@@ -14,7 +14,7 @@ from growthledger.llm import registry
 SF_SMALL = f"{TESTDATA}/sf0.001"
 
 
-def brute(rows, min_sites, min_words=3):
+def brute(rows, min_sites, min_words=1):
     """rows: (id, text, site)."""
     sites, first = defaultdict(set), {}
     for i, text, site in rows:
@@ -87,3 +87,13 @@ def test_query_equals_its_sql(spark):
     name = "op4_line_dedup"
     ours, theirs = compare(spark, connect(SF_SMALL), registry.QUERIES[name], registry.ORACLE_SQL[name], SF_SMALL)
     assert ours == theirs
+
+
+def test_short_lines_and_odd_names(spark):
+    rows = [(i, f"Les.\n{i}\n\n", f"s{i}", 1, 2) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, `a.b` int, `c d` int")
+    found = line_dedup(docs)
+    assert found.columns == [*docs.columns, "n_removed"]
+    assert {r.doc_id: (r.text, r.n_removed, r[3]) for r in found.collect()} == {
+        i: (t, 0, 1) if i == 0 else (f"{i}\n\n", 1, 1) for i, t, *_ in rows
+    }

@@ -17,10 +17,10 @@ cells instead of shingles bounds the table that every task needs.
 Texts with equal sets are one class, told by size and two independent sums of the hashes, and
 only class representatives are joined. Sets that share a prefix shingle are compared in blocks of
 bounded size, by size, up to the length limit; what passes the filters ties sets to groups, and a task reports a spanning forest of its
-ties, not the pairs. A group is dealt into tiles, pairs of blocks of its sets. A tile joins its sets on their prefixes
-again, in memory, and checks each pair that passes the filters once, on the full sets. It
-returns sums of links and a spanning forest, so a group of n near copies costs n * n checks (it has as many
-links) but never n * n rows.
+ties, not the pairs. A group is dealt into tiles, pairs of blocks of its sets, and these are joined in memory: first with the
+prefixes alone, where the number of shared prefix shingles rules out most long texts and leaves small groups, then with the full
+sets, where each pair that passes the filters is checked once. A tile returns sums of links and a spanning
+forest, so a group of n near copies costs n * n checks (it has as many links) but never n * n rows.
 """
 
 from __future__ import annotations
@@ -43,7 +43,8 @@ PARTS = 64
 BLOCK_ROWS = 2048
 #: Pairs that a task collects before it contracts them.
 BUFFER = 1 << 19
-#: Sets and shingles of one side of a tile.
+#: Sets and shingles of one side of a tile of prefixes, and of a tile of sets.
+PREFIX_SETS, PREFIX_SHINGLES = 4096, 1 << 23
 TILE_SETS, TILE_SHINGLES = 1024, 1 << 20
 
 
@@ -73,6 +74,17 @@ def prefix_length(size: int, threshold: Fraction) -> int:
     return size - -(-size * threshold.numerator // threshold.denominator) + 1
 
 
+def _rarest(hashes: np.ndarray, threshold: Fraction, frequencies: np.ndarray) -> np.ndarray:
+    """The prefix of a set, rarest first."""
+    order = np.argsort(frequencies[_cells(hashes)], kind="stable")  # hashes are sorted
+    return hashes[order[: prefix_length(len(hashes), threshold)]].view(np.int64)
+
+
+def _spread(hashes: np.ndarray) -> np.ndarray:
+    counts = np.bincount((mix(hashes) >> np.uint64(58)).astype(np.int64), minlength=PARTS)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
 def describe(docs: DataFrame, n: int, threshold: Fraction, frequencies: np.ndarray) -> DataFrame:
     """(doc_id, n_shingles, sum1, sum2, prefix, parts) per text.
 
@@ -95,10 +107,8 @@ def describe(docs: DataFrame, n: int, threshold: Fraction, frequencies: np.ndarr
                     prefixes.append(np.zeros(0, np.int64))
                     parts.append(b"")
                     continue
-                order = np.argsort(frequencies[_cells(hashes)], kind="stable")  # hashes are sorted
-                prefixes.append(hashes[order[: prefix_length(len(hashes), threshold)]].view(np.int64))
-                spread = np.bincount((mix(hashes) >> np.uint64(58)).astype(np.int64), minlength=PARTS)
-                parts.append(np.minimum(spread, 255).astype(np.uint8).tobytes())
+                prefixes.append(_rarest(hashes, threshold, frequencies))
+                parts.append(_spread(hashes).tobytes())
             ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -173,10 +183,8 @@ def _group_numbers(rows: pa.Table) -> np.ndarray:
     return np.concatenate([[0], np.cumsum((key[:, 1:] != key[:, :-1]).any(axis=0))])
 
 
-def _pairs_of(
-    group: np.ndarray, size: np.ndarray, place: np.ndarray, side: np.ndarray, parts: np.ndarray, t: Fraction
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Filtered pairs of rows of whole groups in order of size: each row with the next of its group, the next but one, and so on.
+def _meetings(group: np.ndarray, size: np.ndarray, side: np.ndarray, t: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of whole groups in order of size that pass the length filter: each row with the next of its group, the next but one, and so on.
 
     Rows of the same ``side`` are not paired, unless it is -1.
     """
@@ -187,99 +195,186 @@ def _pairs_of(
         left = left[(group[left] == group[left + step]) & (size[left] * t.denominator >= size[left + step] * t.numerator)]
         if not len(left):
             return
-        a, b = left, left + step
+        apart = (side[left] < 0) | (side[left] != side[left + step])
+        yield left[apart], left[apart] + step
+
+
+def _need(m: np.ndarray, n: np.ndarray, t: Fraction) -> np.ndarray:
+    """The least overlap with which sizes m and n are similar."""
+    return -(-(m + n) * t.numerator // (t.numerator + t.denominator))
+
+
+def _parts_allow(a: np.ndarray, b: np.ndarray, size: np.ndarray, parts: np.ndarray, t: Fraction) -> np.ndarray:
+    """Suffix filter: do the part counts leave room for a similar pair?"""
+    room = size[a] + size[b] - 2 * _need(size[a], size[b], t)
+    keep = np.zeros(len(a), bool)
+    for k in range(0, len(a), 1 << 16):  # the differences of all pairs at once would be large
+        some = slice(k, k + (1 << 16))
+        keep[some] = np.abs(parts[a[some]] - parts[b[some]]).sum(axis=1) <= room[some]
+    return keep
+
+
+def _pairs_of(
+    group: np.ndarray, size: np.ndarray, place: np.ndarray, side: np.ndarray, parts: np.ndarray, t: Fraction
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The meetings that pass the positional and the suffix filter."""
+    for a, b in _meetings(group, size, side, t):
         m, n = size[a], size[b]
-        need = -(-(m + n) * t.numerator // (t.numerator + t.denominator))
         reach = np.minimum(place[a], place[b]) + 1 + np.minimum(m - place[a] - 1, n - place[b] - 1)
-        ok = (reach >= need) & ((side[a] < 0) | (side[a] != side[b]))
-        a, b, room = a[ok], b[ok], (m + n - 2 * need)[ok]
-        keep = np.abs(parts[a] - parts[b]).sum(axis=1) <= room
+        ok = reach >= _need(m, n, t)
+        a, b = a[ok], b[ok]
+        keep = _parts_allow(a, b, size, parts, t)
         if keep.any():
             yield a[keep], b[keep]
 
 
-def _tiles(ties: DataFrame, classes: DataFrame, prefixes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(group, low, high, own, rep, n_shingles, n_docs, prefix, parts, hashes) per set and tile.
+def _tile_pairs(
+    prefixes: list[np.ndarray], size: np.ndarray, side: np.ndarray, parts: np.ndarray, t: Fraction, frequencies: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a tile's sets that pass all filters, each once.
+
+    Up to the last shingle of the prefix that ends first, both sets are known, so the number of shared prefix shingles and what the
+    other prefix's set has left bound the overlap.
+    """
+    length = np.array([len(p) for p in prefixes], np.int64)
+    token, owner = np.concatenate(prefixes), np.repeat(np.arange(len(prefixes)), length)
+    order = np.lexsort((size[owner], token))
+    token, owner = token[order], owner[order]
+    group = np.concatenate([[0], np.cumsum(token[1:] != token[:-1])])
+    # Rows and columns of the counts: the two blocks of the tile, or one block twice.
+    second = (side == side.max()) & (side >= 0)
+    at = np.where(second, np.cumsum(second) - 1, np.cumsum(~second) - 1)
+    rows, columns = (np.flatnonzero(~second), np.flatnonzero(second)) if second.any() else (np.arange(len(size)),) * 2
+    shared = np.zeros((len(rows), len(columns)), np.int32)
+    for x, y in _meetings(group, size[owner], side[owner], t):
+        a, b = owner[x], owner[y]
+        swap = second[a] if second.any() else a > b
+        np.add.at(shared, (at[np.where(swap, b, a)], at[np.where(swap, a, b)]), 1)
+    a, b = np.nonzero(shared)
+    count, a, b = shared[a, b], rows[a], columns[b]
+    last = np.array([p[-1] if len(p) else 0 for p in prefixes], np.int64)
+    end = np.empty(len(last), np.int64)
+    end[np.lexsort((last.view(np.uint64), frequencies[_cells(last.view(np.uint64))]))] = np.arange(len(last))
+    # Equal last shingles end together; either bound holds then.
+    rest = np.where(end[a] <= end[b], (size - length)[a], (size - length)[b])
+    ok = count + rest >= _need(size[a], size[b], t)
+    a, b = a[ok], b[ok]
+    keep = _parts_allow(a, b, size, parts, t)
+    return a[keep], b[keep]
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The prefixes of described texts as bytes."""
+    for batch in batches:
+        prefixes = [np.asarray(p, np.int64).tobytes() for p in batch.column("prefix").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("rep"), pa.array(prefixes, pa.binary()), batch.column("parts")], ["rep", "prefix", "parts"]
+        )
+
+
+def _dealt(ties: DataFrame, classes: DataFrame, most_sets: int, most_shingles: int) -> DataFrame:
+    """(group, low, high, own, rep, n_shingles, n_docs): the sets of each tile.
 
-    ``ties``: (a, b); ``classes``: (rep, n_shingles, n_docs); ``prefixes``: (rep, prefix, parts); ``sets``: (rep, hashes).
-    What the ties connect is a group, cut into blocks of bounded size; a tile is a pair of blocks.
+    ``ties``: (a, b); ``classes``: (rep, n_shingles, n_docs). What the ties connect is a group, cut into blocks of bounded
+    size; a tile is a pair of blocks.
     """
     groups = components(ties).select(F.col("node").alias("rep"), F.col("component").alias("group")).join(classes, "rep")
-    blocks = F.greatest(F.ceil(F.count("*") / TILE_SETS), F.ceil(F.sum("n_shingles") / TILE_SHINGLES)).alias("n_blocks")
+    blocks = F.greatest(F.ceil(F.count("*") / most_sets), F.ceil(F.sum("n_shingles") / most_shingles)).alias("n_blocks")
     dealt = groups.join(groups.groupBy("group").agg(blocks), "group").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n_blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
     tile = ["group", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")]
-    dealt = dealt.select(*tile, "own", "rep", "n_shingles", "n_docs").join(prefixes, "rep").join(sets, "rep")
-    return dealt.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high", "n_shingles", "rep")
+    return table(dealt.select(*tile, "own", "rep", "n_shingles", "n_docs"), "dealt")
 
 
-def _verified(tiles: DataFrame, t: Fraction, as_pairs: bool) -> DataFrame:
-    """(a, b, near): the similar pairs (a, b, null), or what follows from them.
-
-    That is, per tile, links (a, b, null) that connect the same sets, and (a, null, near): the ids of all sets
-    similar to a.
-    """
+def _by_tile(dealt: DataFrame, found, schema: str) -> DataFrame:
+    """``found`` of every tile, a list of its rows without repeated ones."""
+    ordered = dealt.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high", "n_shingles", "rep")
 
-    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
             for row in range(batch.num_rows):
                 one = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
                 tile = (one["group"], one["low"], one["high"])
                 if tile != now:
-                    yield from _checked_tile(held, t, as_pairs)
+                    yield from found(held)
                     now, held = tile, []
-                if not held or held[-1]["rep"] != one["rep"]:  # a repeated row of a text
+                if not held or held[-1]["rep"] != one["rep"]:
                     held.append(one)
-        yield from _checked_tile(held, t, as_pairs)
+        yield from found(held)
 
-    return tiles.mapInArrow(checked, "a long, b long, near long")
+    return ordered.mapInArrow(tiles, schema)
 
 
-def _checked_tile(tile: list[dict], t: Fraction, as_pairs: bool) -> Iterator[pa.RecordBatch]:
-    """Join the tile's sets on their prefixes, check every pair that passes the filters once, and sum up."""
-    if not tile:
-        return
-    sets = [np.frombuffer(s["hashes"], np.uint64) for s in tile]
+def _sides(tile: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     size = np.array([s["n_shingles"] for s in tile], np.int64)
     within = tile[0]["low"] == tile[0]["high"]
-    side = np.array([-1 if within else s["own"] for s in tile], np.int64)
-    length = [len(s["prefix"]) for s in tile]
-    token = np.concatenate([np.array(s["prefix"], np.int64) for s in tile])
-    owner = np.repeat(np.arange(len(tile)), length)
-    place = np.concatenate([np.arange(k) for k in length])
-    order = np.lexsort((size[owner], token))
-    token, owner, place = token[order], owner[order], place[order]
-    group = np.concatenate([[0], np.cumsum(token[1:] != token[:-1])])
-    met = np.zeros((len(tile), len(tile)), bool)
-    parts = _parts([s["parts"] for s in tile])
-    for a, b in _pairs_of(group, size[owner], place, side[owner], parts[owner], t):
-        met[np.minimum(owner[a], owner[b]), np.maximum(owner[a], owner[b])] = True
-    linked = []
-    for a, b in zip(*(side.tolist() for side in np.nonzero(met)), strict=True):
-        x, y = (sets[a], sets[b]) if size[a] <= size[b] else (sets[b], sets[a])
-        both = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
-        if both * t.denominator >= (len(x) + len(y) - both) * t.numerator:
-            linked.append((a, b))
-    if not linked:
-        return
-    rep, weight = (np.array([s[c] for s in tile], np.int64) for c in ("rep", "n_docs"))
-    a, b = np.array(linked).T
-    if as_pairs:
-        out = rep[a], rep[b], pa.nulls(len(a), pa.int64())
-    else:
-        near = np.zeros(len(tile), np.int64)
-        np.add.at(near, a, weight[b])
-        np.add.at(near, b, weight[a])
-        some = np.flatnonzero(near)
-        node, low = lowest_reachable(rep[a], rep[b])
-        tied = np.flatnonzero(node != low)
-        out = (
-            np.concatenate([node[tied], rep[some]]),
-            pa.array([*low[tied].tolist(), *[None] * len(some)], pa.int64()),
-            pa.array([*[None] * len(tied), *near[some].tolist()], pa.int64()),
-        )
-    yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in out], ["a", "b", "near"])
+    return size, np.array([-1 if within else s["own"] for s in tile], np.int64)
+
+
+def _closer(tiles: DataFrame, t: Fraction, frequencies: np.ndarray) -> DataFrame:
+    """Links (a, b) that connect the same sets as the pairs that pass all filters of whole prefixes.
+
+    ``tiles``: as of ``_dealt``, with (prefix, parts), both binary.
+    """
+
+    def found(tile: list[dict]) -> Iterator[pa.RecordBatch]:
+        if len(tile) < 2:
+            return
+        size, side = _sides(tile)
+        prefixes = [np.frombuffer(s["prefix"], np.int64) for s in tile]
+        a, b = _tile_pairs(prefixes, size, side, _parts([s["parts"] for s in tile]), t, frequencies)
+        rep = np.array([s["rep"] for s in tile], np.int64)
+        a, b = lowest_reachable(rep[a], rep[b])
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return _by_tile(tiles, found, "a long, b long").where("a <> b").distinct()
+
+
+def _verified(tiles: DataFrame, t: Fraction, frequencies: np.ndarray, as_pairs: bool) -> DataFrame:
+    """(a, b, near): the similar pairs (a, b, null), or what follows from them.
+
+    That is, per tile, links (a, b, null) that connect the same sets, and (a, null, near): the ids of all sets
+    similar to a. ``tiles``: as of ``_dealt``, with hashes.
+    """
+
+    def found(tile: list[dict]) -> Iterator[pa.RecordBatch]:
+        if len(tile) < 2:
+            return
+        size, side = _sides(tile)
+        sets = [np.frombuffer(s["hashes"], np.uint64) for s in tile]
+        prefixes = [_rarest(h, t, frequencies) for h in sets]
+        linked = []
+        pairs = _tile_pairs(prefixes, size, side, np.stack([_spread(h) for h in sets]).astype(np.int16), t, frequencies)
+        for a, b in zip(*(ends.tolist() for ends in pairs), strict=True):
+            x, y = (sets[a], sets[b]) if size[a] <= size[b] else (sets[b], sets[a])
+            both = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
+            if both * t.denominator >= (len(x) + len(y) - both) * t.numerator:
+                linked.append((a, b))
+        if linked:
+            rep, weight = (np.array([s[c] for s in tile], np.int64) for c in ("rep", "n_docs"))
+            yield _pair_rows(rep, *np.array(linked).T) if as_pairs else _sum_rows(rep, weight, *np.array(linked).T)
+
+    return _by_tile(tiles, found, "a long, b long, near long")
+
+
+def _pair_rows(rep: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(rep[a]), pa.array(rep[b]), pa.nulls(len(a), pa.int64())], ["a", "b", "near"])
+
+
+def _sum_rows(rep: np.ndarray, weight: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    near = np.zeros(len(rep), np.int64)
+    np.add.at(near, a, weight[b])
+    np.add.at(near, b, weight[a])
+    some = np.flatnonzero(near)
+    node, low = lowest_reachable(rep[a], rep[b])
+    tied = np.flatnonzero(node != low)
+    rows = [
+        np.concatenate([node[tied], rep[some]]).tolist(),
+        [*low[tied].tolist(), *[None] * len(some)],
+        [*[None] * len(tied), *near[some].tolist()],
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], ["a", "b", "near"])
 
 
 def _joined(docs: DataFrame, n: int, t: Fraction, as_pairs: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -287,7 +382,8 @@ def _joined(docs: DataFrame, n: int, t: Fraction, as_pairs: bool) -> tuple[DataF
 
     ``docs``: (doc_id, text). ``rep`` is a hash of the set's key, null without shingles.
     """
-    described = table(describe(docs, n, t, cell_frequencies(docs, n)), "shingled")
+    frequencies = cell_frequencies(docs, n)
+    described = table(describe(docs, n, t, frequencies), "shingled")
     described = described.withColumn("rep", F.when(F.col("n_shingles") > 0, F.xxhash64(*SET_KEY)))
     filled = described.where("rep IS NOT NULL AND doc_id IS NOT NULL")
     ids = filled.groupBy("rep", "doc_id").agg(F.min("n_shingles").alias("n_shingles"))
@@ -302,14 +398,18 @@ def _joined(docs: DataFrame, n: int, t: Fraction, as_pairs: bool) -> tuple[DataF
     tokens = reps.select("rep", "n_shingles", F.posexplode("prefix").alias("place", "token"))
     groups = tokens.groupBy("token").agg(F.count("*").alias("group_rows")).where("group_rows > 1")
     rows = table(tokens.join(groups, "token"), "prefixes")
-    parts = reps.select("rep", "parts").dropDuplicates(["rep"])
-    ties = table(_ties(rows.join(parts, "rep"), t), "ties")
-
-    wanted = ties.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(one_each, "rep")
+    ties = table(_ties(rows.join(reps.select("rep", "parts").dropDuplicates(["rep"]), "rep"), t), "ties")
+    release(rows)
+
+    # Sets that are tied by whole prefixes, then by whole sets.
+    tied = _dealt(ties, classes.drop("class_id"), PREFIX_SETS, PREFIX_SHINGLES)
+    pack = reps.select("rep", "prefix", "parts").mapInArrow(_packed, "rep long, prefix binary, parts binary")
+    closer = table(_closer(tied.join(pack, "rep"), t, frequencies), "closer")
+    dealt = _dealt(closer, classes.drop("class_id"), TILE_SETS, TILE_SHINGLES)
+    wanted = dealt.select("rep").distinct().join(one_each, "rep")
     sets = table(full_sets(docs, wanted, n), "sets")
-    prefixes = reps.select("rep", "prefix", "parts").join(wanted.select("rep"), "rep", "leftsemi")
-    found = table(_verified(_tiles(ties, classes.select("rep", "n_shingles", "n_docs"), prefixes, sets), t, as_pairs), "linked")
-    release(rows, ties, sets)
+    found = table(_verified(dealt.join(sets, "rep"), t, frequencies, as_pairs), "linked")
+    release(ties, tied, closer, dealt, sets)
     return described.select("doc_id", "n_shingles", "rep"), classes, found
 
 

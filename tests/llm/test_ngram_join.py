@@ -58,6 +58,7 @@ def near_copies(rng):
 def test_equals_all_pairs(spark, monkeypatch, seed, block):
     monkeypatch.setattr(ngram_join, "BLOCK_ROWS", block)
     monkeypatch.setattr(ngram_join, "TILE_SETS", block)
+    monkeypatch.setattr(ngram_join, "PREFIX_SETS", block)
     rng = random.Random(seed)
     rows = list(enumerate(near_copies(rng)))
     rng.shuffle(rows)

@@ -18,7 +18,7 @@ from growthledger.functions.dates import cutoff_label, month_start, week_start
 from growthledger.functions.jsonmap import has_json_key, json_number, json_text
 from growthledger.functions.keys import surrogate_key
 from growthledger.operators.activity import active_days
-from growthledger.plans import pipeline, reports
+from growthledger.plans import incremental, pipeline, reports
 from growthledger.plans.active import active_users
 from growthledger.plans.facts import fct_events
 from growthledger.plans.ingest import ingest_events, typed_load
@@ -41,7 +41,8 @@ from growthledger.quality.gate import DataQualityError
 from growthledger.quality.staging import USER_ID_PATTERN, staging_checks
 from growthledger.session import apply_defaults, work_path
 from growthledger.sources import adapters
-from growthledger.sources.tables import cluster_by_ds, remove, replace_full, replace_snapshot
+from growthledger.sources.tables import cluster_by_ds, remove, replace_full, replace_snapshot, write_full
+from growthledger.sources.versions import names_in
 
 try:  # the text operators and their pipeline can be taken out as a whole
     import corpus_pipeline
@@ -187,6 +188,121 @@ def _broken_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _run_whole(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of the whole gated run, from raw CSV files to the metrics in one pass."""
+    root = work_path(spark, sf_dir, f"run_{table}")
+    remove(spark, root)
+    adapters.as_staging(_stream("events", spark, sf_dir)).write.options(header=True, escape='"').csv(f"{root}/raw")
+    _, start, as_of = ADAPTERS["events"]
+    return pipeline.run_pipeline(spark, f"{root}/raw", f"{root}/tables", as_of, start).latest(table)
+
+
+def _in_three_batches(label: str, spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The events loaded as raw files in three batches; the last one has late rows for all days."""
+    wh = Warehouse(spark, work_path(spark, sf_dir, label))
+    remove(spark, wh.root)
+    staging = adapters.as_staging(_stream("events", spark, sf_dir))
+    batch = F.when(_last_two() >= "90", 2).when(F.col("event_time") < "2024-01-15", 0).otherwise(1)
+    for k in range(3):
+        raw = f"{wh.root}/raw/{k}"
+        staging.where(batch == k).write.options(header=True, escape='"').csv(raw)
+        files = [f"{raw}/{name}" for name in names_in(spark, raw) if name.endswith(".csv")]
+        incremental.load_new_files(wh, files)
+        incremental.add_new_facts(wh)
+    return wh
+
+
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event fact after an earlier version, a build that failed its check and one that was killed."""
+    wh = Warehouse(spark, work_path(spark, sf_dir, "published"))
+    remove(spark, wh.root)
+    path, facts = wh.path("fct_events"), _fct_events("events", spark, sf_dir)
+    replace_full(facts.where(_last_two() == "07"), path, "ds")
+    replace_full(facts, path, "ds")
+
+    def refuse(aside: str) -> None:
+        raise DataQualityError("fct_events", {"refused": 1})
+
+    try:
+        replace_full(facts.where(_last_two() == "08"), path, "ds", refuse)
+    except DataQualityError:
+        write_full(facts.where(_last_two() == "09"), f"{path}/version=00000003-killed", "ds")
+    return wh.read("fct_events")
+
+
+FREE_SQL = """
+SELECT e.platform, u.acq_source, count(*) AS n_events, count(DISTINCT e.user_id) AS n_users
+FROM {events} e JOIN {users} u ON u.user_id = e.user_id GROUP BY e.platform, u.acq_source"""
+
+
+def _free_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One statement over the stored tables, visible under their names."""
+    wh = Warehouse(spark, work_path(spark, sf_dir, "free_sql"))
+    remove(spark, wh.root)
+    events, users = _events_and_users("events", spark, sf_dir)
+    replace_full(events, wh.path("fct_events"), "ds")
+    replace_snapshot(users, wh.path("dim_users"), adapters.EVENTS_AS_OF)
+    wh.register_views("fct_events", "dim_users")
+    return pipeline.run_sql(spark, FREE_SQL.format(events="fct_events", users="dim_users"))
+
+
+#: Tables made bad on purpose, in expressions that both engines know: columns that become null, one after the other, where a
+#: row's two digits are 01, 02, ...; other values by digits; rows with the digits 25 come twice.
+BROKEN = {
+    "dim_users": (
+        "right(user_id, 2)", ["user_id", "acq_source", "user_country", "ds"],
+        {"miles_balance": {"21": "miles_balance + 1"}}, ["total_miles_earned", "total_miles_redeemed"],
+    ),
+    "fct_events": (
+        "right(user_id, 2)", ["event_id", "user_id", "event_time", "ds"],
+        {
+            "event_json": {
+                "21": "'{}'",
+                "22": """'{"event_type":"share","transaction_category":null,"miles_amount":"-5.00"}'""",
+            }
+        }, ["event_type"],
+    ),
+    "active_users": (
+        "right(CAST(period_start_date AS STRING), 2)",
+        ["period_start_date", "period_type", "acq_source", "country", "active_user_count", "ds"],
+        {"period_type": {"21": "'yearly'"}, "active_user_count": {"22": "-1"}}, [],
+    ),
+    "lifecycle": (
+        "right(cutoff_week, 2)", ["cutoff_week", "acq_source", "country", "user_status", "user_count", "ds"],
+        {"user_status": {"21": "'gone'"}, "user_count": {"22": "-1"}}, [],
+    ),
+    "retention": (
+        "right(CAST(cohort_week AS STRING), 2)",
+        ["cohort_week", "week_offset", "retained_users", "cohort_size", "retention_rate", "ds"],
+        {
+            "week_offset": {"21": "17"}, "retained_users": {"22": "-1"}, "cohort_size": {"23": "0"},
+            "retention_rate": {"24": "retention_rate + 101"},
+        }, [],
+    ),
+}
+
+
+def _broken_columns(name: str) -> list[str]:
+    digits, columns, bad, others = BROKEN[name]
+    cases = {c: {f"{k:02d}": "NULL"} for k, c in enumerate(columns, 1)}
+    for column, values in bad.items():
+        cases.setdefault(column, {}).update(values)
+    return [
+        f"CASE {digits} " + " ".join(f"WHEN '{d}' THEN {value}" for d, value in by.items()) + f" ELSE {c} END AS {c}"
+        for c, by in cases.items()
+    ] + others
+
+
+def _summary_of_broken(name: str, table: Callable, checks: Callable, spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir)
+    twice = rows.unionByName(rows.where(F.expr(f"{BROKEN[name][0]} = '25'")))
+    return summary(twice.selectExpr(*_broken_columns(name)), checks())
+
+
+def _fact_checks() -> list:
+    return [*models.fct_events_checks(), models.miles_presence_check()]
+
+
 def _typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_load(adapters.as_staging(_stream("events", spark, sf_dir)))
 
@@ -256,8 +372,7 @@ def _dq_staging_summary(source: str, spark: SparkSession, sf_dir: str) -> DataFr
 
 
 def _dq_fct_events_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checks = [*models.fct_events_checks(), models.miles_presence_check()]
-    return summary(_fct_events("orders", spark, sf_dir), checks)
+    return summary(_fct_events("orders", spark, sf_dir), _fact_checks())
 
 
 def _failing(check, table: Callable[[SparkSession, str], DataFrame], columns: list[str]):
@@ -300,6 +415,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_lifecycle": partial(_gated, "agg_user_lifecycle_weekly"),
         "pipeline_retention": partial(_gated, "agg_user_retention"),
         "pipeline_audit": _audit,
+        "pipeline_run_active": partial(_run_whole, "agg_active_user"),
+        "pipeline_run_lifecycle": partial(_run_whole, "agg_user_lifecycle_weekly"),
+        "pipeline_run_retention": partial(_run_whole, "agg_user_retention"),
+        "free_sql": _free_sql,
+        # published versions and increments
+        "published_versions": _published,
+        "incremental_stream": lambda s, d: _in_three_batches("incremental_stream", s, d).read("fct_event_stream"),
+        "incremental_facts": lambda s, d: _in_three_batches("incremental_facts", s, d).read("fct_events"),
         # steps
         "latest_users": _latest_users,
         "typed_load": _typed_load,
@@ -321,6 +444,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_active_users_summary": lambda s, d: summary(_active_users("events", s, d), models.active_user_checks()),
         "dq_lifecycle_summary": lambda s, d: summary(_lifecycle("orders", s, d), models.lifecycle_checks()),
         "dq_retention_summary": lambda s, d: summary(_retention("orders", s, d), models.retention_checks()),
+        "dq_dim_users_summary_broken": partial(_summary_of_broken, "dim_users", users_of["events"], models.dim_users_checks),
+        "dq_fct_events_summary_broken": partial(_summary_of_broken, "fct_events", facts_of["events"], _fact_checks),
+        "dq_active_users_summary_broken": partial(
+            _summary_of_broken, "active_users", partial(_active_users, "events"), models.active_user_checks
+        ),
+        "dq_lifecycle_summary_broken": partial(
+            _summary_of_broken, "lifecycle", partial(_lifecycle, "orders"), models.lifecycle_checks
+        ),
+        "dq_retention_summary_broken": partial(
+            _summary_of_broken, "retention", partial(_retention, "orders"), models.retention_checks
+        ),
         "dq_unique_event_id_orders": _failing(
             lambda: unique("event_id"), facts_of["orders"], ["event_id", "n_records"]
         ),
@@ -610,12 +744,27 @@ def _summary_sql(table: str, row_checks: dict[str, str], repeated: dict[str, lis
     ]
     parts += [
         f"SELECT '{name}' AS \"check\", count(*) AS bad_count FROM (SELECT {', '.join(columns)} FROM {table} "
-        f"GROUP BY ALL HAVING count(*) > 1) x"
+        # A null key is not compared; in a combination nulls are equal.
+        f"{'' if len(columns) > 1 else f'WHERE {columns[0]} IS NOT NULL '}GROUP BY ALL HAVING count(*) > 1) x"
         for name, columns in (repeated or {}).items()
     ]
     return " UNION ALL ".join(parts)
 
 
+def _summaries(
+    name: str, heads: dict[str, str], table: str, row_checks: dict[str, str], repeated: dict[str, list[str]]
+) -> dict[str, str]:
+    """The summary of a table and that of its broken form."""
+    broken = (
+        f", twice AS (SELECT * FROM {table} UNION ALL SELECT * FROM {table} WHERE {BROKEN[name][0]} = '25'), "
+        f"broken AS (SELECT {', '.join(_broken_columns(name))} FROM twice) "
+    )
+    return {
+        f"dq_{name}_summary": heads[""] + _summary_sql(table, row_checks, repeated),
+        f"dq_{name}_summary_broken": heads["_broken"] + broken + _summary_sql("broken", row_checks, repeated),
+    }
+
+
 def _nulls(*columns: str) -> dict[str, str]:
     return {f"not_null_{c}": f"{c} IS NULL" for c in columns}
 
@@ -753,9 +902,8 @@ def _own_oracle_sql() -> dict[str, str]:
         "pipeline_audit": facts_of["events"]
         + "SELECT event_id, event_type FROM facts "
         "WHERE event_type IN ('miles_earned', 'miles_redeemed') AND right(user_id, 2) = '07'",
-        "dq_fct_events_summary": facts_of["orders"]
-        + _summary_sql(
-            "facts",
+        **_summaries(
+            "fct_events", {"": facts_of["orders"], "_broken": facts_of["events"]}, "facts",
             {
                 **_nulls("event_id", "user_id", "event_time", "ds"),
                 "expression_miles_positive": f"NOT ({miles} IS NULL OR CAST({miles} AS DECIMAL(10, 2)) > 0)",
@@ -766,18 +914,16 @@ def _own_oracle_sql() -> dict[str, str]:
             },
             {"unique_event_id": ["event_id"]},
         ),
-        "dq_dim_users_summary": _with("events", _LATEST, events_users)
-        + _summary_sql(
-            "users",
+        **_summaries(
+            "dim_users", dict.fromkeys(("", "_broken"), _with("events", _LATEST, events_users)), "users",
             {
                 **_nulls("user_id", "acq_source", "user_country", "ds"),
                 "expression_miles_balance": "NOT (miles_balance = total_miles_earned - total_miles_redeemed)",
             },
             {"unique_combination_user_id_ds": ["user_id", "ds"]},
         ),
-        "dq_active_users_summary": active_of["events"]
-        + _summary_sql(
-            "active",
+        **_summaries(
+            "active_users", dict.fromkeys(("", "_broken"), active_of["events"]), "active",
             {
                 **_nulls(*active_key, "active_user_count", "ds"),
                 "accepted_values_period_type": "period_type NOT IN ('daily', 'weekly', 'monthly')",
@@ -785,9 +931,8 @@ def _own_oracle_sql() -> dict[str, str]:
             },
             {f"unique_combination_{'_'.join(active_key)}": active_key},
         ),
-        "dq_lifecycle_summary": lifecycle_of["orders"]
-        + _summary_sql(
-            "lifecycle",
+        **_summaries(
+            "lifecycle", dict.fromkeys(("", "_broken"), lifecycle_of["orders"]), "lifecycle",
             {
                 **_nulls(*lifecycle_key, "user_count", "ds"),
                 "accepted_values_user_status":
@@ -796,9 +941,8 @@ def _own_oracle_sql() -> dict[str, str]:
             },
             {f"unique_combination_{'_'.join(lifecycle_key)}": lifecycle_key},
         ),
-        "dq_retention_summary": retention_of["orders"]
-        + _summary_sql(
-            "rates",
+        **_summaries(
+            "retention", dict.fromkeys(("", "_broken"), retention_of["orders"]), "rates",
             {
                 **_nulls("cohort_week", "week_offset", "retained_users", "cohort_size", "retention_rate", "ds"),
                 "accepted_values_week_offset": "week_offset NOT BETWEEN 0 AND 16",
@@ -847,4 +991,11 @@ def _own_oracle_sql() -> dict[str, str]:
         "pipeline_active": found["active_users_events"],
         "pipeline_lifecycle": found["lifecycle_events"],
         "pipeline_retention": found["retention_events"],
+        "pipeline_run_active": found["active_users_events"],
+        "pipeline_run_lifecycle": found["lifecycle_events"],
+        "pipeline_run_retention": found["retention_events"],
+        "free_sql": _with("events", _LATEST, events_users, _FACTS.strip()) + FREE_SQL.format(events="facts", users="users"),
+        "published_versions": found["fct_events"],
+        "incremental_stream": found["typed_load"],
+        "incremental_facts": found["fct_events"],
     }

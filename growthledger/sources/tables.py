@@ -1,18 +1,34 @@
-"""Parquet tables: reads with a fixed schema, full replacement, snapshot replacement."""
+"""Parquet tables: reads with a fixed schema, full replacement, snapshot replacement, days that grow."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .versions import Manifest, current, file_system, names_in, publish
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Scan a table. The schema is given, so ``ds`` stays text when it is a directory name."""
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    """Scan a table. The schema is given, so ``ds`` stays text when it is a directory name.
+
+    A published table is read in the state of this moment, whatever is published later.
+    """
+    state = current(spark, path)
+    if state is None:  # written by ``write_full``, or not there
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return read_folders(spark, path, schema, sorted(state.all_folders()))
+
+
+def read_folders(spark: SparkSession, path: str, schema: T.StructType, folders: list[str]) -> DataFrame:
+    """Scan some folders of a published table."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    path = path.rstrip("/")
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(*[f"{path}/{f}" for f in folders]).select(*schema.names)
 
 
 def write_full(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -28,66 +44,77 @@ def replace_full(
 ) -> None:
     """Replace the whole table, or leave it as it is when the write or ``check`` fails.
 
-    The new table is written once, beside the old one; ``check`` is given its path. Then
-    the two change places by renaming.
+    The new table is written once, beside the old one, and ``check`` is given its path.
     """
-    _swap_in(df.sparkSession, path, lambda aside: write_full(df, aside, partition_by), check)
+    spark = df.sparkSession
+
+    def change(before: Manifest, folder: str) -> Manifest:
+        return Manifest(folders=_partitions(spark, path, folder, partition_by))
+
+    publish(spark, path, lambda aside: write_full(df, aside, partition_by), change, check)
 
 
 def replace_snapshot(df: DataFrame, path: str, ds: str, check: Callable[[str], None] | None = None) -> None:
     """Replace the snapshot of ``ds``, also by an empty one; the others stay as they are.
 
-    Written, checked and renamed like a whole table. ``df`` holds rows of that ``ds`` only.
+    Written, checked and published like a whole table. ``df`` holds rows of that ``ds`` only.
+    """
+
+    def change(before: Manifest, folder: str) -> Manifest:
+        return Manifest(folders={**before.folders, f"ds={ds}": [f"{folder}/ds={ds}"]}, loaded=before.loaded)
+
+    def written(aside: str) -> None:
+        write_full(df.drop("ds"), f"{aside}/ds={ds}")
+
+    publish(df.sparkSession, path, written, change, check and (lambda aside: check(f"{aside}/ds={ds}")))
+
+
+def append_days(
+    df: DataFrame, path: str, loaded: dict[str, str], check: Callable[[str], None] | None = None
+) -> list[str]:
+    """Add rows to the days of a table that is kept by ``ds``, and note what they were ``loaded`` from; the touched days.
+
+    Rows and note become visible together, so what is noted was loaded once and whole. Files that
+    are there stay as they are, also those of the touched days.
     """
-    _swap_in(df.sparkSession, f"{path.rstrip('/')}/ds={ds}", lambda aside: write_full(df.drop("ds"), aside), check)
-
-
-def _swap_in(spark: SparkSession, path: str, write: Callable[[str], None], check: Callable[[str], None] | None) -> None:
-    """Write beside ``path``, check, then rename. Names that begin with _ are no part of a table."""
-    folder, _, name = path.rstrip("/").rpartition("/")
-    run = uuid.uuid4().hex
-    aside, before = f"{folder}/_new-{run}-{name}", f"{folder}/_old-{run}-{name}"
-    files, at = _file_system(spark, path)
-    try:
-        write(aside)
-        if check:
-            check(aside)
-        replaced = files.exists(at(path))
-        if replaced and not files.rename(at(path), at(before)):
-            raise OSError(f"can't move {path} away")
-        if not files.rename(at(aside), at(path)):
-            if replaced:
-                files.rename(at(before), at(path))
-            raise OSError(f"can't move the new table to {path}")
-        if replaced:
-            files.delete(at(before), True)
-    finally:
-        files.delete(at(aside), True)
-
-
-def _file_system(spark: SparkSession, path: str):
-    """Hadoop's file system of a path, and its path constructor."""
-    at = spark._jvm.org.apache.hadoop.fs.Path
-    return at(path).getFileSystem(spark._jsc.hadoopConfiguration()), at
+    spark = df.sparkSession
+    touched: list[str] = []
+
+    def change(before: Manifest, folder: str) -> Manifest:
+        new = _partitions(spark, path, folder, "ds")
+        touched.extend(sorted(new))
+        folders = {k: [*before.folders.get(k, []), *new.get(k, [])] for k in {*before.folders, *new}}
+        return Manifest(folders=folders, loaded={**before.loaded, **loaded})
+
+    publish(spark, path, lambda aside: write_full(df, aside, "ds"), change, check)
+    return [t.removeprefix("ds=") for t in touched]
+
+
+def _partitions(spark: SparkSession, path: str, folder: str, partition_by: str | None) -> dict[str, list[str]]:
+    """The folders of a written version by partition."""
+    if not partition_by:
+        return {"": [folder]}
+    names = names_in(spark, f"{path.rstrip('/')}/{folder}")
+    return {n: [f"{folder}/{n}"] for n in names if n.startswith(f"{partition_by}=")}
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a table if it is there."""
-    files, at = _file_system(spark, path)
+    files, at = file_system(spark, path)
     files.delete(at(path), True)
 
 
 def latest_ds(spark: SparkSession, path: str) -> str | None:
-    """The greatest ``ds`` among a table's directories, from one listing; no data is read."""
-    files, at = _file_system(spark, path)
-    names = [status.getPath().getName() for status in files.listStatus(at(path)) if status.isDirectory()]
-    return max((name.removeprefix("ds=") for name in names if name.startswith("ds=")), default=None)
+    """The greatest ``ds`` of a published table; no data is read."""
+    state = current(spark, path)
+    return max((k.removeprefix("ds=") for k in state.folders if k.startswith("ds=")), default=None) if state else None
 
 
 def read_latest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The latest snapshot of a stored table: a scan of one partition."""
-    newest = latest_ds(spark, path)
-    return read_table(spark, path, schema).where(F.col("ds") == (newest or ""))
+    """The latest snapshot of a published table: a scan of one partition."""
+    state = current(spark, path)
+    newest = max(state.folders, default=None) if state else None
+    return read_folders(spark, path, schema, state.folders[newest] if newest else [])
 
 
 def cluster_by_ds(df: DataFrame) -> DataFrame:

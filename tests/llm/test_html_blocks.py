@@ -2,20 +2,72 @@
 
 import html
 import re
+import time
 
 import pytest
 from helpers import TESTDATA
 
-from growthledger.llm.html_blocks import LABELLED, _keeps, extract, features, labelled_tree, main_text, text_blocks
+from growthledger.llm.html_blocks import (
+    Split, _keeps, extract, features, labelled_pages, labelled_tree, main_text, text_blocks,
+)
 
 SF_SMALL = f"{TESTDATA}/sf0.001"
 TREE = labelled_tree()
+PROSE = "It was late in the year when the river rose, and nobody in the town had seen so much water before."
+
+
+def f1(pages):
+    """Harmonic mean of precision and recall over the blocks of marked pages."""
+    found = [(_keeps(TREE, r), b.keep) for blocks in map(text_blocks, pages)
+             for b, r in zip(blocks, features(blocks).tolist(), strict=True)]
+    right = sum(kept and wanted for kept, wanted in found)
+    return 2 * right / (sum(kept for kept, _ in found) + sum(wanted for _, wanted in found))
+
+
+def test_tree_on_its_table_and_on_held_out_pages():
+    assert f1(labelled_pages()) > 0.99
+    assert f1(labelled_pages(seed=99, pages=200, styles="p")) > 0.98  # no sign of place at all
+    assert f1(labelled_pages(seed=98, pages=200, styles="stc")) > 0.98
+
+
+def test_tree_uses_words_and_link_density_of_block_and_neighbours():
+    def used(node):
+        return {node.feature} | used(node.low) | used(node.high) if isinstance(node, Split) else set()
+
+    assert {1, 2} <= used(TREE)
+    assert used(TREE) & {3, 4, 5, 6}
 
 
-def test_tree_learns_its_table():
-    for page in LABELLED:
-        blocks = text_blocks(page)
-        assert [_keeps(TREE, r) for r in features(blocks).tolist()] == [b.keep for b in blocks]
+@pytest.mark.parametrize(
+    "page, kept",
+    [
+        (f"<p>{PROSE}</p><p>So it ended.</p><p>{PROSE}</p>", [PROSE, "So it ended.", PROSE]),
+        (f"<p>{PROSE}</p><p>{'<a href=1>one two three</a> ' * 8}</p>", [PROSE]),
+        (f"<p>Menu</p><p><a href=1>Weather today</a></p><div>{PROSE}</div><p>Us</p><p><a href=2>Imprint</a></p>"
+         "<p>All rights reserved</p>", [PROSE]),
+        (f"<table><tr><td><a href=1>Front page</a> <a href=2>Archive</a></td></tr></table><p>{PROSE} <a href=4>More</a>"
+         f"</p><p>{PROSE}</p><p><a href=5>Next page</a></p><p><a href=6>Terms</a> | <a href=7>Privacy</a></p>",
+         [f"{PROSE} More", PROSE]),
+        (f"<body class=has-sidebar><div class=header-image>{PROSE}</div><p class=form-factor>{PROSE}</p>"
+         f"<div class=sidebarBox>{PROSE}</div><div class='related-stories'>{PROSE}</div>", [PROSE, PROSE]),
+        (f"<main><p>{PROSE}</p><ul><li><a href=1>a</a><li><a href=2>b</a><li><a href=3>c</a></ul><p>{PROSE}</main>",
+         [PROSE, PROSE]),
+        ("<html><head><title>T</title><meta a=b><body><article><p>Here</p></article>", ["Here"]),
+        (f"<head><svg><p>{PROSE}</p><p>{PROSE}", [PROSE, PROSE]),
+        ('<article><p title="a>b">one</p><p title="c>two</p><p>three</article>', ["one", "two", "three"]),
+    ],
+)
+def test_plain_and_broken_pages(page, kept):
+    assert main_text(page, TREE) == "\n\n".join(kept)
+
+
+@pytest.mark.parametrize(
+    "piece", ["<a ", '<a ">" ', "<a '>", "<svg>", "<title>x", "</script ", "<script></script ", "<!--", "<a \"'>", "<", "&"]
+)
+def test_broken_markup_takes_linear_time(piece):
+    start = time.process_time()
+    text_blocks(piece * 100_001)
+    assert time.process_time() - start < 5
 
 
 @pytest.mark.parametrize(

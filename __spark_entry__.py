@@ -8,7 +8,7 @@ and decimals leave here as text or double on both sides (``_plain``).
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +18,18 @@ from growthledger.functions.dates import cutoff_label, month_start, week_start
 from growthledger.functions.jsonmap import has_json_key, json_number, json_text
 from growthledger.functions.keys import surrogate_key
 from growthledger.operators.activity import active_days
-from growthledger.plans import incremental, pipeline, reports
+from growthledger.plans import incremental, pipeline, reports, running
 from growthledger.plans.active import active_users
+from growthledger.plans.bitmaps import activity_bitmaps, distinct_users, user_numbers
 from growthledger.plans.facts import fct_events
 from growthledger.plans.ingest import ingest_events, typed_load
+from growthledger.plans.intervals import validity_intervals, with_attributes_on
 from growthledger.plans.lifecycle import lifecycle_weekly, lifecycle_weekly_from_history, user_week_history
 from growthledger.plans.pipeline import Warehouse
 from growthledger.plans.retention import retention
 from growthledger.plans.users import dim_users, latest_event_per_user
 from growthledger.quality import models
+from growthledger.quality.across import across_checks, trend_scores
 from growthledger.quality.checks import (
     accepted_values,
     expression_is_true,
@@ -197,7 +200,9 @@ def _run_whole(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.run_pipeline(spark, f"{root}/raw", f"{root}/tables", as_of, start).latest(table)
 
 
-def _in_three_batches(label: str, spark: SparkSession, sf_dir: str) -> Warehouse:
+def _in_three_batches(
+    label: str, spark: SparkSession, sf_dir: str, after: Callable[[Warehouse], None] = lambda wh: None
+) -> Warehouse:
     """The events loaded as raw files in three batches; the last one has late rows for all days."""
     wh = Warehouse(spark, work_path(spark, sf_dir, label))
     remove(spark, wh.root)
@@ -209,9 +214,84 @@ def _in_three_batches(label: str, spark: SparkSession, sf_dir: str) -> Warehouse
         files = [f"{raw}/{name}" for name in names_in(spark, raw) if name.endswith(".csv")]
         incremental.load_new_files(wh, files)
         incremental.add_new_facts(wh)
+        after(wh)
     return wh
 
 
+def _metrics_in_three_batches(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metric table that was brought up to date after each batch."""
+    _, start, as_of = ADAPTERS["events"]
+
+    def update(wh: Warehouse) -> None:
+        pipeline.build_dim_users(wh, as_of)
+        running.update_metrics(wh, start, as_of)
+
+    return _in_three_batches(f"running_{table}", spark, sf_dir, update).latest(table)
+
+
+#: Build dates of daily snapshots; in each one the users with two certain last digits are missing.
+SNAPSHOTS = {"2024-01-08": "01", "2024-01-15": "02", "2024-01-22": "02", "2024-01-31": "03"}
+
+
+def _user_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots of several build dates as validity intervals."""
+    stream = _stream("events", spark, sf_dir)
+    wh = Warehouse(spark, work_path(spark, sf_dir, "user_intervals"))
+    remove(spark, wh.root)
+    for as_of, missing in SNAPSHOTS.items():
+        replace_snapshot(dim_users(stream, as_of).where(_last_two() != missing), wh.path("dim_users"), as_of)
+    flags = [c for c in wh.read("dim_users").columns if c.startswith("active_in_")]
+    return validity_intervals(wh.read("dim_users").select("user_id", "user_country", *flags, "ds"), ["user_id"])
+
+
+def _events_with_user_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the recency flag that held for the user on the day of the event."""
+    events = _fct_events("events", spark, sf_dir).select("event_id", "user_id", "ds")
+    state = _user_intervals(spark, sf_dir).select("user_id", "active_in_7days", "valid_from", "valid_to")
+    return with_attributes_on(events, state, "user_id", "ds")
+
+
+def _bitmap_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct active users per period over all platforms and kinds of events but one: a user has several of both."""
+    events = _fct_events("orders", spark, sf_dir)
+    segment = ["platform", "event_type"]
+    bitmaps = activity_bitmaps(events, user_numbers(events), segment, adapters.ORDERS_START_DS)
+    return distinct_users(bitmaps.where("event_type != 'like'"), ["period_type", "period_start_date"])
+
+
+#: Changes to the metric tables that checks across them must see, in expressions that both engines know.
+TAMPERED = {
+    "active_user_count": "active_user_count + CASE WHEN country = 'SG' THEN 1 ELSE 0 END",
+    "cohort_size": "cohort_size + CASE WHEN extract(day FROM cohort_week) <= 7 THEN 1 ELSE 0 END",
+    "lifecycle": "NOT (user_status = 'dormant' AND acq_source = 'google')",
+}
+
+
+def _across(tampered: bool, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failing rows of the checks across the metric tables, over changed tables or counted over whole ones."""
+    tables = {
+        "agg_active_user": _active_users("events", spark, sf_dir),
+        "agg_user_lifecycle_weekly": _lifecycle("events", spark, sf_dir),
+        "agg_user_retention": _retention("events", spark, sf_dir),
+    }
+    if not tampered:
+        counts = [
+            c.failing(tables).agg(F.lit(c.name).alias("check"), F.count("*").alias("bad_count")) for c in across_checks()
+        ]
+        return reduce(DataFrame.unionByName, counts)
+    for table, column in (("agg_active_user", "active_user_count"), ("agg_user_retention", "cohort_size")):
+        tables[table] = tables[table].withColumn(column, F.expr(TAMPERED[column]))
+    tables["agg_user_lifecycle_weekly"] = tables["agg_user_lifecycle_weekly"].where(TAMPERED["lifecycle"])
+    failing = [c.failing(tables).withColumn("check", F.lit(c.name)) for c in across_checks()]
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), failing)
+
+
+def _trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly active users of each segment against the half year before."""
+    weekly = _active_users("orders", spark, sf_dir).where("period_type = 'weekly'")
+    return trend_scores(weekly, ["acq_source", "country"], "period_start_date", "active_user_count", days=182)
+
+
 def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event fact after an earlier version, a build that failed its check and one that was killed."""
     wh = Warehouse(spark, work_path(spark, sf_dir, "published"))
@@ -423,6 +503,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "published_versions": _published,
         "incremental_stream": lambda s, d: _in_three_batches("incremental_stream", s, d).read("fct_event_stream"),
         "incremental_facts": lambda s, d: _in_three_batches("incremental_facts", s, d).read("fct_events"),
+        "incremental_active": partial(_metrics_in_three_batches, "agg_active_user"),
+        "incremental_lifecycle": partial(_metrics_in_three_batches, "agg_user_lifecycle_weekly"),
+        "incremental_retention": partial(_metrics_in_three_batches, "agg_user_retention"),
+        # history and sets of users
+        "user_intervals": _user_intervals,
+        "events_with_user_state": _events_with_user_state,
+        "bitmap_users": _bitmap_users,
         # steps
         "latest_users": _latest_users,
         "typed_load": _typed_load,
@@ -455,6 +542,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_retention_summary_broken": partial(
             _summary_of_broken, "retention", partial(_retention, "orders"), models.retention_checks
         ),
+        "dq_across": partial(_across, False),
+        "dq_across_tampered": partial(_across, True),
+        "dq_trend": _trend,
         "dq_unique_event_id_orders": _failing(
             lambda: unique("event_id"), facts_of["orders"], ["event_id", "n_records"]
         ),
@@ -736,6 +826,69 @@ def _retention_ctes(source: str) -> list[str]:
     ]
 
 
+def _across_ctes(tampered: bool) -> list[str]:
+    """The three numbers of users by week, from tables with the changes of TAMPERED or as they are."""
+    whole = {"active_user_count": "active_user_count", "cohort_size": "cohort_size", "lifecycle": "true"}
+    chosen = TAMPERED if tampered else whole
+    return [
+        f"""t_active AS (SELECT period_start_date AS week, acq_source, country, {chosen["active_user_count"]} AS n
+  FROM active WHERE period_type = 'weekly')""",
+        f"""t_status AS (SELECT CAST(right(cutoff_week, 10) AS DATE) AS week, acq_source, country, user_status, user_count
+  FROM lifecycle WHERE {chosen["lifecycle"]})""",
+        f"t_cohort AS (SELECT cohort_week AS week, {chosen['cohort_size']} AS n FROM rates WHERE week_offset = 0)",
+        "t_new AS (SELECT week, sum(user_count) AS n FROM t_status WHERE user_status = 'new' GROUP BY 1)",
+        """t_seen AS (SELECT week, acq_source, country, sum(user_count) AS n FROM t_status
+  WHERE user_status NOT IN ('dormant', 'churned') GROUP BY ALL)""",
+        """t_any AS (SELECT a.week, a.acq_source, a.country, sum(a.user_count) AS n, (SELECT sum(b.user_count) FROM t_status b
+    WHERE b.user_status = 'new' AND b.week <= a.week AND b.acq_source = a.acq_source AND b.country = a.country) AS ever
+  FROM t_status a GROUP BY a.week, a.acq_source, a.country)""",
+    ]
+
+
+_ACROSS_SQL = """
+SELECT 'cohorts_are_new_users' AS "check", CAST(week AS VARCHAR) AS week, NULL AS acq_source, NULL AS country,
+  CAST(coalesce(c.n, 0) AS BIGINT) AS left_value, CAST(coalesce(s.n, 0) AS BIGINT) AS right_value
+FROM t_cohort c FULL JOIN t_new s USING (week) WHERE coalesce(c.n, 0) <> coalesce(s.n, 0)
+UNION ALL
+SELECT 'weekly_active_users_have_a_status', CAST(week AS VARCHAR), acq_source, country,
+  CAST(coalesce(a.n, 0) AS BIGINT), CAST(coalesce(s.n, 0) AS BIGINT)
+FROM t_active a FULL JOIN t_seen s USING (week, acq_source, country) WHERE coalesce(a.n, 0) <> coalesce(s.n, 0)
+UNION ALL
+SELECT 'every_user_has_one_status', CAST(week AS VARCHAR), acq_source, country, CAST(n AS BIGINT), CAST(ever AS BIGINT)
+FROM t_any WHERE n <> ever"""
+
+_TREND_CTES = [
+    "s AS (SELECT acq_source, country, period_start_date AS day, active_user_count AS v FROM active WHERE period_type = 'weekly')",
+    """m AS (SELECT a.acq_source, a.country, a.day, a.v, count(b.v) AS n_before, median(b.v) AS typical
+  FROM s a LEFT JOIN s b ON b.acq_source = a.acq_source AND b.country = a.country AND b.day BETWEEN a.day - 182 AND a.day - 1
+  GROUP BY ALL)""",
+    """d AS (SELECT m.acq_source, m.country, m.day, m.v, m.n_before, m.typical, median(abs(b.v - m.typical)) AS spread
+  FROM m LEFT JOIN s b ON b.acq_source = m.acq_source AND b.country = m.country AND b.day BETWEEN m.day - 182 AND m.day - 1
+  GROUP BY ALL)""",
+]
+
+
+def _interval_ctes() -> list[str]:
+    """Snapshots, and their intervals: a row starts one unless the snapshot before has the same, and ends one likewise."""
+    flags = "active_in_7days, active_in_30days, active_in_90days"
+    snapshots = [
+        f"(SELECT user_id, user_country, {flags}, ds FROM users{k} WHERE right(user_id, 2) <> '{missing}')"
+        for k, missing in enumerate(SNAPSHOTS.values())
+    ]
+    dates = ", ".join(f"({k}, '{ds}')" for k, ds in enumerate(SNAPSHOTS))
+    same = " AND ".join(f"o.{c} IS NOT DISTINCT FROM p.{c}" for c in ["user_id", "user_country", *flags.split(", ")])
+    return [
+        *[_users_sql(ds, f"users{k}") for k, ds in enumerate(SNAPSHOTS)],
+        f"dates AS (SELECT * FROM (VALUES {dates}) t(number, ds))",
+        f"snapshots AS (SELECT s.*, number FROM ({' UNION ALL '.join(snapshots)}) s JOIN dates USING (ds))",
+        f"starts AS (SELECT * FROM snapshots p WHERE NOT EXISTS (SELECT 1 FROM snapshots o WHERE {same} AND o.number = p.number - 1))",
+        f"ends AS (SELECT * FROM snapshots p WHERE NOT EXISTS (SELECT 1 FROM snapshots o WHERE {same} AND o.number = p.number + 1))",
+        f"""intervals AS (SELECT s.user_id, s.user_country, {", ".join("s." + c for c in flags.split(", "))}, s.ds AS valid_from,
+    (SELECT ds FROM dates WHERE number = 1 + (SELECT min(e.number) FROM ends e WHERE e.user_id = s.user_id AND e.number >= s.number))
+    AS valid_to FROM starts s)""",
+    ]
+
+
 def _summary_sql(table: str, row_checks: dict[str, str], repeated: dict[str, list[str]] | None = None) -> str:
     """check, bad_count for predicates on bad rows and for column lists that must be unique."""
     parts = [
@@ -844,6 +997,10 @@ def _own_oracle_sql() -> dict[str, str]:
     active_of = {s: _metrics_with(s, f"active AS ({_active_sql(s)})") for s in ADAPTERS}
     retention_of = {s: _with(s, _FACTS, *_retention_ctes(s)) for s in ADAPTERS}
     facts_of = {s: _with(s, _FACTS) for s in ADAPTERS}
+    metric_ctes = [*_grid_ctes(), f"lifecycle AS ({_lifecycle_sql('events')})", f"active AS ({_active_sql('events')})"]
+    across_of = {
+        t: _metrics_with("events", *metric_ctes, *_retention_ctes("events"), *_across_ctes(t)) for t in (False, True)
+    }
 
     found = {
         "fct_events": facts_of["events"] + f"SELECT {fact_columns} FROM facts",
@@ -865,6 +1022,33 @@ def _own_oracle_sql() -> dict[str, str]:
         + f"SELECT cutoff_week, {statuses} FROM lifecycle GROUP BY 1",
         "retention_triangle": retention_of["orders"]
         + f"SELECT CAST(cohort_week AS VARCHAR) AS cohort_week, cohort_size, {triangle} FROM rates GROUP BY 1, 2",
+        "incremental_active": active_of["events"] + f"SELECT {active_columns} FROM active",
+        "incremental_lifecycle": lifecycle_of["events"] + "SELECT * FROM lifecycle",
+        "incremental_retention": retention_of["events"] + f"SELECT {retention_columns} FROM rates",
+        "user_intervals": _with("events", _LATEST, *_interval_ctes()) + "SELECT * FROM intervals",
+        "events_with_user_state": _with("events", _FACTS, _LATEST, *_interval_ctes())
+        + "SELECT event_id, f.user_id, f.ds, active_in_7days FROM facts f LEFT JOIN intervals i "
+        "ON i.user_id = f.user_id AND i.valid_from <= f.ds AND coalesce(i.valid_to, '9999') > f.ds",
+        "bitmap_users": facts_of["orders"]
+        + " UNION ALL ".join(
+            f"SELECT '{period}' AS period_type, CAST({start} AS VARCHAR) AS period_start_date, "
+            "count(DISTINCT user_id) AS n_users FROM facts "
+            f"WHERE event_type <> 'like' AND ds >= '{ADAPTERS['orders'][1]}' GROUP BY 1, 2"
+            for period, start in {
+                "daily": "CAST(event_time AS DATE)",
+                "weekly": _WEEK.format("event_time"),
+                "monthly": "CAST(date_trunc('month', event_time) AS DATE)",
+            }.items()
+        ),
+        "dq_across": across_of[False]
+        + f"""SELECT c.name AS "check", count(f.week) AS bad_count FROM (VALUES ('cohorts_are_new_users'),
+  ('weekly_active_users_have_a_status'), ('every_user_has_one_status')) c(name)
+LEFT JOIN ({_ACROSS_SQL}) f ON f."check" = c.name GROUP BY 1""",
+        "dq_across_tampered": across_of[True] + _ACROSS_SQL,
+        "dq_trend": _metrics_with("orders", f"active AS ({_active_sql('orders')})", *_TREND_CTES)
+        + "SELECT acq_source, country, CAST(day AS VARCHAR) AS period_start_date, v AS active_user_count, "
+        "CAST(n_before AS INTEGER) AS n_before, typical, spread, "
+        "CASE WHEN n_before >= 7 THEN abs(v - typical) / greatest(spread * 1.4826, 1.0) END AS score FROM d",
         "latest_users": _with("events", _LATEST, _users_sql(EARLIER_AS_OF, "earlier"), events_users)
         + "SELECT user_id, acq_source, user_country, CAST(miles_balance AS DOUBLE) AS miles_balance, ds "
         "FROM (SELECT * FROM earlier UNION ALL SELECT * FROM users) h "

@@ -1,30 +1,30 @@
-"""Command line: build one table, or run everything in order."""
+"""Command line: build one table, run everything in order, or bring everything up to date."""
 
 from __future__ import annotations
 
 import argparse
 import logging
 
-from .plans import pipeline
+from .plans import pipeline, running
 from .session import build_session
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="growthledger", description=__doc__)
     steps = [
-        "run", "ingest", "fct_events", "dim_users", "metrics",
+        "run", "increment", "ingest", "fct_events", "dim_users", "metrics",
         "agg_active_user", "agg_user_lifecycle_weekly", "agg_user_retention",
     ]
     parser.add_argument("step", choices=steps)
     parser.add_argument("--root", required=True, help="folder of the tables")
-    parser.add_argument("--csv", nargs="+", help="raw event files (run, ingest)")
+    parser.add_argument("--csv", nargs="+", help="raw event files (run, increment, ingest)")
     parser.add_argument("--as-of", help="build date YYYY-MM-DD (default: today, UTC)")
     parser.add_argument("--start-ds", default=pipeline.DEFAULT_START_DS, help="first event day of the metrics")
     parser.add_argument(
         "--multi-line", action="store_true", help="line breaks inside quotes are allowed; each file is one task's work"
     )
     args = parser.parse_args(argv)
-    if args.step in ("run", "ingest") and not args.csv:
+    if args.step in ("run", "increment", "ingest") and not args.csv:
         parser.error(f"{args.step} needs --csv")
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")
@@ -34,6 +34,8 @@ def main(argv: list[str] | None = None) -> None:
     match args.step:
         case "run":
             pipeline.run_pipeline(spark, args.csv, args.root, args.as_of, args.start_ds, multiline)
+        case "increment":  # new raw files only
+            running.run_increment(wh, args.csv, args.as_of, args.start_ds, multiline)
         case "ingest":
             pipeline.ingest(wh, args.csv, multiline)
         case "fct_events":

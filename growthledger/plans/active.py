@@ -23,7 +23,12 @@ def active_users(
 
 
 def active_users_from_calendar(calendar: DataFrame, as_of: str | dt.date | None = None) -> DataFrame:
-    """The same, from the daily calendar with segments.
+    """The same, from the daily calendar with segments."""
+    return active_users_from_counts(period_counts(calendar), as_of)
+
+
+def period_counts(calendar: DataFrame) -> DataFrame:
+    """Users per period and segment, from the daily calendar with segments.
 
     Every user contributes each period once: a week or month is counted on the user's
     first active day in it, which is where it differs from the previous day's. Counting
@@ -45,7 +50,13 @@ def active_users_from_calendar(calendar: DataFrame, as_of: str | dt.date | None
         .where(F.col("period_start_date").isNotNull())
         .groupBy("period_start_date", "period_type", "acq_source", "country")
         .agg(F.count("*").alias("active_user_count"))
-        .withColumn("ds", ds_column(resolve_as_of(as_of)))
+    )
+
+
+def active_users_from_counts(counts: DataFrame, as_of: str | dt.date | None = None) -> DataFrame:
+    """The counts as the published table: with the build date, in order."""
+    return (
+        counts.withColumn("ds", ds_column(resolve_as_of(as_of)))
         .select(*AGG_ACTIVE_USER.names)
         .orderBy(*[F.asc_nulls_last(c) for c in ("period_start_date", "period_type", "acq_source", "country")])
     )

@@ -62,7 +62,11 @@ def lifecycle_from_calendar(calendar: DataFrame, as_of: str | dt.date | None = N
     Users are reduced to step counts per segment first; from there on the data is bounded
     by segments x weeks^2, however many users there are.
     """
-    steps = activity_steps(calendar)
+    return lifecycle_from_steps(activity_steps(calendar), as_of)
+
+
+def lifecycle_from_steps(steps: DataFrame, as_of: str | dt.date | None = None) -> DataFrame:
+    """The same, from the counts of ``activity_steps``."""
     all_weeks = week_list(steps)
     counts = running_counts(status_changes(steps, all_weeks))
     return _labelled(counts.withColumn("week", _week(all_weeks, F.col("number"))), as_of)

@@ -1,7 +1,7 @@
 """The gated build of all tables.
 
 Every step reads published tables only. A table is written once, beside the published one,
-checked there, and takes its place by renaming when all checks passed, so that readers never see data
+checked there, and published when all checks passed, so that readers never see data
 that failed and a failed build leaves the old table whole. The user and metric tables keep
 one partition per build date.
 """
@@ -11,7 +11,6 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,6 +20,7 @@ from pyspark.sql import types as T
 from ..functions.dates import resolve_as_of
 from ..operators.activity import active_days, segments, with_weeks
 from ..quality import models
+from ..quality.across import across_checks
 from ..quality.checks import Check, RowCheck, bad_row_counts
 from ..quality.gate import gate
 from ..session import work_path
@@ -167,22 +167,31 @@ def build_metrics(wh: Warehouse, start_ds: str = DEFAULT_START_DS, as_of: str |
 
     daily = read_table(wh.spark, path, _CALENDAR)
     weekly = with_weeks(daily)
-    targets: list[tuple[str, DataFrame, Callable[[], list[Check]]]] = [
-        ("agg_active_user", active_users_from_calendar(daily.where("is_known"), built), models.active_user_checks),
-        (
-            "agg_user_lifecycle_weekly",
-            lifecycle_from_calendar(weekly.where("is_known"), built),
-            models.lifecycle_checks,
-        ),
-        ("agg_user_retention", retention_from_calendar(weekly, built), models.retention_checks),
-    ]
     try:
-        for table, result, checks in targets:
-            _publish(wh, table, result, checks(), built)
+        publish_metrics(
+            wh,
+            active_users_from_calendar(daily.where("is_known"), built),
+            lifecycle_from_calendar(weekly.where("is_known"), built),
+            retention_from_calendar(weekly, built),
+            built,
+        )
     finally:
         remove(wh.spark, path)
 
 
+def publish_metrics(wh: Warehouse, active: DataFrame, lifecycle: DataFrame, rates: DataFrame, built: dt.date) -> None:
+    """Publish the three metric tables of one build date, each behind its checks."""
+    _publish(wh, "agg_active_user", active, models.active_user_checks(), built)
+    _publish(wh, "agg_user_lifecycle_weekly", lifecycle, models.lifecycle_checks(), built)
+    _publish(wh, "agg_user_retention", rates, models.retention_checks(), built)
+
+
+def check_metrics(wh: Warehouse) -> None:
+    """The checks across the latest metric tables; failing rows are stored under ``audit/metrics``."""
+    tables = {t: wh.latest(t) for t in ("agg_active_user", "agg_user_lifecycle_weekly", "agg_user_retention")}
+    gate("metrics", tables, across_checks(), wh.audit_path)
+
+
 def run_pipeline(
     spark: SparkSession,
     csv_path: str | list[str],
@@ -198,6 +207,7 @@ def run_pipeline(
     build_dim_users(wh, built)
     build_fct_events(wh)
     build_metrics(wh, start_ds, built)
+    check_metrics(wh)
     return wh
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 
 from ..sources.tables import remove
+from .across import TablesCheck
 from .checks import Check, RowCheck, bad_row_counts
 
 log = logging.getLogger(__name__)
@@ -23,7 +24,11 @@ class DataQualityError(Exception):
         super().__init__(f"{table} failed its checks ({listed})")
 
 
-def failed_checks(df: DataFrame, checks: Iterable[Check], known: dict[str, int] | None = None) -> dict[str, int]:
+def failed_checks(
+    df: DataFrame | Mapping[str, DataFrame],
+    checks: Iterable[Check | TablesCheck],
+    known: dict[str, int] | None = None,
+) -> dict[str, int]:
     """Failed checks with their number of failing rows.
 
     One pass for all row checks together, one for every group check; only counts reach
@@ -40,7 +45,7 @@ def failed_checks(df: DataFrame, checks: Iterable[Check], known: dict[str, int]
     return {c.name: counts[c.name] for c in checks if counts[c.name]}
 
 
-def enforce(table: str, checks: Iterable[Check], failed: dict[str, int]) -> None:
+def enforce(table: str, checks: Iterable[Check | TablesCheck], failed: dict[str, int]) -> None:
     """Log every check and raise when any failed."""
     for check in checks:
         if check.name in failed:
@@ -53,22 +58,24 @@ def enforce(table: str, checks: Iterable[Check], failed: dict[str, int]) -> None
 
 def gate(
     table: str,
-    df: DataFrame,
-    checks: Iterable[Check],
+    df: DataFrame | Mapping[str, DataFrame],
+    checks: Iterable[Check | TablesCheck],
     audit_path: str | None = None,
     known: dict[str, int] | None = None,
 ) -> None:
     """Run the checks; on failure store the failing rows per check and raise.
 
+    ``df``: the table, or several by their names for checks across tables.
     What earlier runs stored for these checks is removed, so that the audit shows this run.
     """
     checks = list(checks)
     failed = failed_checks(df, checks, known)
+    spark = (next(iter(df.values())) if isinstance(df, Mapping) else df).sparkSession
     if audit_path:
         for check in checks:
             path = f"{audit_path}/{table}/{check.name}"
             if check.name in failed:
                 check.failing(df).write.mode("overwrite").parquet(path)
             else:
-                remove(df.sparkSession, path)
+                remove(spark, path)
     enforce(table, checks, failed)

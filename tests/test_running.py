@@ -1,0 +1,108 @@
+"""Incremental metrics against a full build; which users are counted again; runs that stop."""
+
+import pytest
+from helpers import stream, staging
+from test_incremental import csv_file, same
+
+from growthledger.__main__ import main
+from growthledger.plans import running
+from growthledger.plans.active import active_users
+from growthledger.plans.facts import fct_events
+from growthledger.plans.lifecycle import lifecycle_weekly
+from growthledger.plans.pipeline import Warehouse, run_pipeline
+from growthledger.plans.retention import retention
+from growthledger.plans.running import STATE, run_increment, update_metrics
+from growthledger.plans.users import dim_users
+from growthledger.sources.tables import replace_full, replace_snapshot
+from growthledger.sources.versions import current
+
+METRICS = ("agg_active_user", "agg_user_lifecycle_weekly", "agg_user_retention")
+START, AS_OF = "2025-01-01", "2025-08-01"
+
+
+def row(user, day, hour=9):
+    return {"user_id": f"u_{user:04d}", "event_time": f"2025-{day} {hour:02d}:00:00.000000"}
+
+
+# User 3 has a late day before the first known one, which moves the cohort and the first status.
+BATCHES = [
+    [row(1, "06-02"), row(2, "06-03"), row(3, "06-20"), row(9, "06-02")],
+    [row(1, "06-10"), row(2, "07-30"), row(4, "06-11")],
+    [row(3, "06-01"), row(3, "06-12"), row(1, "06-10", 10), row(5, "07-30")],
+]
+
+
+def newest_step(wh):
+    folders = current(wh.spark, wh.path(STATE)).folders["calendar"]
+    return {r.user_id for r in wh.spark.read.parquet(f"{wh.path(STATE)}/{folders[-1]}").collect()}
+
+
+def test_three_increments_equal_a_full_build(spark, tmp_path):
+    files = [csv_file(staging(spark, *b), tmp_path / f"raw{k}") for k, b in enumerate(BATCHES)]
+    wh = Warehouse(spark, str(tmp_path / "steps"))
+    counted = []
+    for k in range(3):
+        run_increment(wh, files[: k + 1], AS_OF, START)
+        counted.append(newest_step(wh))
+    whole = run_pipeline(spark, files, str(tmp_path / "whole"), AS_OF, START)
+    for table in METRICS:
+        assert same(wh.latest(table), whole.latest(table)), table
+    assert counted == [{"u_0001", "u_0002", "u_0003", "u_0009"}, {"u_0001", "u_0002", "u_0004"}, {"u_0003", "u_0005"}]
+    update_metrics(wh, START, AS_OF)
+    assert newest_step(wh) == set()
+    assert same(wh.latest(METRICS[0]), whole.latest(METRICS[0]))
+
+
+def direct(wh, start=START):
+    events, users = wh.read("fct_events"), wh.latest_users()
+    return [active_users(events, users, start, AS_OF), lifecycle_weekly(events, users, start, AS_OF), retention(events, start, AS_OF)]
+
+
+def matches_direct(wh, start=START):
+    return all(same(wh.latest(t), want) for t, want in zip(METRICS, direct(wh, start), strict=True))
+
+
+def test_segments_that_change_and_users_that_become_known(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    events = stream(spark, *[dict(r) for b in BATCHES for r in b])
+    users = dim_users(events, AS_OF)
+    replace_full(fct_events(events), wh.path("fct_events"), "ds")
+    replace_snapshot(users.where("user_id < 'u_0004'"), wh.path("dim_users"), AS_OF)
+    update_metrics(wh, START, AS_OF)
+    assert matches_direct(wh)
+    replace_snapshot(
+        users.replace("SG", "TH", ["user_country"]).where("user_id IN ('u_0001', 'u_0004')").unionByName(
+            users.where("user_id IN ('u_0002', 'u_0003')")
+        ),
+        wh.path("dim_users"), AS_OF,
+    )
+    update_metrics(wh, START, AS_OF)
+    assert newest_step(wh) == {"u_0001", "u_0004"}
+    assert matches_direct(wh)
+    update_metrics(wh, "2025-06-11", AS_OF)  # another start: anew
+    assert matches_direct(wh, "2025-06-11")
+    replace_full(fct_events(events.where("user_id != 'u_0002'")), wh.path("fct_events"), "ds")
+    update_metrics(wh, "2025-06-11", AS_OF)  # another fact: anew
+    assert matches_direct(wh, "2025-06-11")
+
+
+def test_a_stopped_update_is_run_again_and_steps_become_one(spark, tmp_path, monkeypatch):
+    files = [csv_file(staging(spark, *b), tmp_path / f"raw{k}") for k, b in enumerate(BATCHES)]
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    run_increment(wh, files[:1], AS_OF, START)
+    monkeypatch.setattr(running, "MAX_STEPS", 1)
+    commits = running.publish.__globals__["_commit"]
+
+    def lost(spark, path, manifest):
+        if path.endswith(STATE):
+            raise OSError("lost")
+        commits(spark, path, manifest)
+
+    with monkeypatch.context() as m:
+        m.setattr("growthledger.sources.versions._commit", lost)
+        with pytest.raises(OSError, match="lost"):
+            run_increment(wh, files[:2], AS_OF, START)
+    main(["increment", "--root", wh.root, "--as-of", AS_OF, "--start-ds", START, "--csv", *files])
+    assert len(current(spark, wh.path(STATE)).folders["calendar"]) == 1
+    assert newest_step(wh) == {f"u_000{k}" for k in (1, 2, 3, 4, 5, 9)}
+    assert matches_direct(wh)

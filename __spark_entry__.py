@@ -44,6 +44,7 @@ from growthledger.quality.gate import DataQualityError
 from growthledger.quality.staging import USER_ID_PATTERN, staging_checks
 from growthledger.session import apply_defaults, work_path
 from growthledger.sources import adapters
+from growthledger.sources.csvfiles import NULL_TOKENS, read_raw_csv
 from growthledger.sources.tables import cluster_by_ds, remove, replace_full, replace_snapshot, write_full
 from growthledger.sources.versions import names_in
 
@@ -398,6 +399,15 @@ def _ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _quoted_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, whose text holds quotes, commas and line breaks, written as CSV and read in splits."""
+    raw = work_path(spark, sf_dir, "quoted_csv/raw")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    pages.write.mode("overwrite").options(header=True, escape='"', quoteAll=True, **kept).csv(raw)
+    return read_raw_csv(spark, raw, pages.columns, multiline=True)
+
+
 def _active_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = active_days(_fct_events("orders", spark, sf_dir), adapters.ORDERS_START_DS)
     return days.select(
@@ -514,6 +524,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_users": _latest_users,
         "typed_load": _typed_load,
         "ingest_csv": _ingest_csv,
+        "quoted_csv": _quoted_csv,
         "latest_event_per_user": lambda s, d: latest_event_per_user(_stream("orders", s, d)),
         "active_days": _active_days,
         "user_week_history": lambda s, d: user_week_history(
@@ -981,6 +992,7 @@ def _own_oracle_sql() -> dict[str, str]:
         "CAST(event_time AS VARCHAR) AS event_time, user_id, event_type, transaction_category, "
         "CAST(miles_amount AS DOUBLE) AS miles_amount, platform, utm_source, country"
     )
+    null_tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)
     active_columns = "CAST(period_start_date AS VARCHAR) AS period_start_date, period_type, acq_source, country, active_user_count, ds"
     retention_columns = (
         "CAST(cohort_week AS VARCHAR) AS cohort_week, week_offset, retained_users, cohort_size, retention_rate, ds"
@@ -1055,6 +1067,10 @@ LEFT JOIN ({_ACROSS_SQL}) f ON f."check" = c.name GROUP BY 1""",
         "WHERE ds = (SELECT max(ds) FROM (SELECT ds FROM earlier UNION ALL SELECT ds FROM users) m)",
         "typed_load": _with("events") + f"SELECT {stream_columns} FROM stream",
         "ingest_csv": _with("events") + f"SELECT {stream_columns} FROM stream",
+        "quoted_csv": "SELECT " + ", ".join(
+            f"CASE WHEN CAST({c} AS VARCHAR) NOT IN ({null_tokens}) THEN CAST({c} AS VARCHAR) END AS {c}"
+            for c in ("page_id", "url", "html")
+        ) + " FROM pages",
         "latest_event_per_user": _with("orders", _LATEST)
         + "SELECT user_id, CAST(event_time AS VARCHAR) AS event_time, event_type, transaction_category, "
         "CAST(miles_amount AS DOUBLE) AS miles_amount FROM latest",

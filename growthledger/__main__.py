@@ -21,7 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--as-of", help="build date YYYY-MM-DD (default: today, UTC)")
     parser.add_argument("--start-ds", default=pipeline.DEFAULT_START_DS, help="first event day of the metrics")
     parser.add_argument(
-        "--multi-line", action="store_true", help="line breaks inside quotes are allowed; each file is one task's work"
+        "--multi-line", action="store_true", help="line breaks inside quotes are allowed, for another pass over the text"
     )
     args = parser.parse_args(argv)
     if args.step in ("run", "increment", "ingest") and not args.csv:

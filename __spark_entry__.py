@@ -21,6 +21,7 @@ from growthledger.operators.activity import active_days
 from growthledger.plans import incremental, pipeline, reports, running
 from growthledger.plans.active import active_users
 from growthledger.plans.bitmaps import activity_bitmaps, distinct_users, user_numbers
+from growthledger.plans.by_user import EventsByUser, store_by_user
 from growthledger.plans.facts import fct_events
 from growthledger.plans.ingest import ingest_events, typed_load
 from growthledger.plans.intervals import validity_intervals, with_attributes_on
@@ -62,6 +63,7 @@ ADAPTERS = {
     "events": (adapters.events_stream, adapters.EVENTS_START_DS, adapters.EVENTS_AS_OF),
     "orders": (adapters.orders_stream, adapters.ORDERS_START_DS, adapters.ORDERS_AS_OF),
 }
+BUCKETS = 16
 EARLIER_AS_OF, EARLIER_ORDERS = "2024-01-15", "2001-07-26"
 
 
@@ -399,6 +401,13 @@ def _ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _by_user(label: str, build: Callable[[EventsByUser], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Something built from the orders' stream, stored in a table that is bucketed by user."""
+    path = work_path(spark, sf_dir, f"by_user/{label}")
+    table = f"growthledger_{label}_{path.split('/')[-3]}"
+    return build(store_by_user(_stream("orders", spark, sf_dir), table, path, BUCKETS))
+
+
 def _quoted_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages, whose text holds quotes, commas and line breaks, written as CSV and read in splits."""
     raw = work_path(spark, sf_dir, "quoted_csv/raw")
@@ -489,6 +498,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lifecycle_orders_from_history": partial(_lifecycle, "orders", form=lifecycle_weekly_from_history),
         "retention_events": partial(_retention, "events"),
         "retention_orders": partial(_retention, "orders"),
+        # from events stored by user
+        **{
+            f"by_user_{label}": partial(_by_user, label, build)
+            for label, build in {
+                "users": lambda events: events.users(adapters.ORDERS_AS_OF),
+                "active": lambda events: events.active_users(*ADAPTERS["orders"][1:]),
+                "lifecycle": lambda events: events.lifecycle_weekly(*ADAPTERS["orders"][1:]),
+                "retention": lambda events: events.retention(*ADAPTERS["orders"][1:]),
+                "repeated_ids": lambda events: events.repeated_event_ids(),
+            }.items()
+        },
         # reports
         "report_active_by_segment": _report_active,
         "report_lifecycle_by_week": lambda s, d: reports.lifecycle_by_week(
@@ -1026,6 +1046,13 @@ def _own_oracle_sql() -> dict[str, str]:
         "lifecycle_orders_from_history": lifecycle_of["orders"] + "SELECT * FROM lifecycle",
         "retention_events": retention_of["events"] + f"SELECT {retention_columns} FROM rates",
         "retention_orders": retention_of["orders"] + f"SELECT {retention_columns} FROM rates",
+        "by_user_users": _with("orders", _LATEST, orders_users) + f"SELECT {_USER_COLUMNS} FROM users",
+        "by_user_active": active_of["orders"] + f"SELECT {active_columns} FROM active",
+        "by_user_lifecycle": lifecycle_of["orders"] + "SELECT * FROM lifecycle",
+        "by_user_retention": retention_of["orders"] + f"SELECT {retention_columns} FROM rates",
+        "by_user_repeated_ids": facts_of["orders"]
+        + "SELECT user_id, event_id, count(*) AS n_records FROM facts WHERE event_id IS NOT NULL "
+        "GROUP BY 1, 2 HAVING count(*) > 1",
         "report_active_by_segment": active_of["orders"]
         + "SELECT CAST(period_start_date AS VARCHAR) AS period_start_date, "
         "CAST(sum(active_user_count) AS BIGINT) AS active_user_count FROM active "

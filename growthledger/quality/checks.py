@@ -76,6 +76,17 @@ def unique_combination(*columns: str) -> GroupCheck:
     return GroupCheck(f"unique_combination_{'_'.join(columns)}", lambda df: _repeated(df, list(columns)))
 
 
+def unique_within(owner: str, column: str) -> GroupCheck:
+    """As ``unique``, for a column whose value contains that of ``owner``, so that no two owners share one.
+
+    Where the rows are stored by owner, they are not shuffled.
+    """
+    return GroupCheck(
+        f"unique_{column}",
+        lambda df: _repeated(df.where(F.col(column).isNotNull()), [owner, column]),
+    )
+
+
 def _repeated(df: DataFrame, columns: list[str]) -> DataFrame:
     # The map-side partial count collapses a key with very many copies before the shuffle.
     return df.groupBy(*columns).agg(F.count("*").alias("n_records")).where(F.col("n_records") > 1)

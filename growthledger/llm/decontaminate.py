@@ -380,15 +380,15 @@ def _chunks(texts: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
 
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, near: float = 0.75, most: float = 0.9, much: float = 0.65,
-    min_words: int = 5, text_col: str = "text",
+    exact_under: int = 5, text_col: str = "text",
 ) -> DataFrame:
     """``docs`` with leaks: the benchmark items found in each text, an empty list if none.
 
     ``near``: cosine from which a window is checked; verbatim copies are found whatever it is. A passage is found when the common
     subsequence covers ``most`` of it, or ``much`` of it and half of its answer. Long
-    items are found by any of their passages. Items without id, null items and items of fewer than
-    ``min_words`` words are not looked for. Null texts are empty. Rows are independent; a
-    column called leaks is replaced.
+    items are found by any of their passages. Items of fewer than ``exact_under`` words are found where all their words follow each
+    other, as with gaps between them most texts hold them. Items without id, null items and items without words
+    are not looked for. Null texts are empty. Rows are independent; a column called leaks is replaced.
     """
     spark = prepare(docs.sparkSession)
     docs = docs.drop("leaks")
@@ -401,15 +401,22 @@ def find_leaks(
 
     def looked_through(rows: DataFrame, part: DataFrame) -> DataFrame:
         """``rows`` with the leaks of a bounded part of the items added."""
-        wanted = [p for r in part.collect() for p in passages_of(r.item_id, r.text, min_words)]
+        wanted = [p for r in part.collect() for p in passages_of(r.item_id, r.text, 1)]
         if not wanted:
             return rows
-        shared = spark.sparkContext.broadcast((groups_of(spark, wanted, rarity), rarity))
+        short: dict[int, list[Passage]] = {}
+        for p in wanted:
+            if len(p.words) < exact_under:
+                short.setdefault(len(p.words), []).append(p)
+        longer = [p for p in wanted if len(p.words) >= exact_under]
+        shared = spark.sparkContext.broadcast((list(short.values()), groups_of(spark, longer, rarity), rarity))
         names = rows.columns
 
         def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            groups, rarity = shared.value
-            searchers: list[Verbatim | Searcher] = [Verbatim([p for group, _, _ in groups for p in group])]
+            short, groups, rarity = shared.value
+            # Those of one length together, so that their hashes take in all of their words.
+            exact = [*short, [p for group, _, _ in groups for p in group]]
+            searchers: list[Verbatim | Searcher] = [Verbatim(passages) for passages in exact if passages]
             searchers += [Searcher(group, rarity, *space, near, most, much) for group, *space in groups]
             kind = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("overlap", pa.float64())]))
             for batch in batches:

@@ -121,6 +121,28 @@ def test_empty_tables(spark, corpus):
     assert decontaminate(df, benchmark.limit(0)).count() == 5
 
 
+def test_short_items_are_found_as_exact_copies_only(spark, corpus):
+    _, docs, _, _, _ = corpus
+    rng = random.Random(3)
+    letters = ["x1", "x2", "x3", "x4"]
+    items = {k: rng.choices(letters, k=1 + k % 4) for k in range(24)}
+    items[24] = ["x1"] * 6
+    texts = [(k, rng.choices([*letters, "and", "so"], k=rng.randint(0, 9))) for k in range(300)]
+    benchmark = spark.createDataFrame(
+        [*[(k, " ".join(w) + ".") for k, w in items.items()], (90, ""), (91, " ... ")], "item_id long, text string"
+    )
+    for longer in (True, False):  # also where no item is long
+        wanted = items if longer else {k: w for k, w in items.items() if len(w) < 5}
+        rows = texts + [(d + 5000, t.split()) for d, t in docs[:20]]
+        df = spark.createDataFrame([(d, ", ".join(w).upper()) for d, w in rows], "doc_id long, text string").repartition(3)
+        asked = benchmark if longer else benchmark.where("item_id <> 24")
+        found = {(r.doc_id, x.item_id) for r in find_leaks(df, asked).collect() for x in r.leaks if x.item_id != 24}
+        assert found == {
+            (d, k) for d, w in rows for k, item in wanted.items() if k != 24
+            and any(w[a : a + len(item)] == item for a in range(len(w) - len(item) + 1))
+        }
+
+
 def test_every_verbatim_copy_of_thousands_of_items_is_found(spark):
     rng = random.Random(11)
     vocabulary = [f"w{k}" for k in range(3000)]

@@ -206,7 +206,9 @@ class Chunk:
         self.of_block = np.repeat(np.arange(len(held)), self.counts)
         self.inside = np.arange(len(self.of_block)) - before[self.of_block]
         size = np.diff(self.first)
-        self.block_of = np.repeat(before, size) + (np.arange(len(self.words)) - np.repeat(self.first[:-1], size)) // BLOCK
+        place = np.arange(len(self.words)) - np.repeat(self.first[:-1], size)
+        # Each word's place among all blocks' first words, then all their second words, and so on.
+        self.slot = place % BLOCK * len(self.of_block) + np.repeat(before, size) + place // BLOCK
 
 
 class Verbatim:
@@ -293,23 +295,35 @@ class Searcher:
         need = int(np.ceil(least * len(features) - 1e-9))
         return 0.99 * float(np.sort(rarity[features] ** 2)[:need].sum() / norm)
 
+    def _block_sums(self, place: np.ndarray, chunk: Chunk) -> np.ndarray:
+        """The sum of the words' rows in each block: its first words, its second words and so on are added at once."""
+        n = len(chunk.of_block)
+        words = np.zeros(BLOCK * n, np.intp)
+        words[chunk.slot] = place
+        words = words.reshape(BLOCK, n)
+        sums = np.empty((n, self.rows.shape[1]), np.float32)
+        more = np.empty((min(n, WINDOWS), self.rows.shape[1]), np.float32)
+        for k in range(0, n, WINDOWS):
+            part = sums[k : k + WINDOWS]
+            np.take(self.rows, words[0, k : k + WINDOWS], axis=0, out=part, mode="clip")
+            for j in range(1, BLOCK):
+                part += np.take(self.rows, words[j, k : k + WINDOWS], axis=0, out=more[: len(part)], mode="clip")
+        return sums
+
     def candidates(self, chunk: Chunk) -> Iterator[tuple[int, int, int, int, float]]:
         """(text, first word, end word, passage, similarity) of the windows that are near a passage."""
         if not len(chunk.words):
             return
         counts, of_block, inside = chunk.counts, chunk.of_block, chunk.inside
         place = self.place[chunk.feature]
-        used = np.flatnonzero(place)
-        if not len(used):
+        if not place.any():
             return
-        block_of = chunk.block_of[used]
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(block_of)) + 1])
         # Running sums over the blocks, with room after each text for windows that reach past its end.
         room = max(n for n, _, _, _ in self.groups)
         begin = np.cumsum(counts + room) - counts - room
         at = begin[of_block] + inside
         latent = np.zeros((int(begin[-1] + counts[-1] + room) + 1, self.rows.shape[1]))
-        latent[at[block_of[cuts]] + 1] = np.add.reduceat(self.rows[place[used]], cuts, axis=0)
+        latent[at + 1] = self._block_sums(place, chunk)
         np.cumsum(latent, axis=0, out=latent)
         for n, which, vectors, floor in self.groups:
             starts = np.flatnonzero((inside + n <= counts[of_block]) | (inside == 0))

@@ -75,7 +75,7 @@ def add_new_facts(wh: Warehouse) -> list[str]:
     def check(aside: str) -> None:
         written = read_table(spark, aside, SCHEMAS["fct_events"])
         both = written.unionByName(read_folders(spark, path, SCHEMAS["fct_events"], there))
-        gate("fct_events", both, checks, wh.audit_path, observed.get)
+        gate("fct_events", both, checks, wh.audit_path, observed.get, wh.warn)
 
     # The stream is stored by day, so each task already holds few days: no shuffle.
     return append_days(events, path, dict.fromkeys(new, ""), check)

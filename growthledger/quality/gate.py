@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Mapping
+from collections.abc import Collection, Iterable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -45,15 +45,20 @@ def failed_checks(
     return {c.name: counts[c.name] for c in checks if counts[c.name]}
 
 
-def enforce(table: str, checks: Iterable[Check | TablesCheck], failed: dict[str, int]) -> None:
-    """Log every check and raise when any failed."""
+def enforce(
+    table: str, checks: Iterable[Check | TablesCheck], failed: dict[str, int], warn: Collection[str] = ()
+) -> None:
+    """Log every check and raise when any failed, unless ``warn`` names it as ``<table>.<check>``."""
+    stopping = {name: count for name, count in failed.items() if f"{table}.{name}" not in warn}
     for check in checks:
-        if check.name in failed:
+        if check.name in stopping:
             log.error("check FAILED: %s %s (%d rows)", table, check.name, failed[check.name])
+        elif check.name in failed:
+            log.warning("check failed, reported only: %s %s (%d rows)", table, check.name, failed[check.name])
         else:
             log.info("check passed: %s %s", table, check.name)
-    if failed:
-        raise DataQualityError(table, failed)
+    if stopping:
+        raise DataQualityError(table, stopping)
 
 
 def gate(
@@ -62,9 +67,12 @@ def gate(
     checks: Iterable[Check | TablesCheck],
     audit_path: str | None = None,
     known: dict[str, int] | None = None,
+    warn: Collection[str] = (),
 ) -> None:
     """Run the checks; on failure store the failing rows per check and raise.
 
+    Failing rows of a check that ``warn`` names are stored alike, but don't stop the run.
+
     ``df``: the table, or several by their names for checks across tables.
     What earlier runs stored for these checks is removed, so that the audit shows this run.
     """
@@ -78,4 +86,4 @@ def gate(
                 check.failing(df).write.mode("overwrite").parquet(path)
             else:
                 remove(spark, path)
-    enforce(table, checks, failed)
+    enforce(table, checks, failed, warn)

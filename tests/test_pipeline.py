@@ -132,6 +132,22 @@ def test_failed_rebuild_leaves_the_published_snapshot(spark, wh, monkeypatch, tm
     assert built.read("agg_user_retention").collect() == before
 
 
+def test_a_check_the_source_is_known_to_fail_reports_and_goes_on(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    raw = write_csv(staging(spark, {}, {"user_id": "u_0002", "miles_amount": "0.00"}), tmp_path / "csv")
+    with pytest.raises(DataQualityError, match="miles_positive: 1"):
+        run_pipeline(spark, raw, root, "2025-06-03")
+    wh = run_pipeline(spark, raw, root, "2025-06-03", warn={"fct_events.expression_miles_positive"})
+    assert wh.read("fct_events").count() == 2 and wh.latest("agg_active_user").count() > 0
+    kept = spark.read.parquet(f"{wh.audit_path}/fct_events/expression_miles_positive")
+    assert [r.user_id for r in kept.collect()] == ["u_0002"]
+    # Any other check stops as before.
+    again = write_csv(staging(spark, {}, {}, {"user_id": "u_0002", "miles_amount": "0.00"}), tmp_path / "again")
+    with pytest.raises(DataQualityError) as error:
+        run_pipeline(spark, again, root, "2025-06-03", warn={"fct_events.expression_miles_positive"})
+    assert error.value.failed == {"unique_event_id": 1}
+
+
 def files(path):
     return sorted(os.path.join(d, f) for d, _, names in os.walk(path) for f in names)
 

@@ -43,7 +43,7 @@ def load_new_files(wh: Warehouse, paths: list[str], multiline: bool = False) ->
     new = sorted(p for p in stamps if p not in known)
     if not new:
         return []
-    load_staging(wh.spark, new, wh.path("stg_event_stream"), multiline)
+    load_staging(wh.spark, new, wh.path("stg_event_stream"), multiline, wh.warn)
     typed = typed_load(wh.read("stg_event_stream"))
     by_day = typed.withColumn("ds", F.to_date("event_time").cast("string"))
     return append_days(cluster_by_ds(by_day), wh.path("fct_event_stream"), {p: stamps[p] for p in new})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,8 +37,10 @@ def _typed(field: T.StructField) -> Column:
     )
 
 
-def load_staging(spark: SparkSession, csv_path: str | list[str], staging_path: str, multiline: bool = False) -> None:
-    """Replace the staging table with the file's rows if they pass the fifteen checks.
+def load_staging(
+    spark: SparkSession, csv_path: str | list[str], staging_path: str, multiline: bool = False, warn: Collection[str] = ()
+) -> None:
+    """Replace the staging table with the file's rows if they pass the fifteen checks, but for those that ``warn`` names.
 
     The checks are observed while the rows are written, so they cost no second scan.
     The write has no shuffle, so no row is observed twice.
@@ -47,7 +51,7 @@ def load_staging(spark: SparkSession, csv_path: str | list[str], staging_path: s
 
     def check(aside: str) -> None:
         failed = {name: count for name, count in observed.get.items() if count}
-        enforce("stg_event_stream", checks, failed)
+        enforce("stg_event_stream", checks, failed, warn)
 
     replace_full(rows.observe(observed, *bad_row_counts(checks)), staging_path, check=check)
 
@@ -63,10 +67,11 @@ def load_stream(spark: SparkSession, staging_path: str, stream_path: str) -> Non
 
 
 def ingest_events(
-    spark: SparkSession, csv_path: str | list[str], staging_path: str, stream_path: str, multiline: bool = False
+    spark: SparkSession, csv_path: str | list[str], staging_path: str, stream_path: str, multiline: bool = False,
+    warn: Collection[str] = (),
 ) -> DataFrame:
-    """The whole ingest; returns the typed event table. A failed check stops before the load."""
-    load_staging(spark, csv_path, staging_path, multiline)
+    """The whole ingest; returns the typed event table. A failed check that ``warn`` doesn't name stops before the load."""
+    load_staging(spark, csv_path, staging_path, multiline, warn)
     load_stream(spark, staging_path, stream_path)
     return read_stream(spark, stream_path)
 

@@ -105,7 +105,7 @@ def run_sql(spark: SparkSession, statement: str, message: str = "SQL executed")
 
 
 def ingest(wh: Warehouse, csv_path: str | list[str], multiline: bool = False) -> None:
-    load_staging(wh.spark, csv_path, wh.path("stg_event_stream"), multiline)
+    load_staging(wh.spark, csv_path, wh.path("stg_event_stream"), multiline, wh.warn)
     load_stream(wh.spark, wh.path("stg_event_stream"), wh.path("fct_event_stream"))
 
 

@@ -35,6 +35,8 @@ def activity_bitmaps(events: DataFrame, numbers: DataFrame, segment: list[str],
     """period_type, period_start_date, segment columns, bucket, users: the active users as bitmaps.
 
     ``segment``: columns of the events. Events become one row per user, day and segment before users are looked up.
+    Numbers are shuffled, not bitmaps: most hold few users, and 4 KB each would be many times the rows they come from. All
+    segments of a period and bucket lie in one task, in the order in which ``distinct_users`` unites them.
     """
     day = F.to_date("event_time")
     active = events_since(events, start_ds).select("user_id", day.alias("day"), *segment).distinct()
@@ -44,13 +46,17 @@ def activity_bitmaps(events: DataFrame, numbers: DataFrame, segment: list[str],
     )
     return (
         active.join(numbers, "user_id")
-        .select("number", *segment, periods)
-        .groupBy("period_type", "period_start_date", *segment, F.bitmap_bucket_number("number").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("users"))
+        .select(
+            F.bitmap_bucket_number("number").alias("bucket"), F.bitmap_bit_position("number").alias("position"), *segment, periods
+        )
+        .repartition("bucket", "period_type", "period_start_date")
+        .groupBy("bucket", "period_type", "period_start_date", *segment)
+        .agg(F.bitmap_construct_agg("position").alias("users"))
+        .select("period_type", "period_start_date", *segment, "bucket", "users")
     )
 
 
 def distinct_users(bitmaps: DataFrame, by: list[str]) -> DataFrame:
     """``by``, n_users: distinct users over all rows of ``bitmaps`` that share ``by``; filter the rows before."""
-    united = bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("users").alias("users"))
+    united = bitmaps.groupBy("bucket", *by).agg(F.bitmap_or_agg("users").alias("users"))
     return united.groupBy(*by).agg(F.sum(F.bitmap_count("users")).alias("n_users"))

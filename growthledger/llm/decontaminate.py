@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_table, mix, prepare, space_table, type_of, words_by_text
+from .common import counts_of, lower_table, mix, prepare, space_table, type_of, words_by_text
 
 FEATURES = 1 << 16
 BLOCK = 8
@@ -95,9 +95,7 @@ def rarities(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["feature", "n"])
 
     rows = docs.mapInArrow(counted, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    found = rows.toPandas()  # at most FEATURES + 1 rows
-    total = np.zeros(FEATURES + 1)
-    total[found["feature"].to_numpy(np.int64)] = found["n"].to_numpy(float)
+    total = counts_of(rows, FEATURES + 1).astype(float)
     return np.log((1 + total[FEATURES]) / (1 + total[:FEATURES])) + 1e-3
 
 
@@ -113,6 +111,13 @@ def group_axes(passages: DataFrame, rarity: np.ndarray) -> dict[int, tuple[np.nd
     """
     width = DIMS + SPARE_DIMS
     columns = [f"c{k}" for k in range(width)]
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, *rows = (c.to_numpy() for c in batch.columns)
+            both = [key.astype(np.int64).tobytes(), np.stack(rows, axis=1).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in both], ["keys", "images"])
+
     basis: tuple[np.ndarray, np.ndarray] | None = None  # sorted group * FEATURES + feature, and their rows
     for _ in range(ROUNDS + 1):
 
@@ -134,8 +139,11 @@ def group_axes(passages: DataFrame, rarity: np.ndarray) -> dict[int, tuple[np.nd
 
         schema = "key long, " + ", ".join(f"{c} double" for c in columns)
         sums = passages.mapInArrow(summed, schema).groupBy("key").agg(*[F.sum(c).alias(c) for c in columns])
-        found = sums.toPandas().sort_values("key")
-        keys, images = found["key"].to_numpy(np.int64), found[columns].to_numpy(np.float64)
+        found = sums.mapInArrow(packed, "keys binary, images binary").collect()
+        keys = np.frombuffer(b"".join(r["keys"] for r in found), np.int64)
+        order = np.argsort(keys)
+        images = np.frombuffer(b"".join(r["images"] for r in found), np.float64).reshape(-1, width)[order]
+        keys = keys[order]
         spaces, following = {}, np.zeros(images.shape)
         for group in np.unique(keys // FEATURES).tolist():
             mine = slice(*np.searchsorted(keys, [group * FEATURES, (group + 1) * FEATURES]))

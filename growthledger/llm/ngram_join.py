@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, prepare, release, table
+from .common import counts_of, mix, prepare, release, table
 from .components import components, lowest_reachable
 from .shingle_sets import SET_KEY, full_sets, sets_of, sums
 
@@ -64,10 +64,7 @@ def cell_frequencies(docs: DataFrame, n: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["cell", "n"])
 
     rows = docs.select("text").mapInArrow(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    found = rows.toPandas()  # at most CELLS rows
-    total = np.zeros(CELLS, np.int64)
-    total[found["cell"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
-    return total
+    return counts_of(rows, CELLS)
 
 
 def prefix_length(size: int, threshold: Fraction) -> int:

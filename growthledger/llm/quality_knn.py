@@ -182,13 +182,14 @@ def fit(
     matrix = np.zeros((len(found), SIZE), np.float32)
     for line, r in zip(matrix, found, strict=True):
         _unpack(r.row, line)
+    labelled = np.array([r.label for r in found])
+    del found
     np.log1p(matrix, out=matrix)
     matrix *= rarity
     matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
     axes = leading_axes(matrix, min(dims, *matrix.shape))
     vectors = matrix @ axes
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    labelled = np.array([r.label for r in found])
     return Model(rarity, axes, vectors, labelled, float(labelled.mean()), neighbours, power)
 
 

@@ -35,6 +35,8 @@ NO_LANG = "und"
 
 #: Word occurrences that a task counts before it sends blocks.
 BUFFER = 2 << 20
+#: Shares in which a task adds up and packs what it holds.
+SHARES = 16
 #: Edges of one language that a task holds before it adds up equal ones.
 MERGE = 1 << 20
 #: Characters of text per part of the shuffle.
@@ -99,9 +101,14 @@ def _edges(column: pa.Array, langs: np.ndarray, tables: tuple[np.ndarray, ...])
         yield edges
 
 
+def _part(words: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the shuffle that sees all edges out of each edge's node."""
+    return (_key(words[:2]) >> np.uint64(32)) % np.uint64(parts)
+
+
 def _blocks_of(words: np.ndarray, n: np.ndarray, names: list[str], parts: int) -> pa.RecordBatch:
     """Packed blocks of counted edges, one per (language, part)."""
-    part = (_key(words[:2]) >> np.uint64(32)) % np.uint64(parts)
+    part = _part(words, parts)
     group = words[3] * np.uint64(parts) + part
     order = np.argsort(group, kind="stable")
     words, n, group = words[:, order], n[order], group[order]
@@ -167,23 +174,30 @@ def word_graph(docs: DataFrame, min_count: int) -> DataFrame:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tables()
         codes: dict[str, int] = {}
-        held: list[np.ndarray] = []
+        # One array per task, filled in place. What is done to it is done to one share of the parts at a time.
+        held = np.empty((4, BUFFER), np.uint64)
+        share = np.empty(BUFFER, np.uint8)
         size = 0
 
-        def sent() -> pa.RecordBatch:
-            edges = np.concatenate(held, axis=1)
-            return _blocks_of(*add_up(edges, np.ones(edges.shape[1], np.int64)), list(codes), parts)
+        def sent() -> Iterator[pa.RecordBatch]:
+            for k in range(SHARES):
+                edges = held[:, np.flatnonzero(share[:size] == k)]
+                if edges.size:
+                    yield _blocks_of(*add_up(edges, np.ones(edges.shape[1], np.int64)), list(codes), parts)
 
         for batch in batches:
             langs = np.array([codes.setdefault(v, len(codes)) for v in batch.column(0).to_pylist()], np.uint64)
             for edges in _edges(batch.column(1), langs, tables):
-                held.append(edges)
-                size += edges.shape[1]
-                if size >= BUFFER:
-                    yield sent()
-                    held, size = [], 0
-        if held:
-            yield sent()
+                while edges.size:
+                    room = edges[:, : BUFFER - size]
+                    held[:, size : size + room.shape[1]] = room
+                    share[size : size + room.shape[1]] = _part(room, parts) % np.uint64(SHARES)
+                    size += room.shape[1]
+                    edges = edges[:, room.shape[1] :]
+                    if size == BUFFER:
+                        yield from sent()
+                        size = 0
+        yield from sent()
 
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, str], list] = {}

@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import TESTDATA
 from oracle import compare, connect
@@ -106,3 +108,23 @@ def test_query_equals_its_sql(spark):
     name = "op11_phrase_graph"
     ours, theirs = compare(spark, connect(SF_SMALL), registry.QUERIES[name], registry.ORACLE_SQL[name], SF_SMALL)
     assert ours == theirs
+
+
+def test_a_task_that_counts_holds_little_beside_its_buffer(spark, monkeypatch):
+    docs = spark.createDataFrame([("a b c", "en")], "text string, lang string")
+    steps = []
+    plain = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *a, **b: steps.append(f) or plain(self, f, *a, **b))
+    module.word_graph(docs.select("lang", "text"), 2)
+    rng = np.random.default_rng(0)
+    words = int(2.1 * module.BUFFER)
+    texts = [" ".join(map(str, rng.integers(0, 3000, 50_000))) for _ in range(-(-words // 50_000))]
+    batches = [pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([t])], ["lang", "text"]) for t in texts]
+    total = 0
+    tracemalloc.start()
+    for out in steps[0](iter(batches)):
+        total += sum(int(module._unpacked(r["words"], r["edges"], r["n"])[1].sum()) for r in out.to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == 50_000 * len(texts)
+    assert peak < 2.5 * 4 * 8 * module.BUFFER, f"{peak / 1e6:.0f} MB"
